@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from checks import gold
+from checks import gold, reporting, silver
 
-CHECKS = [*gold.CHECKS]
+CHECKS = [*gold.CHECKS, *silver.CHECKS, *reporting.CHECKS]
