@@ -163,7 +163,7 @@ SELECT CASE event_type WHEN 'click' THEN 'summary' WHEN 'view' THEN 'facts' WHEN
        CAST(date_trunc('day', ts) AS TIMESTAMP_NTZ) AS window_start,
        CAST(date_trunc('day', ts) AS TIMESTAMP_NTZ) + INTERVAL '1' DAY AS window_end,
        CASE WHEN value < 5 THEN 'FAILED' ELSE 'SUCCESS' END AS status, '' AS error_msg,
-       value * 100 AS duration_ms, user_id AS result_rows, event_id * 1000 AS result_bytes, ts AS update_time
+       value * 1000 AS duration_ms, user_id AS result_rows, event_id * 1000 AS result_bytes, ts AS update_time
 FROM {events} e
 """
 

@@ -144,13 +144,6 @@ UNION ALL
 SELECT CAST(snapshot_date AS VARCHAR), CAST(5 + date_diff('day', snapshot_date, {_A}) AS INT), {DIMS},
        total_qty, done_qty, doing_qty, todo_qty, acc_qty FROM day_rows WHERE snapshot_date BETWEEN {_A} - 7 AND {_A}
 """)
-ctes.add("month_files", f"""
-SELECT DISTINCT c.* EXCLUDE (week_end, month_end), m AS file_month,
-       CASE WHEN m = {month_key('task_start_date')} THEN 1 ELSE 0 END AS in_month_cohort
-FROM (SELECT *, {month_key('task_start_date')} AS m FROM counted
-      UNION ALL SELECT *, {month_key('task_claim_date')} FROM counted WHERE {month_key('task_claim_date')} < '{a.CUTOFF[:7]}'
-      UNION ALL SELECT *, {month_key('task_end_date')} FROM counted WHERE {month_key('task_end_date')} < '{a.CUTOFF[:7]}') c
-""")
 ctes.add("silver_files", f"""
 SELECT DISTINCT c.* EXCLUDE (task_primary_date, task_create_date, ui_time_field, _mview_update_time, task_status, m),
        m AS file_month, CASE WHEN m = {month_key('task_start_date')} THEN 1 ELSE 0 END AS in_month_cohort
@@ -179,7 +172,7 @@ def drills(spark, sf):
 
 
 def filtered(spark, sf):
-    return filter_dims(fact(spark, sf), region=["REGION_0", "EUROPE", "AMERICA", "ASIA"], vx_type="V3", plant="ALL", line="")
+    return filter_dims(fact(spark, sf), region=["EUROPE", "AMERICA", "ASIA"], vx_type="V3", plant="ALL", line="")
 
 
 CHECKS = [
@@ -272,7 +265,7 @@ CHECKS = [
           SELECT {month_key('snapshot_date')} AS month, {DIMS}, sum(total_qty) AS t, arg_max(acc_qty, snapshot_date) AS acc
           FROM day_rows GROUP BY month, {DIMS}) GROUP BY 1, 2""")),
     Check("optional_dimension_filters", filtered, ctes.sql(
-        "SELECT * FROM fact WHERE vx_type = 'V3' AND region IN ('REGION_0', 'EUROPE', 'AMERICA', 'ASIA')")),
+        "SELECT * FROM fact WHERE vx_type = 'V3' AND region IN ('EUROPE', 'AMERICA', 'ASIA')")),
     Check("month_touch_before_cutoff", lambda s, d: touching_month(fact(s, d), "1998-06", a.CUTOFF).select("task_id"),
           ctes.sql(f"""SELECT task_id FROM fact WHERE '1998-06' IN ({month_key('task_start_date')},
                    COALESCE({month_key('task_claim_date')}, ''), COALESCE({month_key('task_end_date')}, ''))""")),

@@ -40,8 +40,7 @@ def compare(spark, con, sf_dir: str, check) -> tuple[str, str]:
         return "FAIL", f"columns {sorted(set(df.columns) ^ set(columns))}"
     left, right = canonical(got, df.columns), canonical(expected, columns)
     if left != right:
-        only_left = [r for r in left if r not in set(right)][:2]
-        only_right = [r for r in right if r not in set(left)][:2]
+        only_left, only_right = sorted(set(left) - set(right))[:2], sorted(set(right) - set(left))[:2]
         return "FAIL", f"spark {len(left)} rows {only_left} / oracle {len(right)} rows {only_right}"
     return "ok", f"{len(left)} rows"
 

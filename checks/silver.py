@@ -15,16 +15,6 @@ from checks.oracle import DIMS, SUMMARY_COLS, ctes, week_start
 
 LO, HI = "1998-01-01", "1998-07-01"
 
-ctes.add("b_task", a.BRONZE_TASKINST)
-ctes.add("b_var", a.BRONZE_VARINST)
-ctes.add("b_proc", a.BRONZE_PROCINST)
-ctes.add("b_def", a.BRONZE_PROCDEF)
-ctes.add("b_emp", a.BRONZE_EMPLOYEES)
-ctes.add("m_line", a.MDM_LINE_DESC)
-ctes.add("m_area", a.MDM_PROD_AREA)
-ctes.add("m_plant", a.MDM_MFG_PLANT)
-ctes.add("m_factory", a.MDM_FACTORY_AREA)
-ctes.add("m_site", a.MDM_MFG_SITE)
 ctes.add("newest_task", """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY PROC_INST_ID_, ID_ ORDER BY _sync_version DESC, _extracted_at DESC) AS rn

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortmill.functions.dates import DateLike, year_month
@@ -21,10 +21,10 @@ from cohortmill.operators.summary import task_summary
 from cohortmill.operators.variables import pivot_variables
 from cohortmill.operators.versions import apply_exclusion_flag
 from cohortmill.plans.runs import affected_periods
-from cohortmill.sources.tables import materialize, overwrite_periods
+from cohortmill.sources.tables import materialize, overwrite_periods, remove_partitions
 
 FACT_PARTITION = "start_month"
-SUMMARY_PARTITIONS = ("period_type", "period_key")
+SUMMARY_PARTITIONS = ("period_type", "period_month")
 
 
 @dataclass(frozen=True)
@@ -71,8 +71,16 @@ def write_fact(fact: DataFrame, path: str) -> None:
     overwrite_periods(fact.withColumn(FACT_PARTITION, year_month("task_start_date")), path, [FACT_PARTITION])
 
 
+def period_month(period_type: Column, day: Column) -> Column:
+    """'yyyyMM' of a period's first day, from any day in it."""
+    monday = F.trunc(day, "week")
+    return year_month(F.when(period_type == "Week", monday).otherwise(day))
+
+
 def write_summary(summary: DataFrame, path: str) -> None:
-    overwrite_periods(summary, path, SUMMARY_PARTITIONS)
+    """Partitioned by grain and month of the period: a few files per month, and the unit an update replaces."""
+    months = period_month(F.col("period_type"), F.col("snapshot_date"))
+    overwrite_periods(summary.withColumn("period_month", months), path, SUMMARY_PARTITIONS)
 
 
 def merge_fact(path: str, changes: DataFrame) -> DataFrame:
@@ -83,7 +91,7 @@ def merge_fact(path: str, changes: DataFrame) -> DataFrame:
     spark = changes.sparkSession
     new = materialize(changes.withColumn(FACT_PARTITION, year_month("task_start_date")))
     months = new.select(FACT_PARTITION).distinct()
-    stored = spark.read.parquet(path).withColumn(FACT_PARTITION, F.col(FACT_PARTITION).cast("string"))
+    stored = read_fact(spark, path)
     touched = stored.join(months, FACT_PARTITION, "left_semi")
     keys = new.select("task_id").distinct()
     replaced = materialize(touched.join(keys, "task_id", "left_semi"))
@@ -92,46 +100,76 @@ def merge_fact(path: str, changes: DataFrame) -> DataFrame:
     return replaced.unionByName(new)
 
 
-def _needed_tasks(fact: DataFrame, periods: DataFrame, cutoff: str | dt.date) -> DataFrame:
-    """Tasks the affected periods are computed from: their openings, the backlog days before, and event days.
+def affected_partitions(changed: DataFrame, cutoff: str | dt.date) -> DataFrame:
+    """Summary partitions that hold a period the changed tasks reach: at most three rows per calendar month."""
+    periods = affected_periods(changed, cutoff)
+    return periods.select("period_type", year_month("period_start").alias("period_month")).distinct()
+
+
+def _needed_tasks(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date) -> DataFrame:
+    """Tasks those partitions are computed from: openings of the months and a week around, and earlier event days.
 
-    Semi joins on calendar dates; the date list has a few rows per day and carries the fact's partition column, so
-    only its months are read for openings.
+    Semi joins on calendar dates and months; the date list carries the fact's partition column, so only the months
+    concerned are read for openings.
     """
-    ends = F.when(F.col("period_type") == "Week", F.date_add("period_start", 6)).when(
-        F.col("period_type") == "Month", F.last_day("period_start")
-    ).otherwise(F.col("period_start"))
-    opening_days = periods.select(F.explode(F.sequence(
-        F.date_sub("period_start", BACKLOG_DAYS - 1), ends, F.expr("INTERVAL '1' DAY")
-    )).alias("task_start_date")).distinct().withColumn(FACT_PARTITION, year_month("task_start_date"))
+    first = F.to_date(F.concat("period_month", F.lit("01")), "yyyyMMdd")
+    around = F.sequence(F.date_sub(first, BACKLOG_DAYS - 1), F.date_add(F.last_day(first), 6), F.expr("INTERVAL '1' DAY"))
+    opening_days = (
+        partitions.select(F.explode(around).alias("task_start_date")).distinct()
+        .withColumn(FACT_PARTITION, year_month("task_start_date"))
+    )
     opened = fact.join(opening_days, ["task_start_date", FACT_PARTITION], "left_semi")
 
-    event_days = periods.where((F.col("period_type") == "Day") & (F.col("period_start") < F.lit(cutoff).cast("date")))
-    days = event_days.select(F.col("period_start").alias("_day")).distinct()
-    acted = (
-        fact.join(days, F.col("task_claim_date") == F.col("_day"), "left_semi")
-        .unionByName(fact.join(days, F.col("task_end_date") == F.col("_day"), "left_semi"))
-    )
-    return opened.unionByName(acted).dropDuplicates(["task_id"])
+    first_current = F.date_format(F.lit(cutoff).cast("date"), "yyyyMM")
+    months = partitions.where((F.col("period_type") == "Day") & (F.col("period_month") < first_current)).select("period_month")
+    acted = [
+        fact.join(months, year_month(col) == F.col("period_month"), "left_semi")
+        for col in ("task_claim_date", "task_end_date")
+    ]
+    return opened.unionByName(acted[0]).unionByName(acted[1]).dropDuplicates(["task_id"])
 
 
-def refresh_summary(fact: DataFrame, changed: DataFrame, cutoff: str | dt.date, as_of: DateLike) -> DataFrame:
-    """Recompute exactly the summary periods that the changed tasks reach."""
-    periods = affected_periods(changed, cutoff)
-    recomputed = task_summary(_needed_tasks(fact, periods, cutoff), cutoff, as_of)
-    return recomputed.join(periods.select(*SUMMARY_PARTITIONS), [*SUMMARY_PARTITIONS], "left_semi")
+def summary_of(fact: DataFrame, cutoff: str | dt.date, as_of: DateLike) -> DataFrame:
+    return task_summary(fact, cutoff, as_of)
+
+
+def refresh_summary(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date, as_of: DateLike) -> DataFrame:
+    """Recompute exactly the given summary partitions."""
+    recomputed = summary_of(_needed_tasks(fact, partitions, cutoff), cutoff, as_of)
+    months = period_month(F.col("period_type"), F.col("snapshot_date"))
+    return recomputed.withColumn("period_month", months).join(partitions, [*SUMMARY_PARTITIONS], "left_semi")
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn(FACT_PARTITION, F.col(FACT_PARTITION).cast("string"))
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("period_month", F.col("period_month").cast("string"))
+
+
+def apply_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str,
+                  cutoff: str | dt.date, as_of: DateLike) -> None:
+    """Put changed tasks into the fact table and bring the summary table up to date.
+
+    A partition that no longer has any row is removed, not left with its old numbers.
+    """
+    changed = merge_fact(fact_path, changes)
+    partitions = materialize(affected_partitions(changed, cutoff))
+    rows = materialize(refresh_summary(read_fact(spark, fact_path), partitions, cutoff, as_of))
+    write_summary(rows, summary_path)
+    emptied = partitions.join(rows.select(*SUMMARY_PARTITIONS).distinct(), [*SUMMARY_PARTITIONS], "left_anti")
+    remove_partitions(emptied, summary_path, SUMMARY_PARTITIONS)
 
 
 def full_build(bronze: Bronze, fact_path: str, summary_path: str, cutoff: str | dt.date, as_of, updated_at) -> None:
     spark = bronze.taskinst.sparkSession
     write_fact(task_fact(bronze, updated_at), fact_path)
-    write_summary(task_summary(spark.read.parquet(fact_path), cutoff, as_of), summary_path)
+    write_summary(summary_of(read_fact(spark, fact_path), cutoff, as_of), summary_path)
 
 
 def incremental_build(bronze: Bronze, fact_path: str, summary_path: str, lo, hi, cutoff: str | dt.date, as_of,
                       updated_at) -> None:
     """Rebuild tasks touching ``[lo, hi)`` and every summary period they reach."""
     spark = bronze.taskinst.sparkSession
-    changed = merge_fact(fact_path, task_fact(bronze, updated_at, lo, hi))
-    fact = spark.read.parquet(fact_path).withColumn(FACT_PARTITION, F.col(FACT_PARTITION).cast("string"))
-    write_summary(refresh_summary(fact, changed, cutoff, as_of), summary_path)
+    apply_changes(spark, task_fact(bronze, updated_at, lo, hi), fact_path, summary_path, cutoff, as_of)

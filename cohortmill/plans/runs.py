@@ -182,11 +182,14 @@ def run_status(watermarks: DataFrame, checkpoints: DataFrame, tables: dict[str,
 
 def readable_size(size: Column) -> Column:
     """'1.50 KiB', '2.00 GiB'."""
-    text = F.concat(F.format_number(size.cast("double"), 2), F.lit(" B"))
+    def text(scale: int, unit: str) -> Column:
+        number = F.call_function("format_number", size / F.lit(float(scale)), F.lit("0.00"))
+        return F.concat(number, F.lit(f" {unit}"))
+
+    shown = text(1, "B")
     for power, unit in enumerate(("KiB", "MiB", "GiB", "TiB", "PiB"), start=1):
-        text = F.when(size >= 1024 ** power, F.concat(F.format_number(size / float(1024 ** power), 2), F.lit(f" {unit}"))
-                      ).otherwise(text)
-    return text
+        shown = F.when(size >= 1024 ** power, text(1024 ** power, unit)).otherwise(shown)
+    return shown
 
 
 def table_freshness(tables: DataFrame, as_of, stale_hours: int = 24) -> DataFrame:

@@ -88,6 +88,17 @@ def drop_periods(spark: SparkSession, path: str, kept: DataFrame, partition_by:
         *partition_by).parquet(path)
 
 
+def remove_partitions(partitions: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+    """Delete the partition folders listed in ``partitions`` - a short list, one row per calendar period."""
+    jvm = partitions.sparkSession._jvm
+    conf = partitions.sparkSession._jsc.hadoopConfiguration()
+    removed = 0
+    for row in partitions.select(*partition_by).distinct().toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *[f"{c}={row[c]}" for c in partition_by]]))
+        removed += bool(folder.getFileSystem(conf).delete(folder, True))
+    return removed
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the folder the cluster shares."""
     from cohortmill.session import shared_dir
