@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks import gold, reporting, silver  # noqa: E402
+from checks import gold, reporting  # noqa: E402
 from checks.registry import CHECKS  # noqa: E402
 from cohortmill.plans import daily, reports  # noqa: E402
 from cohortmill.session import build_session, scratch_path  # noqa: E402

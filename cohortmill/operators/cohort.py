@@ -17,7 +17,9 @@ from cohortmill.functions.status import settled
 
 BACKLOG_DAYS = 7
 SUFFIX = {"Day": "daily", "Week": "weekly", "Month": "monthly"}
-STATE_COLUMNS = tuple(f"{s}_{suffix}" for suffix in SUFFIX.values() for s in ("todo", "doing", "done"))
+STATES = ("todo", "doing", "done")
+STATE_COLUMNS = tuple(f"{state}_{suffix}" for suffix in SUFFIX.values() for state in STATES)
+NEVER_ENDED = 2_147_483_647
 CELL_KEYS = ("snapshot_date", *DIMENSIONS)
 
 
@@ -26,24 +28,19 @@ def counted(fact: DataFrame) -> DataFrame:
     return fact.where(F.col("is_excluded") == 0)
 
 
-def _state_counts() -> list[Column]:
+def _coded(fact: DataFrame) -> DataFrame:
+    """Each counted task reduced to its keys, one small status code per grain and the days it stayed open.
+
+    Working the dates out once, in a projection, keeps the aggregation's generated code to integer comparisons.
+    """
     start, claim, end = F.col("task_start_date"), F.col("task_claim_date"), F.col("task_end_date")
-    counts = []
-    for grain, suffix in SUFFIX.items():
-        done, taken = settled(grain, end, start), settled(grain, claim, start)
-        counts += [
-            F.count_if(~done & ~taken).alias(f"todo_{suffix}"),
-            F.count_if(~done & taken).alias(f"doing_{suffix}"),
-            F.count_if(done).alias(f"done_{suffix}"),
-        ]
-    return counts
-
-
-def _open_counts(days: int) -> list[Column]:
-    start, end = F.col("task_start_date"), F.col("task_end_date")
-    return [
-        F.count_if(end.isNull() | (end > F.date_add(start, k))).alias(f"open_{k}") for k in range(days)
+    codes = [
+        F.when(settled(grain, end, start), F.lit(2)).when(settled(grain, claim, start), F.lit(1)).otherwise(F.lit(0))
+        .alias(f"_{suffix}")
+        for grain, suffix in SUFFIX.items()
     ]
+    days_open = F.coalesce(F.date_diff(end, start), F.lit(NEVER_ENDED)).alias("_days_open")
+    return counted(fact).where(start.isNotNull()).select(start.alias("snapshot_date"), *DIMENSIONS, *codes, days_open)
 
 
 def cohort_cells(fact: DataFrame, days: int = BACKLOG_DAYS) -> DataFrame:
@@ -52,11 +49,12 @@ def cohort_cells(fact: DataFrame, days: int = BACKLOG_DAYS) -> DataFrame:
     A plain hash aggregation: partial counts are built before the shuffle, so a hot plant or line costs one
     row per input partition.
     """
-    return (
-        counted(fact).where(F.col("task_start_date").isNotNull())
-        .groupBy(F.col("task_start_date").alias("snapshot_date"), *DIMENSIONS)
-        .agg(F.count(F.lit(1)).alias("total_task"), *_state_counts(), *_open_counts(days))
-    )
+    states = [
+        F.count_if(F.col(f"_{suffix}") == code).alias(f"{state}_{suffix}")
+        for suffix in SUFFIX.values() for code, state in enumerate(STATES)
+    ]
+    still_open = [F.count_if(F.col("_days_open") > k).alias(f"open_{k}") for k in range(days)]
+    return _coded(fact).groupBy(*CELL_KEYS).agg(F.count(F.lit(1)).alias("total_task"), *states, *still_open)
 
 
 def milestone(cells: DataFrame) -> DataFrame:
@@ -99,26 +97,3 @@ def zero_open_days(backlog: DataFrame, completed: DataFrame) -> DataFrame:
     """Backlog rows of days on which nothing was opened for those levels."""
     return backlog.join(completed.select(*CELL_KEYS).distinct(), [*CELL_KEYS], "left_anti")
 
-
-def day_activity(cells: DataFrame, days: int = BACKLOG_DAYS) -> DataFrame:
-    """Opening-day counters and backlog per date in one aggregation.
-
-    Equals ``completion`` plus the ``zero_open_days`` rows: a date with nothing opened has zero counters.
-    """
-    own = F.col("_step.offset") == 0
-
-    def own_sum(name: str) -> Column:
-        return F.sum(F.when(own, F.col(name)).otherwise(F.lit(0)))
-
-    return (
-        _backlog_contributions(cells, days)
-        .groupBy(F.col("_day").alias("snapshot_date"), *DIMENSIONS)
-        .agg(
-            own_sum("total_task").alias("total_qty"),
-            own_sum("todo_daily").alias("todo_qty"),
-            own_sum("doing_daily").alias("doing_qty"),
-            own_sum("done_daily").alias("done_qty"),
-            F.sum("_step.still_open").alias("acc_qty"),
-            F.sum("total_task").alias("acc_total_qty"),
-        )
-    )
