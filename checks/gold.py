@@ -90,7 +90,7 @@ def rolling_frame(spark, sf):
 
 
 def served(spark, sf):
-    reports.serving_view(completed(spark, sf), "task_completion")
+    reports.serving_view(cohort.completion_from_cells(cells(spark, sf)), "task_completion")
     return spark.table("task_completion")
 
 
@@ -111,7 +111,8 @@ CHECKS = [
     Check("rolling_backlog_by_region", rolling_frame, ctes.sql("""
         SELECT region, CAST(task_start_date + CAST(k AS INT) AS DATE) AS snapshot_date, count(*) AS acc_total
         FROM counted, range(7) steps(k) GROUP BY 1, 2""")),
-    Check("task_completion", completed, ctes.sql("SELECT * FROM completed")),
+    Check("task_completion", lambda s, d: cohort.completion_from_cells(cells(s, d)), ctes.sql("SELECT * FROM completed")),
+    Check("milestone_backlog_join", completed, ctes.sql("SELECT * FROM completed")),
     Check("serving_view", served, ctes.sql("SELECT * FROM completed")),
     Check("zero_open_days", zero_days, ctes.sql("SELECT * FROM zero_days")),
     Check("day_summary", lambda s, d: summary.day_summary(cells(s, d)), _summary_from("day_rows")),

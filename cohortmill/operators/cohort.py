@@ -93,6 +93,22 @@ def completion(milestones: DataFrame, backlog: DataFrame) -> DataFrame:
     )
 
 
+def completion_from_cells(cells: DataFrame, days: int = BACKLOG_DAYS) -> DataFrame:
+    """The same rows as ``completion`` in one aggregation: no join, and the fact is scanned once."""
+    own = F.col("_step.offset") == 0
+    counters = ("total_task", *STATE_COLUMNS)
+    return (
+        _backlog_contributions(cells, days)
+        .groupBy(F.col("_day").alias("snapshot_date"), *DIMENSIONS)
+        .agg(
+            *[F.sum(F.when(own, F.col(c)).otherwise(F.lit(0))).alias(c) for c in counters],
+            F.sum("_step.still_open").alias("acc"), F.sum("total_task").alias("acc_total_task"),
+        )
+        .where("total_task > 0")
+        .select(*CELL_KEYS, *counters, "acc", "acc_total_task", *calendar_labels("snapshot_date"))
+    )
+
+
 def zero_open_days(backlog: DataFrame, completed: DataFrame) -> DataFrame:
     """Backlog rows of days on which nothing was opened for those levels."""
     return backlog.join(completed.select(*CELL_KEYS).distinct(), [*CELL_KEYS], "left_anti")

@@ -187,9 +187,9 @@ def detail_day_counts(detail: DataFrame, cohort: bool, day: DateLike | None = No
     if cohort:
         rows = detail.where(F.col("in_month_cohort") == 1).withColumn("day", start)
     else:
-        rows = detail.withColumn("day", F.explode(F.array_distinct(F.filter(
-            F.array(start, claim, end), lambda d: d.isNotNull()
-        )))).where(F.date_format("day", "yyyy-MM") == F.col("file_month"))
+        rows = detail.withColumn("day", F.explode(F.array_distinct(F.array(start, claim, end)))).where(
+            F.date_format("day", "yyyy-MM") == F.col("file_month")
+        )
     if day is not None:
         rows = rows.where(F.col("day") == as_date(day))
     d = F.col("day")

@@ -188,17 +188,14 @@ def monthly_report(summary: DataFrame, month: str, **dims) -> DataFrame:
     day = F.col("snapshot_date")
     first_week = F.date_sub(F.trunc(last, "week"), 14)
     last_day_of_weeks = F.date_add(F.trunc(last, "week"), 6)
-    slots = F.filter(
-        F.array(
-            _slot(day.between(first, last), period_type=F.lit("Monthly"), label=F.lit("Total")),
-            _slot(day.between(first_week, last_day_of_weeks), period_type=F.lit("Weekly"), label=week_name(day)),
-            _slot(day.between(F.date_sub(last, 6), last), period_type=F.lit("Daily"), label=day.cast("string")),
-        ),
-        lambda s: s.isNotNull(),
+    slots = F.array(
+        _slot(day.between(first, last), period_type=F.lit("Monthly"), label=F.lit("Total")),
+        _slot(day.between(first_week, last_day_of_weeks), period_type=F.lit("Weekly"), label=week_name(day)),
+        _slot(day.between(F.date_sub(last, 6), last), period_type=F.lit("Daily"), label=day.cast("string")),
     )
     slotted = days.where(day.between(F.least(first, first_week), F.greatest(last, last_day_of_weeks))).select(
         F.inline(slots), *days.columns
-    )
+    ).where(F.col("label").isNotNull())
     totals = latest_then_sum(
         slotted, by=["period_type", "label"], within=["plant", "factory", "line", "vx_type", "region"],
         order_col="snapshot_date", sums=["total_qty", "todo_qty", "doing_qty", "done_qty"], latest=["acc_qty"],
@@ -219,22 +216,19 @@ def legacy_periodic_report(days: DataFrame, anchor: DateLike) -> DataFrame:
     day = F.col("snapshot_date")
     month_start, week_start = F.trunc(a, "month"), F.trunc(a, "week")
     weeks_back = F.expr("div(datediff(_week_start, trunc(snapshot_date, 'week')), 7)")
-    slots = F.filter(
-        F.array(
-            _slot(day.between(month_start, F.last_day(a)), period_name=month_name(a), sort_order=F.lit(1)),
-            _slot((day >= F.date_sub(week_start, 14)) & (day < F.date_add(week_start, 7)),
-                  period_name=week_name(day), sort_order=(F.lit(2) + weeks_back).cast("int")),
-            _slot(day.between(F.date_sub(a, 7), a),
-                  period_name=day.cast("string"), sort_order=(F.lit(5) + F.date_diff(a, day)).cast("int")),
-        ),
-        lambda s: s.isNotNull(),
+    slots = F.array(
+        _slot(day.between(month_start, F.last_day(a)), period_name=month_name(a), sort_order=F.lit(1)),
+        _slot((day >= F.date_sub(week_start, 14)) & (day < F.date_add(week_start, 7)),
+              period_name=week_name(day), sort_order=(F.lit(2) + weeks_back).cast("int")),
+        _slot(day.between(F.date_sub(a, 7), a),
+              period_name=day.cast("string"), sort_order=(F.lit(5) + F.date_diff(a, day)).cast("int")),
     )
     rows = days.where(F.col("period_type") == "Day").withColumn("_week_start", week_start)
     sums = ("total_qty", "done_qty", "doing_qty", "todo_qty", "acc_qty")
     return (
         rows.where(day.between(F.least(month_start, F.date_sub(week_start, 14)),
                                F.greatest(F.last_day(a), F.date_add(week_start, 6))))
-        .select(F.inline(slots), *DIMENSIONS, *sums)
+        .select(F.inline(slots), *DIMENSIONS, *sums).where(F.col("sort_order").isNotNull())
         .groupBy("period_name", "sort_order", *DIMENSIONS)
         .agg(*[F.sum(c).alias(c) for c in sums])
     )
@@ -298,12 +292,11 @@ def file_months(fact: DataFrame, cutoff: str) -> DataFrame:
     """
     first_current = cutoff[:7]
     opened = month_key("task_start_date")
-    others = F.filter(
-        F.array(*[month_key(c) for c in TASK_DATES[1:]]), lambda m: m.isNotNull() & (m < first_current)
-    )
+    others = [F.when(month_key(c) < first_current, month_key(c)) for c in TASK_DATES[1:]]
     return (
         settled_now(fact.where(F.col("is_excluded") == 0))
-        .withColumn("file_month", F.explode(F.array_distinct(F.concat(F.array(opened), others))))
+        .withColumn("file_month", F.explode(F.array_distinct(F.array(opened, *others))))
+        .where(F.col("file_month").isNotNull())
         .withColumn("in_month_cohort", (F.col("file_month") == opened).cast("int"))
     )
 

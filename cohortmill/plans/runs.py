@@ -117,18 +117,10 @@ def catchup_range(
 
 
 def touched_dates(changes: DataFrame) -> DataFrame:
-    """Distinct opening and event dates of changed tasks; pass old and new versions together."""
-    return changes.select(
-        F.explode(F.array_distinct(F.filter(
-            F.array(
-                F.struct(F.col("task_start_date").alias("day"), F.lit(True).alias("opened")),
-                F.struct(F.col("task_start_date").alias("day"), F.lit(False).alias("opened")),
-                F.struct(F.col("task_claim_date").alias("day"), F.lit(False).alias("opened")),
-                F.struct(F.col("task_end_date").alias("day"), F.lit(False).alias("opened")),
-            ),
-            lambda t: t["day"].isNotNull(),
-        ))).alias("_t")
-    ).select("_t.day", "_t.opened").distinct()
+    """Distinct (day, opened) of changed tasks: opening dates, and all event dates; pass old and new versions."""
+    dates = [("task_start_date", True), ("task_start_date", False), ("task_claim_date", False), ("task_end_date", False)]
+    entries = [F.struct(F.col(c).alias("day"), F.lit(opened).alias("opened")) for c, opened in dates]
+    return changes.select(F.inline(F.array(*entries))).where(F.col("day").isNotNull()).distinct()
 
 
 def affected_periods(changes: DataFrame, cutoff: DateLike | None = None, days: int = BACKLOG_DAYS) -> DataFrame:
