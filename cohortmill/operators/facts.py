@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from cohortmill.operators.variables import TEXT_VARIABLES
 from cohortmill.operators.versions import latest_by_key
 
 BRONZE_VERSION = ("_sync_version", "_extracted_at")
+TASK_COLUMNS = ("PROC_DEF_ID_", "TASK_DEF_KEY_", "NAME_", "ASSIGNEE_", "START_TIME_", "CLAIM_TIME_", "END_TIME_")
 
 # Fact column -> variable it comes from.
 BUSINESS_COLUMNS = {
@@ -72,6 +75,11 @@ def auto_complete_flags(variables: DataFrame, tasks: DataFrame | None = None) ->
     return rows.groupBy("TASK_ID_").agg(F.max(F.when(F.col("LONG_") == 1, 1).otherwise(0)).alias("auto_complete"))
 
 
+def _newest(log: DataFrame, keys: list[str], columns: Sequence[str]) -> DataFrame:
+    """Newest version of the columns that are used; selecting them first keeps the others out of scan and shuffle."""
+    return latest_by_key(log.select(*keys, *columns, *BRONZE_VERSION), keys, BRONZE_VERSION)
+
+
 def process_attributes(pivot: DataFrame, five_level: DataFrame, procinst: DataFrame) -> DataFrame:
     """Everything a task inherits from its process, one row per process.
 
@@ -79,7 +87,7 @@ def process_attributes(pivot: DataFrame, five_level: DataFrame, procinst: DataFr
     and has a unique right side; Spark may then split a hot process on the task side (AQE skew join).
     """
     resolved = resolve_levels(pivot, five_level)
-    instances = latest_by_key(procinst, ["ID_"], BRONZE_VERSION).select(
+    instances = _newest(procinst, ["ID_"], ["BUSINESS_STATUS_"]).select(
         F.col("ID_").alias("PROC_INST_ID_"), F.col("BUSINESS_STATUS_").alias("l4_process_id")
     )
     return resolved.join(instances, "PROC_INST_ID_", "full")
@@ -105,12 +113,12 @@ def build_task_fact(
     log = tasks.where(F.col("ID_") != "")
     if lo is not None:
         log = touching_window(log, F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))
-    newest = latest_by_key(log, ["PROC_INST_ID_", "ID_"], BRONZE_VERSION)
+    newest = _newest(log, ["PROC_INST_ID_", "ID_"], TASK_COLUMNS)
 
-    definitions = latest_by_key(procdef, ["ID_"], BRONZE_VERSION).select(
+    definitions = _newest(procdef, ["ID_"], ["NAME_"]).select(
         F.col("ID_").alias("PROC_DEF_ID_"), F.col("NAME_").alias("l4_process_name")
     )
-    people = latest_by_key(employees, ["EmpCode"], BRONZE_VERSION).select(
+    people = _newest(employees, ["EmpCode"], ["EmpName"]).select(
         F.col("EmpCode").alias("ASSIGNEE_"), F.col("EmpName").alias("assignee_name")
     )
     flags = auto_complete_flags(variables, newest if lo is not None else None).withColumnRenamed("TASK_ID_", "ID_")

@@ -24,6 +24,7 @@ from cohortmill.functions.dates import (
     week_key, week_name,
 )
 from cohortmill.operators.cohort import BACKLOG_DAYS, CELL_KEYS, SUFFIX, acc_rolling, cohort_cells, counted
+from cohortmill.operators.filters import TASK_DATES
 
 QUANTITIES = ("total_qty", "todo_qty", "doing_qty", "done_qty", "doing_done_qty", "acc_qty", "acc_total_qty")
 SUMMARY_COLUMNS = (
@@ -153,12 +154,21 @@ def month_summary(cells: DataFrame, since: DateLike | None = None) -> DataFrame:
     return current_summary(cells, ["Month"], since)
 
 
-def event_days(fact: DataFrame) -> DataFrame:
-    """Each counted task once per distinct opening, claim and end date."""
-    dates = F.array_distinct(F.array("task_start_date", "task_claim_date", "task_end_date"))
-    return counted(fact).select(
-        *DIMENSIONS, "task_claim_date", "task_end_date", F.explode(dates).alias("snapshot_date")
-    ).where(F.col("snapshot_date").isNotNull())
+def event_days(fact: DataFrame, before: DateLike | None = None) -> DataFrame:
+    """Each counted task once per distinct opening, claim and end date, of the days ``before`` a date if given.
+
+    The bound is also put on the dates themselves, where it reaches the file scan.
+    """
+    tasks = counted(fact)
+    if before is not None:
+        early = [F.col(c) < as_date(before) for c in TASK_DATES]
+        tasks = tasks.where(early[0] | early[1] | early[2])
+    days = tasks.select(
+        *DIMENSIONS, "task_claim_date", "task_end_date",
+        F.explode(F.array_distinct(F.array(*TASK_DATES))).alias("snapshot_date"),
+    )
+    day = F.col("snapshot_date")
+    return days.where(day.isNotNull() if before is None else day < as_date(before))
 
 
 def _event_states(as_of: DateLike) -> dict[str, Column]:
@@ -173,10 +183,7 @@ def _event_states(as_of: DateLike) -> dict[str, Column]:
 
 def historical_day_counts(fact: DataFrame, as_of: DateLike, before: DateLike | None = None) -> DataFrame:
     """Event-day counters per date and levels."""
-    rows = event_days(fact)
-    if before is not None:
-        rows = rows.where(F.col("snapshot_date") < as_date(before))
-    return rows.groupBy(*CELL_KEYS).agg(
+    return event_days(fact, before).groupBy(*CELL_KEYS).agg(
         F.count(F.lit(1)).alias("total_qty"),
         *[F.count_if(state).alias(f"{name}_qty") for name, state in _event_states(as_of).items()],
     )
@@ -232,7 +239,7 @@ def task_summary(fact: DataFrame, cutoff: dt.date | str, as_of: DateLike) -> Dat
     from_cells = _contributions(cohort_cells(fact), GRAINS, boundary)
     day = F.col("snapshot_date")
     states = {name: state.cast("bigint") for name, state in _event_states(as_of).items()}
-    from_events = event_days(fact).where(day < boundary).select(
+    from_events = event_days(fact, boundary).select(
         *DIMENSIONS, F.inline(F.array(_contribution("Day", day, day, total=F.lit(1), **states)))
     )
     current_day = (F.col("period_type") == "Day") & (F.col("period_start") >= boundary)

@@ -83,16 +83,23 @@ def write_summary(summary: DataFrame, path: str) -> None:
     overwrite_periods(summary.withColumn("period_month", months), path, SUMMARY_PARTITIONS)
 
 
+def calendar_months(months: DataFrame) -> list[str]:
+    """The distinct 'yyyyMM' values of a column: as many as the calendar has months, whatever the rows."""
+    return sorted(row[0] for row in months.distinct().collect())
+
+
+def in_months(fact: DataFrame, months: list[str]) -> DataFrame:
+    """Read only these months' folders; a list of literals prunes partitions at planning time."""
+    return fact.where(F.col(FACT_PARTITION).isin(months))
+
+
 def merge_fact(path: str, changes: DataFrame) -> DataFrame:
     """Put changed tasks into the fact table and return old and new versions of them.
 
     Only the months that hold changed tasks are read and rewritten.
     """
-    spark = changes.sparkSession
     new = materialize(changes.withColumn(FACT_PARTITION, year_month("task_start_date")))
-    months = new.select(FACT_PARTITION).distinct()
-    stored = read_fact(spark, path)
-    touched = stored.join(months, FACT_PARTITION, "left_semi")
+    touched = in_months(read_fact(new.sparkSession, path), calendar_months(new.select(FACT_PARTITION)))
     keys = new.select("task_id").distinct()
     replaced = materialize(touched.join(keys, "task_id", "left_semi"))
     kept = touched.join(keys, "task_id", "left_anti")
@@ -107,26 +114,22 @@ def affected_partitions(changed: DataFrame, cutoff: str | dt.date) -> DataFrame:
 
 
 def _needed_tasks(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date) -> DataFrame:
-    """Tasks those partitions are computed from: openings of the months and a week around, and earlier event days.
-
-    Semi joins on calendar dates and months; the date list carries the fact's partition column, so only the months
-    concerned are read for openings.
-    """
+    """Tasks those partitions are computed from: openings of the months and a week around, and earlier event days."""
     first = F.to_date(F.concat("period_month", F.lit("01")), "yyyyMMdd")
-    around = F.sequence(F.date_sub(first, BACKLOG_DAYS - 1), F.date_add(F.last_day(first), 6), F.expr("INTERVAL '1' DAY"))
-    opening_days = (
-        partitions.select(F.explode(around).alias("task_start_date")).distinct()
-        .withColumn(FACT_PARTITION, year_month("task_start_date"))
-    )
-    opened = fact.join(opening_days, ["task_start_date", FACT_PARTITION], "left_semi")
+    earliest, latest = F.date_sub(first, BACKLOG_DAYS - 1), F.date_add(F.last_day(first), 6)
+    opening_months = calendar_months(partitions.select(
+        F.explode(F.array(year_month(earliest), "period_month", year_month(latest)))
+    ))
+    opened = F.col(FACT_PARTITION).isin(opening_months)
 
     first_current = F.date_format(F.lit(cutoff).cast("date"), "yyyyMM")
-    months = partitions.where((F.col("period_type") == "Day") & (F.col("period_month") < first_current)).select("period_month")
-    acted = [
-        fact.join(months, year_month(col) == F.col("period_month"), "left_semi")
-        for col in ("task_claim_date", "task_end_date")
-    ]
-    return opened.unionByName(acted[0]).unionByName(acted[1]).dropDuplicates(["task_id"])
+    event_months = calendar_months(partitions.where(
+        (F.col("period_type") == "Day") & (F.col("period_month") < first_current)
+    ).select("period_month"))
+    if not event_months:
+        return fact.where(opened)
+    acted = [F.coalesce(year_month(c).isin(event_months), F.lit(False)) for c in ("task_claim_date", "task_end_date")]
+    return fact.where(opened | acted[0] | acted[1])
 
 
 def summary_of(fact: DataFrame, cutoff: str | dt.date, as_of: DateLike) -> DataFrame:

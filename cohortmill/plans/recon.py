@@ -111,14 +111,16 @@ def freshness_lag(source: DataFrame, target: DataFrame, time_col: str, stale_hou
 def missing_keys(source: DataFrame, target: DataFrame, keys: Sequence[str], time_col: str | None = None,
                  n: int | None = 20) -> DataFrame:
     """Source keys absent in the target with first seen time and row count; a report lists the first ``n``."""
-    seen = F.min(time_col).alias("first_seen") if time_col else F.lit(None).cast("timestamp_ntz").alias("first_seen")
-    per_key = source.groupBy(*keys).agg(seen, F.count(F.lit(1)).alias("src_rows"))
-    known = target.select(*keys).distinct()
-    renamed = known.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
-    absent = per_key.join(renamed, same, "left_anti")
+    seen = F.col(time_col) if time_col else F.lit(None).cast("timestamp_ntz")
+    seen_type = source.schema[time_col].dataType if time_col else "timestamp_ntz"
+    sides = source.select(*keys, seen.alias("_seen"), F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
+        target.select(*keys, F.lit(None).cast(seen_type).alias("_seen"), F.lit(0).alias("_s"), F.lit(1).alias("_t"))
+    )
+    absent = (
+        sides.groupBy(*keys)
+        .agg(F.min("_seen").alias("first_seen"), F.sum("_s").alias("src_rows"), F.max("_t").alias("_known"))
+        .where("_known = 0").drop("_known")
+    )
     return absent if n is None else absent.orderBy(*keys).limit(n)
 
 

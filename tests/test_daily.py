@@ -53,6 +53,17 @@ def test_moved_and_excluded_tasks_leave_no_old_rows(spark, make_tasks, paths):
     assert daily.read_fact(spark, paths[0]).count() == 2
 
 
+def test_an_update_reads_only_the_months_it_needs(spark, make_tasks, paths):
+    tasks = make_tasks(*[(f"t{m}", f"2026-{m:02d}-10", None, None) for m in range(1, 10)])
+    daily.write_fact(tasks, paths[0])
+    fact = daily.read_fact(spark, paths[0])
+    parts = spark.createDataFrame([("Day", "202605")], "period_type string, period_month string")
+    needed = daily._needed_tasks(fact, parts, "2026-01-01")
+    assert sorted(r.task_id for r in needed.collect()) == ["t4", "t5", "t6"]
+    plan = needed._jdf.queryExecution().executedPlan().toString()
+    assert "start_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 TASK = ("ID_ string, REV_ int, PROC_DEF_ID_ string, TASK_DEF_KEY_ string, PROC_INST_ID_ string, NAME_ string, "
         "ASSIGNEE_ string, START_TIME_ timestamp_ntz, CLAIM_TIME_ timestamp_ntz, END_TIME_ timestamp_ntz, "
         "_sync_version bigint, _extracted_at timestamp_ntz")
