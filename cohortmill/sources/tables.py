@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill.session import scratch_path
+
 LOG = "_versions_log"
 
 
@@ -100,8 +102,10 @@ def remove_partitions(partitions: DataFrame, path: str, partition_by: Sequence[s
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder the cluster shares."""
-    from cohortmill.session import shared_dir
+    """Cut lineage: write to a fresh folder of the shared scratch space and read it back.
 
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Columnar and compressed, with its size known to the planner; survives lost executors like any table.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
