@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortmill.plans import recon, reports
-from cohortmill.operators.summary import day_summary, task_summary
+from cohortmill.sources.catalog import BATCH, FULL, TableSpec
+from cohortmill.operators.summary import day_summary
 from checks import adapter as a
 from checks.base import Check
 from checks.gold import cells, completed, labelled, whole_summary
@@ -141,6 +142,19 @@ def known_absent(spark, sf):
     return recon.missing_keys(source, target, ["l_partkey", "flag"], None, None).select("l_partkey", "flag", "src_rows")
 
 
+def audited(spark, sf):
+    """Orders against the orders that have lines (frozen window), and customers against orders, whose key they lack."""
+    orders = a.table(spark, sf, "orders")
+    lines = a.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    landed = orders.join(lines, "o_orderkey", "left_semi")
+    cutoff = landed.agg(F.max("o_orderdate"))
+    spec = TableSpec("orders", "orders", BATCH, "o_orderkey bigint, o_orderdate timestamp_ntz", ("o_orderkey",),
+                     time_col="o_orderdate", history_start="1995-01-01")
+    keyless = TableSpec("customer", "customer", FULL, "c_custkey bigint", ("o_custkey",))
+    return recon.audit_table(spec, orders, landed, cutoff, days=400, tolerance_pct=0.5).unionByName(
+        recon.audit_table(keyless, a.table(spark, sf, "customer"), orders))
+
+
 _EVENTS = f"""
 SELECT snapshot_date AS day, vx_type, count(*) AS total,
        count(CASE WHEN s = snapshot_date AND task_claim_date IS DISTINCT FROM snapshot_date
@@ -168,6 +182,23 @@ CHECKS = [
                     THEN printf('%.4f%%', least(sum(target_keys) * 100.0 / CAST(sum(basis_rows) AS DOUBLE), 99.9999))
                     ELSE printf('%.4f%%', sum(target_keys) * 100.0 / CAST(sum(basis_rows) AS DOUBLE)) END
         FROM verdicts""")),
+    Check("audited_tables", audited, """
+        WITH landed AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+        bound AS (SELECT greatest(max(o_orderdate) - INTERVAL '400' DAY, TIMESTAMP '1995-01-01') AS lo, max(o_orderdate) AS hi FROM landed),
+        n AS (SELECT (SELECT count(*) FROM orders, bound WHERE o_orderdate >= lo AND o_orderdate < hi) AS s,
+                     (SELECT count(*) FROM landed, bound WHERE o_orderdate >= lo AND o_orderdate < hi) AS t,
+                     (SELECT date_diff('second', hi, (SELECT max(o_orderdate) FROM orders)) FROM bound) AS lag)
+        SELECT 'orders' AS "table", true AS unique_in_source, s AS source_rows, s AS source_keys, t AS target_rows,
+               t AS target_keys, s - t AS keys_not_in_target, s AS basis_rows, s - t AS missing,
+               round(t * 100.0 / NULLIF(s, 0), 4) AS pct,
+               CASE WHEN lag > 26 * 3600 THEN 'STALE' WHEN s = 0 THEN 'NO_SOURCE_DATA' WHEN t = s THEN 'OK'
+                    WHEN (s - t) * 100.0 / s <= 0.5 THEN 'OK_BOUNDARY' ELSE 'GAP' END AS verdict, lag AS lag_seconds
+        FROM n
+        UNION ALL
+        SELECT 'customer', true, (SELECT count(*) FROM customer), NULL, count(*), count(DISTINCT o_custkey), NULL,
+               (SELECT count(*) FROM customer), (SELECT count(*) FROM customer) - count(DISTINCT o_custkey), 0.0,
+               CASE WHEN count(DISTINCT o_custkey) = (SELECT count(*) FROM customer) THEN 'OK' ELSE 'SKIP_NO_KEY' END, NULL
+        FROM orders"""),
     Check("frozen_window_counts", frozen, f"""
         SELECT 'orders' AS layer, count(*) AS row_count FROM orders
         WHERE o_orderdate >= greatest(TIMESTAMP '{CUT}' - INTERVAL '60' DAY, TIMESTAMP '2001-05-01') AND o_orderdate < TIMESTAMP '{CUT}'

@@ -21,7 +21,7 @@ from cohortmill.operators.summary import task_summary
 from cohortmill.operators.variables import pivot_variables
 from cohortmill.operators.versions import apply_exclusion_flag
 from cohortmill.plans.runs import affected_periods
-from cohortmill.sources.tables import materialize, overwrite_periods, remove_partitions
+from cohortmill.sources.tables import materialize, overwrite_periods, path_exists, remove_partitions
 
 FACT_PARTITION = "start_month"
 SUMMARY_PARTITIONS = ("period_type", "period_month")
@@ -155,8 +155,13 @@ def apply_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summa
                   cutoff: str | dt.date, as_of: DateLike) -> None:
     """Put changed tasks into the fact table and bring the summary table up to date.
 
-    A partition that no longer has any row is removed, not left with its old numbers.
+    A partition that no longer has any row is removed, not left with its old numbers. The first call creates both
+    tables.
     """
+    if not path_exists(spark, fact_path):
+        write_fact(changes, fact_path)
+        write_summary(summary_of(read_fact(spark, fact_path), cutoff, as_of), summary_path)
+        return
     changed = merge_fact(fact_path, changes)
     partitions = materialize(affected_partitions(changed, cutoff))
     rows = materialize(refresh_summary(read_fact(spark, fact_path), partitions, cutoff, as_of))

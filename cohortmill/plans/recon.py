@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortmill.functions.dates import DateLike, as_date
 from cohortmill.operators.filters import within
+from cohortmill.sources.catalog import TableSpec
 
 STALE_HOURS = 26.0
 TOLERANCE_PCT = 0.01
@@ -108,6 +109,35 @@ def freshness_lag(source: DataFrame, target: DataFrame, time_col: str, stale_hou
     })
 
 
+def audit_table(spec: TableSpec, source: DataFrame, target: DataFrame, cutoff=None, days: int = 2,
+                tolerance_pct: float = TOLERANCE_PCT, stale_hours: float = STALE_HOURS) -> DataFrame:
+    """The verdict row of one declared table.
+
+    Batch tables are compared inside the frozen window before ``cutoff`` and checked for lag over all rows; full
+    tables are compared whole. A key column the source does not deliver makes the table SKIP_NO_KEY.
+    """
+    stale, lag_seconds = F.lit(False), F.lit(None).cast("bigint")
+    if spec.time_col:
+        lag = freshness_lag(source, target, spec.time_col, stale_hours)
+        stale, lag_seconds = lag.select("stale").scalar(), lag.select("lag_seconds").scalar()
+        source, target = (frozen_window(side, spec.time_col, cutoff, days, spec.history_start) for side in (source, target))
+    available = set(spec.keys) <= set(source.columns)
+    if available:
+        counts = reconcile_counts(source, target, spec.keys, spec.name, spec.unique_in_source)
+    else:
+        per_key = target.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("n"))
+        sides = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("target_rows"), F.count(F.lit(1)).alias("target_keys"))
+        rows = source.agg(F.count(F.lit(1)).alias("source_rows"))
+        counts = sides.withColumn("source_rows", rows.scalar()).select(
+            F.lit(spec.name).alias("table"), F.lit(spec.unique_in_source).alias("unique_in_source"),
+            "source_rows", F.lit(None).cast("bigint").alias("source_keys"), "target_rows", "target_keys",
+            F.lit(None).cast("bigint").alias("keys_not_in_target"), F.col("source_rows").alias("basis_rows"),
+            (F.col("source_rows") - F.col("target_keys")).alias("missing"), F.lit(0.0).alias("pct"),
+        )
+    verdicts = classify_gap(counts, tolerance_pct, stale, F.lit(available))
+    return verdicts.withColumn("lag_seconds", lag_seconds)
+
+
 def missing_keys(source: DataFrame, target: DataFrame, keys: Sequence[str], time_col: str | None = None,
                  n: int | None = 20) -> DataFrame:
     """Source keys absent in the target with first seen time and row count; a report lists the first ``n``."""

@@ -6,6 +6,7 @@ Windows are half-open. A run appends to the checkpoint table; the newest row per
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from cohortmill.functions.dates import DateLike, as_date, month_key, period_start, week_key
 from cohortmill.operators.cohort import BACKLOG_DAYS
 from cohortmill.operators.versions import latest_by_key
+from cohortmill.sources.tables import append_rows
 
 CHECKPOINT_KEYS = ("phase", "window_start", "window_end")
 SUCCESS, FAILED = "SUCCESS", "FAILED"
@@ -66,6 +68,25 @@ def checkpoint_row(spark: SparkSession, phase: str, window: tuple[dt.datetime, d
     )
 
 
+def run_phase(spark: SparkSession, log_path: str, phase: str, window: tuple[dt.datetime, dt.datetime],
+              action: Callable[[], int], now: Callable[[], dt.datetime]) -> int:
+    """Run one phase for one window and append its checkpoint: rows and duration, or the error, which is raised on."""
+    began = now()
+
+    def record(status: str, rows: int = 0, error: str = "") -> None:
+        ended = now()
+        duration = (ended - began).total_seconds() * 1000
+        append_rows(checkpoint_row(spark, phase, window, status, ended, duration, rows, error).coalesce(1), log_path)
+
+    try:
+        rows = action()
+    except Exception as failure:
+        record(FAILED, error=str(failure))
+        raise
+    record(SUCCESS, rows)
+    return rows
+
+
 def pending_windows(windows: DataFrame, checkpoints: DataFrame, phase: str, activity_dates: DataFrame) -> DataFrame:
     """Windows of a phase that have input and no successful checkpoint.
 

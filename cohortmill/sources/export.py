@@ -71,3 +71,8 @@ def export_month(fact: DataFrame, path: str, month: str, cutoff: str, dry_run: b
     if not dry_run:
         write_detail(detail, path, ("vx_type",))
     return export_preview(detail)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Rows of a drill-down as CSV with a header, one file per partition of the result."""
+    df.write.mode("overwrite").option("header", True).csv(path)

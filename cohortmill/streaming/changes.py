@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cohortmill.operators.versions import latest_by_key
+from cohortmill.plans.daily import apply_changes
 from cohortmill.sources.tables import append_rows
 
 
@@ -47,3 +48,17 @@ def append_with_batch(path: str, keys: Sequence[str], version_cols: Sequence[str
         append_rows(latest_by_key(batch, keys, version_cols), path, partition_by)
 
     return write
+
+
+def refresh_with_batch(fact_path: str, summary_path: str, cutoff, as_of,
+                       version_cols: Sequence[str] = ("_mview_update_time",)) -> Callable[[DataFrame, int], None]:
+    """A batch writer that puts changed task rows into the fact and recomputes the summary months they reach.
+
+    Replaying a batch replaces the same rows and recomputes the same partitions, so it changes nothing.
+    """
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        newest = latest_by_key(batch, ["task_id"], version_cols)
+        if not newest.isEmpty():
+            apply_changes(batch.sparkSession, newest, fact_path, summary_path, cutoff, as_of)
+
+    return write

@@ -3,10 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortmill import DIMENSIONS
 from cohortmill.operators.summary import SUMMARY_COLUMNS
 from cohortmill.plans import daily
+from cohortmill.streaming import changes
 from tests.conftest import day
 from tests.test_summary import frame, random_tasks
 
@@ -42,6 +44,20 @@ def test_late_events_heal_old_cohorts(spark, make_tasks, paths, cutoff):
     assert rows(daily.read_summary(spark, paths[1])) == expected
 
 
+def test_streamed_changes_keep_the_summary_current(spark, make_tasks, paths, tmp_path):
+    final = random_tasks(33, n=40)
+    split = dt.date(2026, 1, 5)
+    opened = [(t[0], t[1], None, None, t[4], t[5]) for t in final if t[1] < split]
+    landing, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    for version, tasks in enumerate((opened, final)):
+        frame(make_tasks, tasks).withColumn("v", F.lit(version)).coalesce(1).write.mode("append").parquet(landing)
+        schema = spark.read.parquet(landing).schema
+        changes.run_available(changes.change_stream(spark, landing, schema), checkpoint,
+                              changes.refresh_with_batch(*paths, "2026-01-01", AS_OF, ["v"]))
+    expected = rows(daily.summary_of(frame(make_tasks, final), "2026-01-01", AS_OF))
+    assert rows(daily.read_summary(spark, paths[1])) == expected
+
+
 def test_moved_and_excluded_tasks_leave_no_old_rows(spark, make_tasks, paths):
     before = make_tasks(("a", "2026-02-20", None, None, "P1"), ("b", "2026-05-03", None, None, "P1"))
     build(spark, before, paths, "2026-01-01")

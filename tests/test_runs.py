@@ -66,6 +66,17 @@ def test_pending_windows_need_input_and_no_success(spark):
     assert got == [2, 3, 5]
 
 
+def test_a_run_leaves_a_checkpoint_whatever_happens(spark, tmp_path):
+    path, window = str(tmp_path / "log"), (T(2026, 1, 1), T(2026, 1, 2))
+    ticks = iter(T(2026, 2, 1, 0, 0, s) for s in range(0, 60, 2))
+    with pytest.raises(RuntimeError):
+        runs.run_phase(spark, path, "facts", window, lambda: (_ for _ in ()).throw(RuntimeError("lost")), lambda: next(ticks))
+    assert runs.latest_checkpoints(spark.read.parquet(path)).first()["error_msg"] == "lost"
+    assert runs.run_phase(spark, path, "facts", window, lambda: 7, lambda: next(ticks)) == 7
+    row = runs.latest_checkpoints(spark.read.parquet(path)).first()
+    assert (row.status, row.result_rows, row.duration_ms) == ("SUCCESS", 7, 2000.0)
+
+
 def test_affected_periods_reach_backlog_days_and_next_periods(spark, make_tasks):
     changed = make_tasks(("a", "2025-12-30", "2026-01-20", None))
     got = {(r.period_type, r.period_key) for r in runs.affected_periods(changed, "2026-01-01").collect()}
