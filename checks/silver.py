@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortmill.operators import classify, dimensions, facts, filters, rollups, variables, versions
-from cohortmill.operators.summary import day_summary, task_summary
+from cohortmill.operators.summary import day_summary
 from cohortmill.operators.cohort import cohort_cells
 from cohortmill.plans import daily
 from checks import adapter as a
 from checks.base import Check
-from checks.oracle import DIMS, SUMMARY_COLS, ctes, week_start
+from checks.oracle import ctes, week_start
 
 LO, HI = "1998-01-01", "1998-07-01"
 

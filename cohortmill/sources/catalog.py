@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from pyspark.sql.types import StructType
 
 FULL, BATCH = "full", "batch"
-LINEAGE_DDL = "_batch_id string, _extracted_at timestamp_ntz, _sync_version bigint"
 
 
 @dataclass(frozen=True)

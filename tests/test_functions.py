@@ -77,3 +77,17 @@ def test_live_status_is_by_assignee(spark):
     assert first(spark, status, ddl, (None, "E1")) == "DOING"
     assert first(spark, status, ddl, (None, "")) == "TODO"
     assert first(spark, status, ddl, (dt.date(2025, 1, 1), None)) == "DONE"
+
+
+def test_calendar_agrees_with_python_on_every_day_of_forty_years(spark):
+    days = spark.sql("SELECT explode(sequence(date'1995-01-01', date'2035-12-31')) AS d")
+    rows = days.select(
+        "d", dates.week_key("d").alias("week"), dates.month_key("d").alias("month"), dates.month_name("d").alias("name"),
+        dates.period_start("Week", "d").alias("monday"), dates.period_end("Month", "d").alias("last"),
+    ).collect()
+    for r in rows:
+        iso = r.d.isocalendar()
+        assert r.week == f"{iso.year}-W{iso.week:02d}"
+        assert (r.month, r.name) == (f"{r.d:%Y-%m}", f"{r.d:%b}.")
+        assert r.monday == r.d - dt.timedelta(days=r.d.weekday())
+        assert (r.last + dt.timedelta(days=1)).day == 1 and r.last.month == r.d.month

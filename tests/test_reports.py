@@ -121,3 +121,19 @@ def test_serving_view_columns(spark, make_tasks):
     cells = cohort.cohort_cells(make_tasks(("a", "2026-02-20", None, None)))
     reports.serving_view(cohort.completion_from_cells(cells), "served")
     assert spark.table("served").where(F.col("total_task") == 1).count() == 1
+
+
+def test_drill_and_month_files_on_disk(spark, make_tasks, tmp_path):
+    tasks = make_tasks(("a", "2026-02-20", "2026-03-01", "2026-03-31"), ("b", "2026-02-20", "2026-02-20", None),
+                       ("x", "2026-02-20", None, None, "P1", 1)).withColumns({
+        "task_start_time": F.col("task_start_date").cast("timestamp_ntz"),
+        "task_end_time": F.col("task_end_date").cast("timestamp_ntz")})
+    drill = reports.audit_drill(tasks, "2026-02-20", "all", plant="P1")
+    assert [r.task_id for r in drill.collect()] == ["a", "b"]  # ended first, then open ones
+    export.write_csv(drill, str(tmp_path / "drill"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "drill")).count() == 2
+    export.export_monthly_detail(tasks, str(tmp_path / "files"), "2026-04-01")
+    folders = sorted(p.name for p in (tmp_path / "files").iterdir() if p.is_dir())
+    assert folders == ["_by_file_month=2026-02", "_by_file_month=2026-03"]
+    back = spark.read.option("header", True).csv(str(tmp_path / "files" / "_by_file_month=2026-03"))
+    assert [(r.task_id, r.file_month, r.in_month_cohort) for r in back.collect()] == [("a", "2026-03", "0")]

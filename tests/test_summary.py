@@ -167,3 +167,10 @@ def test_completion_in_one_aggregation_equals_the_join(spark, make_tasks):
 def test_the_fact_is_aggregated_before_it_is_shuffled(spark, make_tasks):
     plan = cohort.cohort_cells(make_tasks(("a", "2026-05-08", None, None)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("HashAggregate") == 2
+
+
+def test_partitioning_of_the_input_does_not_matter(spark, make_tasks):
+    tasks = frame(make_tasks, random_tasks(7, hot=0.9))
+    one = as_dict(summary.task_summary(tasks.coalesce(1), "2026-01-01", "2026-03-01"))
+    many = as_dict(summary.task_summary(tasks.repartition(13), "2026-01-01", "2026-03-01"))
+    assert one == many
