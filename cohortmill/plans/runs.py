@@ -91,7 +91,7 @@ def pending_windows(windows: DataFrame, checkpoints: DataFrame, phase: str, acti
     """Windows of a phase that have input and no successful checkpoint.
 
     ``activity_dates`` (column ``day``) are the dates of the phase's own input; windows are matched to them day by
-    day, an equality on calendar dates. A window without input stays pending-free and is looked at again later.
+    day, an equality on calendar dates. A window without input is not pending; a later run looks at it again.
     """
     done = (
         latest_checkpoints(checkpoints.where(F.col("phase") == phase)).where(F.col("status") == SUCCESS)
