@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import string
 
+from cohortmill.llm.license_templates import BASE_PHRASES, LABELS, TEMPLATES
+from cohortmill.llm.licenses import Automaton
+
 # The two word patterns of the contracts.
 ALNUM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPACE_WORDS = r"[^\x20\x09-\x0D]+"
@@ -48,12 +51,12 @@ shingle AS (
                                WHEN len(w) = 1 THEN w ELSE [] END) AS s FROM doc)
 ),
 n AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
-both AS (
+common AS (
   SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id
   GROUP BY ALL
 ),
 link AS (
-  SELECT u, v FROM both JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * k >= 80 * (a.n + b.n - k)
+  SELECT u, v FROM common JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * k >= 80 * (a.n + b.n - k)
 ),
 reach AS (
   SELECT u, v FROM link UNION SELECT v, u FROM link
@@ -64,3 +67,60 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id))
        doc_id <= coalesce(m, doc_id) AS kept
 FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN least_id USING (doc_id)
 """
+
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (payload_digest)
+"""
+
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+link AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+),
+reach AS (SELECT u, v FROM link UNION SELECT r.u, l.v FROM reach r JOIN link l ON r.v = l.u),
+least_id AS (SELECT u AS vec_id, min(v) AS m FROM reach GROUP BY u),
+n AS (SELECT u AS vec_id, count(*) AS n FROM link GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN least_id USING (vec_id)
+"""
+
+
+def licenses() -> str:
+    """Base places word by word; each template as a regular expression over the words of a text."""
+    by_label: dict[str, list[str]] = {}
+    for name, template in TEMPLATES.items():
+        by_label.setdefault(LABELS.get(name, name), []).append(Automaton(template).pattern())
+    method = " UNION ALL ".join(
+        f"SELECT r, '{label}' AS label FROM doc WHERE " + " OR ".join(f"regexp_matches(s, '{p}')" for p in patterns)
+        for label, patterns in by_label.items())
+    base = " UNION ALL ".join(
+        f"SELECT r, '{label}' AS label, unnest(list_filter(range(0, len(w) - {n} + 1), "
+        f"lambda i: array_to_string(w[i + 1:i + {n}], ' ') = '{phrase}')) AS at FROM doc WHERE len(w) >= {n}"
+        for phrase, label in BASE_PHRASES.items() for n in [len(phrase.split())])
+    return f"""
+WITH raw AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
+doc AS (SELECT r, doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS s FROM raw),
+base AS ({base}), method AS ({method}),
+b AS (SELECT r, count(*) AS n, min(at) AS a, max(at) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
+m AS (SELECT DISTINCT r FROM method),
+l AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT r, label FROM base UNION SELECT r, label FROM method) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(b.n, 0) AS n_base, b.a AS first_word, b.z AS last_word,
+       coalesce(b.labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
+       CASE WHEN m.r IS NOT NULL THEN 1.0::DOUBLE WHEN b.n > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+FROM doc LEFT JOIN b USING (r) LEFT JOIN m USING (r) LEFT JOIN l USING (r)
+"""

@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cohortmill.llm import byte_bpe, decontamination, language_id, minhash, oracles
+from cohortmill.llm import (
+    byte_bpe, decontamination, embeddings, html_extraction, language_id, licenses, minhash, oracles, quotation, sharding, warc,
+)
+from cohortmill.llm.staging import staged
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -23,6 +26,11 @@ def ranks() -> dict[bytes, int]:
     return byte_bpe.read_ranks(public_tokenizers.path(VOCABULARY))
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_extraction.main_text(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -32,10 +40,41 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    of_method = F.transform("matches", lambda m: m["label"])
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base_labels", of_method)), ",").alias("labels"),
+        F.when(F.size("matches") > 0, 1.0).when(F.col("n_base") > 0, 0.5).otherwise(0.0).alias("score"),
+    )
+
+
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation.link_quotations(table(spark, sf_dir, "conversations"))
+
+
+def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.round_trip(table(spark, sf_dir, "pages"))
+    pages = staged(captures.select("record_id", "page_id", "response.*"), "captures")
+    originals = staged(pages.groupBy("record_id").agg(F.min("page_id").alias("original")), "originals")
+    return pages.join(originals.withColumnRenamed("record_id", "refers_to"), "refers_to", "left").select(
+        "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("original").alias("refers_to"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op8_byte_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"), 16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs, ~held_out())
@@ -47,9 +86,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_benchmark_decontamination, op6_minhash_near_dedup, op9_language_id, op10_byte_bpe,
+    op1_html_extraction, op2_benchmark_decontamination, op3_license_scans, op4_quotation_linking, op5_warc_transactions,
+    op6_minhash_near_dedup, op7_embedding_near_dedup, op8_byte_sharding, op9_language_id, op10_byte_bpe,
 )}
 ORACLES = {
     "op2_benchmark_decontamination": oracles.DECONTAMINATION,
+    "op3_license_scans": oracles.licenses(),
+    "op5_warc_transactions": oracles.WARC,
     "op6_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op7_embedding_near_dedup": oracles.VECTORS,
 }
