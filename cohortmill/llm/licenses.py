@@ -107,7 +107,7 @@ class Automaton:
         """The same language as a regular expression over words that each end in one space."""
         def text(region: list) -> str:
             return "".join(
-                "(?:" + "|".join(_variants(p)) + ") " if isinstance(p, str)
+                "(?:" + "|".join(variants(p)) + ") " if isinstance(p, str)
                 else f"(?:[^ ]+ ){{0,{p[1]}}}" if p[0] == "any" else f"(?:{text(p[1])})?"
                 for p in region
             )
@@ -117,7 +117,7 @@ class Automaton:
 _SPELLED = {k.encode(): v.encode() for k, v in SPELLINGS.items()}
 
 
-def _variants(word: str) -> list[str]:
+def variants(word: str) -> list[str]:
     return [word, *(k for k, v in SPELLINGS.items() if v == word)]
 
 
@@ -134,7 +134,7 @@ class Scanner:
         self.phrases = phrases
         self.anchors: dict[int, dict[bytes, list[int]]] = {}
         for k, (_, automaton) in enumerate(self.automata):
-            for spelled in itertools.product(*map(_variants, automaton.anchor)):
+            for spelled in itertools.product(*map(variants, automaton.anchor)):
                 by_text = self.anchors.setdefault(len(spelled), {})
                 by_text.setdefault(" ".join(spelled).encode(), []).append(k)
         self.sought: dict[int, np.ndarray] = {}

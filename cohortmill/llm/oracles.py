@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import string
 
 from cohortmill.llm.license_templates import BASE_PHRASES, LABELS, TEMPLATES
-from cohortmill.llm.licenses import Automaton
+from cohortmill.llm.licenses import Automaton, variants
 
 # The two word patterns of the contracts.
 ALNUM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -101,19 +102,22 @@ def licenses() -> str:
     """Base places word by word; each template as a regular expression over the words of a text."""
     by_label: dict[str, list[str]] = {}
     for name, template in TEMPLATES.items():
-        by_label.setdefault(LABELS.get(name, name), []).append(Automaton(template).pattern())
+        automaton = Automaton(template)
+        anchors = [" ".join(a) for a in itertools.product(*map(variants, automaton.anchor))]
+        there = " OR ".join(f"contains(s, ' {a} ')" for a in anchors)
+        by_label.setdefault(LABELS.get(name, name), []).append(f"(({there}) AND regexp_matches(s, '{automaton.pattern()}'))")
     method = " UNION ALL ".join(
-        f"SELECT r, '{label}' AS label FROM doc WHERE " + " OR ".join(f"regexp_matches(s, '{p}')" for p in patterns)
+        f"SELECT r, '{label}' AS label FROM doc WHERE " + " OR ".join(patterns)
         for label, patterns in by_label.items())
     base = " UNION ALL ".join(
         f"SELECT r, '{label}' AS label, unnest(list_filter(range(0, len(w) - {n} + 1), "
-        f"lambda i: array_to_string(w[i + 1:i + {n}], ' ') = '{phrase}')) AS at FROM doc WHERE len(w) >= {n}"
+        f"lambda i: array_to_string(w[i + 1:i + {n}], ' ') = '{phrase}')) AS pos FROM doc WHERE len(w) >= {n}"
         for phrase, label in BASE_PHRASES.items() for n in [len(phrase.split())])
     return f"""
 WITH raw AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
 doc AS (SELECT r, doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS s FROM raw),
 base AS ({base}), method AS ({method}),
-b AS (SELECT r, count(*) AS n, min(at) AS a, max(at) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
+b AS (SELECT r, count(*) AS n, min(pos) AS a, max(pos) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
 m AS (SELECT DISTINCT r FROM method),
 l AS (
   SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
