@@ -124,3 +124,33 @@ def gather(table: np.ndarray, table_bounds: np.ndarray, keys: np.ndarray) -> tup
     lengths = np.diff(table_bounds)[keys]
     bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
     return table[np.repeat(table_bounds[:-1][keys] - bounds[:-1], lengths) + np.arange(bounds[-1])], bounds
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple[int, ...], pa.Table]]:
+    """The runs of rows with equal integer ``keys`` of a sorted partition; one run at a time is held."""
+    key, parts = None, []
+    for batch in batches:
+        values = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in keys], axis=1)
+        cuts = (np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist()
+        for low, high in zip([0, *cuts], [*cuts, len(values)], strict=True):
+            if low == high:
+                continue
+            own = tuple(values[low].tolist())
+            if own != key and parts:
+                yield key, pa.Table.from_batches(parts)
+                parts = []
+            key = own
+            parts.append(batch.slice(low, high - low))
+    if parts:
+        yield key, pa.Table.from_batches(parts)
+
+
+def smallest_connected(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """For each of ``n`` nodes the smallest node it is connected with by the links (u, v)."""
+    label, before = np.arange(n), None
+    while before is None or (before != label).any():
+        before = label.copy()
+        np.minimum.at(label, u, before[v])
+        np.minimum.at(label, v, before[u])
+        label = label[label]
+    return label

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cohortmill.llm.batches import mix
+from cohortmill.llm.batches import runs, smallest_connected
 from cohortmill.llm.components import components
 from cohortmill.llm.staging import prepare, staged
 
@@ -115,47 +115,34 @@ def unit(stack: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-class _Cell:
-    """The rows of one cell, gathered from consecutive batches."""
-
-    def __init__(self, key: tuple, threshold: float, epsilon: float) -> None:
-        self.key, self.threshold, self.epsilon = key, threshold, epsilon
-        self.parts: list[pa.RecordBatch] = []
-
-    def links(self) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, has links, number of links, position of the smallest connected member)."""
-        table = pa.Table.from_batches(self.parts)
-        n = table.num_rows
-        def matrix(name):
-            return np.asarray(table.column(name).combine_chunks().flatten()).reshape(n, -1)
-
-        packed = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(n, -1)
-        units, keys = unit(matrix("vector")), matrix("keys")
-        blocks = table.column("block").to_numpy()
-        _, band, low, high = self.key
-        pairs = np.triu(np.ones((n, n), bool), 1)
-        if low != high:  # pairs inside one block belong to its own cell
-            pairs &= blocks[:, None] != blocks[None, :]
-        for k in range(band):
-            if not pairs.any():
-                break
-            pairs &= keys[:, k][:, None] != keys[:, k][None, :]
-        pairs &= possible(units, packed, table.column("factor").to_numpy(), self.threshold, self.epsilon)
-        u, v = np.nonzero(pairs)
-        exact = np.concatenate([
-            np.einsum("ij,ij->i", units[u[k:k + 8192]], units[v[k:k + 8192]]) for k in range(0, len(u), 8192)] or [np.zeros(0)])
-        u, v = u[exact >= self.threshold], v[exact >= self.threshold]
-        weights = table.column("weight").to_numpy()
-        count = np.zeros(n, np.int64)
-        np.add.at(count, u, weights[v])
-        np.add.at(count, v, weights[u])
-        label, before = np.arange(n), None
-        while before is None or (before != label).any():
-            before = label.copy()
-            np.minimum.at(label, u, before[v])
-            np.minimum.at(label, v, before[u])
-            label = label[label]
-        return table.column("id"), count > 0, count, label
+def _cell_links(cell: tuple[int, ...], table: pa.Table, threshold: float, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+    """(number of links, position of the smallest connected member) of the rows of one cell."""
+    n = table.num_rows
+
+    def matrix(name: str) -> np.ndarray:
+        return np.asarray(table.column(name).combine_chunks().flatten()).reshape(n, -1)
+
+    packed = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(n, -1)
+    units, keys = unit(matrix("vector")), matrix("keys")
+    blocks = table.column("block").to_numpy()
+    _, _, band, low, high = cell
+    pairs = np.triu(np.ones((n, n), bool), 1)
+    if low != high:  # pairs inside one block belong to its own cell
+        pairs &= blocks[:, None] != blocks[None, :]
+    for k in range(band):
+        if not pairs.any():
+            break
+        pairs &= keys[:, k][:, None] != keys[:, k][None, :]
+    if pairs.any():
+        pairs &= possible(units, packed, table.column("factor").to_numpy(), threshold, epsilon)
+    u, v = np.nonzero(pairs)
+    exact = np.concatenate([np.zeros(0), *(
+        np.einsum("ij,ij->i", units[u[k:k + 8192]], units[v[k:k + 8192]]) for k in range(0, len(u), 8192))])
+    u, v = u[exact >= threshold], v[exact >= threshold]
+    weights, count = table.column("weight").to_numpy(), np.zeros(n, np.int64)
+    np.add.at(count, u, weights[v])
+    np.add.at(count, v, weights[u])
+    return count, smallest_connected(n, u, v)
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -191,31 +178,13 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, id_col:
     id_type = nodes.schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(cell: _Cell) -> Iterator[pa.RecordBatch]:
-            ids, linked, count, label = cell.links()
-            ids = ids.combine_chunks()
-            keep = np.flatnonzero(linked)
+        for cell, table in runs(batches, cells):
+            count, label = _cell_links(cell, table, threshold, epsilon)
+            ids, keep = table.column("id").combine_chunks(), np.flatnonzero(count)
             if len(keep):
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(label[keep])), ids.take(pa.array(keep)), pa.array(count[keep])], ["u", "v", "n"])
 
-        cell = None
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in cells], axis=1)
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            for low, high in zip([0, *cuts], [*cuts, len(keys)], strict=True):
-                if low == high:
-                    continue
-                key = tuple(keys[low].tolist())
-                if cell is None or cell.whole != key:
-                    if cell is not None:
-                        yield from done(cell)
-                    cell = _Cell(key[1:], threshold, epsilon)
-                    cell.whole = key
-                cell.parts.append(batch.slice(low, high - low))
-        if cell is not None:
-            yield from done(cell)
-
     found = filled.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(run, T.StructType([
         T.StructField("u", id_type), T.StructField("v", id_type), T.StructField("n", T.LongType())]))
     found = staged(found, "found")

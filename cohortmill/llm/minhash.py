@@ -11,7 +11,9 @@ that share all buckets give the same pairs again. Candidates are confirmed on th
 1. every node against the smallest of its hubs;
 2. the other star pairs whose ends are not yet in one component;
 3. what stars cannot see: pairs of one bucket whose ends are still in different components. A link inside a component
-   adds nothing, so after the stars these are the pairs that can still change the result.
+   adds nothing, so after the stars these are the pairs that can still change the result. Such a bucket (one of those with
+   the same members) is dealt into blocks by a hash; two blocks are a cell, whose intersections are products of the
+   0/1 matrix of documents and shingles. A cell gives one row per linked document, never its pairs.
 
 At 0.8 a pair misses all of 40 bands of 6 bins with probability 5e-6; size bounds (the smaller set has at least 0.8 of the
 larger one) are exact.
@@ -30,12 +32,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortmill.llm.batches import NOT_SPACE, Words, mix, word_chunks
+from cohortmill.llm.batches import NOT_SPACE, Words, mix, runs, smallest_connected, word_chunks
 from cohortmill.llm.components import components
 from cohortmill.llm.staging import prepare, staged
 
 BANDS = 40
 ROWS = 6
+# A block of an open bucket holds about so many documents, and shingles, at most.
+BLOCK_DOCS = 512
+BLOCK_SHINGLES = 500_000
 
 
 def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
@@ -146,6 +151,64 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return joined.mapInArrow(compare, schema)
 
 
+def intersections(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """Intersection sizes of all pairs of sets of hashes: products of the 0/1 matrix, ``width`` elements at a time."""
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, element, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1  # elements of one set only do not matter
+    held = times[element] > 1
+    element, owner = place[element[held]], owner[held]
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    for low in range(0, int(element[-1]) + 1 if len(element) else 0, width):
+        a, b = np.searchsorted(element, [low, low + width])
+        part = np.zeros((len(sets), width), np.float32)
+        part[owner[a:b], element[a:b] - low] = 1
+        total += part @ part.T
+    return total
+
+
+def open_pairs(open_rows: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (u, v) that connect what is linked between different components inside the buckets of ``open_rows``
+    (bucket, id, n, component)."""
+    mark = F.xxhash64("id")
+    stats = open_rows.groupBy("bucket").agg(
+        F.count("*").alias("docs"), F.sum("n").alias("shingles"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark)).alias("y"))
+    blocks = F.greatest(F.ceil(F.col("docs") / F.lit(BLOCK_DOCS)), F.ceil(F.col("shingles") / F.lit(BLOCK_SHINGLES))).cast("int")
+    chosen = staged(stats.groupBy("docs", "shingles", "x", "y").agg(F.min("bucket").alias("bucket"))
+                    .select("bucket", blocks.alias("blocks")), "open-buckets")
+    cells = ["bucket", "low", "high"]
+    dealt = (
+        open_rows.join(chosen, "bucket").withColumn("block", F.pmod(mark, F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "component")
+    )
+    id_type = open_rows.schema["id"].dataType
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, low, high), table in runs(batches, cells):
+            sets: list[np.ndarray] = []
+            for _, _, words in word_chunks(table.column("text").combine_chunks(), NOT_SPACE):
+                sets.extend(shingle_sets(words, size))
+            both = intersections(sets)
+            n = np.array([len(s) for s in sets], np.float32)
+            of = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+            pairs = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (both > 0) & (of[:, None] != of[None, :])
+            if low != high:
+                block = table.column("block").to_numpy()
+                pairs &= block[:, None] != block[None, :]
+            u, v = np.nonzero(np.triu(pairs, 1))
+            if len(u):
+                label, ids = smallest_connected(len(sets), u, v), table.column("id").combine_chunks()
+                keep = np.flatnonzero(label != np.arange(len(sets)))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(label[keep])), ids.take(pa.array(keep))], ["u", "v"])
+
+    filled = staged(dealt, "open-cells").join(texts, "id").select(*cells, "block", "id", "component", "text")
+    schema = T.StructType([T.StructField("u", id_type), T.StructField("v", id_type)])
+    return filled.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(compare, schema)
+
+
 def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
@@ -215,14 +278,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         "mixed",
     )
     open_rows = staged(own.join(mixed, "bucket", "left_semi"), "open")
-    a, b = open_rows.alias("a"), open_rows.alias("b")
-    third = (
-        a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.id") < F.col("b.id"))
-               & (F.col("a.component") != F.col("b.component")) & _sizes_allow(F.col("a.n"), F.col("b.n"), percent))
-        .select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
-        .join(stars, ["u", "v"], "left_anti")
-    )
-    more = staged(confirmed(third, texts, size, percent), "confirmed")
+    more = staged(open_pairs(open_rows, texts, size, percent), "confirmed")
     named = components(links.union(more)) if more.limit(1).count() else named
 
     named = named.withColumnRenamed("id", "node")
