@@ -154,3 +154,40 @@ def smallest_connected(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         np.minimum.at(label, v, before[u])
         label = label[label]
     return label
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 4096) -> Iterator[tuple[np.ndarray, pa.Table]]:
+    """Stretches of complete runs, of about ``least`` rows or one longer run, with the first row of each run (and the end)."""
+    held: list[pa.RecordBatch] = []
+    values: list[np.ndarray] = []
+
+    def cut(end: int | None) -> tuple[np.ndarray, pa.Table] | None:
+        nonlocal held, values
+        table, matrix = pa.Table.from_batches(held), np.concatenate(values)
+        changes = np.flatnonzero((matrix[1:] != matrix[:-1]).any(axis=1)) + 1
+        if end is None:
+            if not len(changes):
+                return None
+            end = int(changes[-1])
+        held, values = table.slice(end).to_batches(), [matrix[end:]]
+        return np.concatenate([[0], changes[changes < end], [end]]), table.slice(0, end)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            values.append(np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in keys], axis=1))
+            if sum(map(len, values)) >= least and (out := cut(None)) is not None:
+                yield out
+    if held:
+        yield cut(sum(map(len, values)))
+
+
+def pairs_of_runs(bounds: np.ndarray, limit: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (u, v), u before v, of rows in one run, some at a time."""
+    ends = np.repeat(bounds[1:], np.diff(bounds))
+    counts = ends - np.arange(len(ends)) - 1
+    for low, high in row_chunks(np.concatenate([[0], np.cumsum(counts)]), limit):
+        own = counts[low:high]
+        u = np.repeat(np.arange(low, high), own)
+        before = np.concatenate([[0], np.cumsum(own)])[:-1]
+        yield u, u + 1 + np.arange(len(u)) - np.repeat(before, own)

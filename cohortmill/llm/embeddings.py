@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from cohortmill.llm.batches import runs, smallest_connected
+from cohortmill.llm.batches import pairs_of_runs, smallest_connected, whole_runs
 from cohortmill.llm.components import components
 from cohortmill.llm.staging import prepare, staged
 
@@ -61,14 +61,16 @@ def codes(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(rotated > 0, axis=1), np.abs(rotated).sum(axis=1) / np.sqrt(units.shape[1])
 
 
-def possible(units: np.ndarray, packed: np.ndarray, factors: np.ndarray, threshold: float, epsilon: float) -> np.ndarray:
-    """Pairs whose cosine may reach the threshold, by the bounds of both codes."""
-    dim = units.shape[1]
-    signs = np.unpackbits(packed, axis=1, count=dim) * 2.0 - 1.0
-    estimate = signs @ (units @ rotation(dim)).T / np.sqrt(dim) / factors[:, None]
+def possible(signs: np.ndarray, rotated: np.ndarray, factors: np.ndarray, u: np.ndarray, v: np.ndarray, threshold: float,
+             epsilon: float) -> np.ndarray:
+    """Whether the cosine of the pairs (u, v) may reach the threshold, by the bounds of both codes."""
+    dim = signs.shape[1]
     error = epsilon * np.sqrt(np.maximum(1 - factors**2, 0)) / factors / np.sqrt(max(dim - 1, 1))
-    may = estimate + error[:, None] >= threshold
-    return may & may.T
+    out = np.ones(len(u), bool)
+    for a, b in ((u, v), (v, u)):
+        estimate = np.einsum("ij,ij->i", signs[a], rotated[b]) / np.sqrt(dim) / factors[a]
+        out &= estimate + error[a] >= threshold
+    return out
 
 
 _VECTOR = T.StructType([
@@ -115,34 +117,34 @@ def unit(stack: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _cell_links(cell: tuple[int, ...], table: pa.Table, threshold: float, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
-    """(number of links, position of the smallest connected member) of the rows of one cell."""
+def _cell_links(bounds: np.ndarray, table: pa.Table, threshold: float, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+    """(number of links, position of the smallest connected member) of the rows of some cells."""
     n = table.num_rows
 
     def matrix(name: str) -> np.ndarray:
         return np.asarray(table.column(name).combine_chunks().flatten()).reshape(n, -1)
 
     packed = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(n, -1)
-    units, keys = unit(matrix("vector")), matrix("keys")
-    blocks = table.column("block").to_numpy()
-    _, _, band, low, high = cell
-    pairs = np.triu(np.ones((n, n), bool), 1)
-    if low != high:  # pairs inside one block belong to its own cell
-        pairs &= blocks[:, None] != blocks[None, :]
-    for k in range(band):
-        if not pairs.any():
-            break
-        pairs &= keys[:, k][:, None] != keys[:, k][None, :]
-    if pairs.any():
-        pairs &= possible(units, packed, table.column("factor").to_numpy(), threshold, epsilon)
-    u, v = np.nonzero(pairs)
-    exact = np.concatenate([np.zeros(0), *(
-        np.einsum("ij,ij->i", units[u[k:k + 8192]], units[v[k:k + 8192]]) for k in range(0, len(u), 8192))])
-    u, v = u[exact >= threshold], v[exact >= threshold]
+    units, keys, factors = unit(matrix("vector")), matrix("keys"), table.column("factor").to_numpy()
+    dim = units.shape[1]
+    signs, rotated = np.unpackbits(packed, axis=1, count=dim).astype(np.float32) * 2 - 1, (units @ rotation(dim)).astype(np.float32)
+    block, low, high, band = (table.column(c).to_numpy() for c in ("block", "low", "high", "band"))
     weights, count = table.column("weight").to_numpy(), np.zeros(n, np.int64)
-    np.add.at(count, u, weights[v])
-    np.add.at(count, v, weights[u])
-    return count, smallest_connected(n, u, v)
+    links_u, links_v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for u, v in pairs_of_runs(bounds):
+        two = (low[u] == high[u]) | (block[u] != block[v])  # pairs inside one block belong to its own cell
+        u, v = u[two], v[two]
+        first = (keys[u] == keys[v]).argmax(axis=1) == band[u]
+        u, v = u[first], v[first]
+        near = possible(signs, rotated, factors, u, v, threshold, epsilon)
+        u, v = u[near], v[near]
+        linked = np.einsum("ij,ij->i", units[u], units[v]) >= threshold
+        u, v = u[linked], v[linked]
+        np.add.at(count, u, weights[v])
+        np.add.at(count, v, weights[u])
+        links_u.append(u)
+        links_v.append(v)
+    return count, smallest_connected(n, np.concatenate(links_u), np.concatenate(links_v))
 
 
 def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -178,12 +180,16 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, id_col:
     id_type = nodes.schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell, table in runs(batches, cells):
-            count, label = _cell_links(cell, table, threshold, epsilon)
-            ids, keep = table.column("id").combine_chunks(), np.flatnonzero(count)
-            if len(keep):
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(label[keep])), ids.take(pa.array(keep)), pa.array(count[keep])], ["u", "v", "n"])
+        for bounds, table in whole_runs(batches, cells):
+            dims = table.column("dim").to_numpy()[bounds[:-1]]
+            cuts = np.concatenate([[0], np.flatnonzero(dims[1:] != dims[:-1]) + 1, [len(dims)]])
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                part = table.slice(bounds[a], bounds[b] - bounds[a])
+                count, label = _cell_links(bounds[a:b + 1] - bounds[a], part, threshold, epsilon)
+                ids, keep = part.column("id").combine_chunks(), np.flatnonzero(count)
+                if len(keep):
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(label[keep])), ids.take(pa.array(keep)), pa.array(count[keep])], ["u", "v", "n"])
 
     found = filled.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(run, T.StructType([
         T.StructField("u", id_type), T.StructField("v", id_type), T.StructField("n", T.LongType())]))
