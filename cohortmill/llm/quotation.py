@@ -10,8 +10,8 @@ turns from the root of that reply chain down to itself, found by doubling (each
 themselves). Sorting a conversation by path puts replies below what they answer, in order of turns; ``position`` is the
 place in that order from 0, from global ranks, without gathering a conversation in one task.
 
-A line that introduces a quote ("... wrote:") right above it is dropped with it, quoted lines are dropped, the rest of the
-text stays as it is.
+A line that introduces a quote ("... wrote:") right above it is dropped with it, quoted lines are dropped, and the rest of
+the text stays as it is but for white space at its ends.
 
 Defined cases: a null text is an empty message; a message whose conversation or turn is null is answered as a root of its own,
 links with nothing and has no position; only earlier turns of the same conversation can be originals; rows that repeat
@@ -67,7 +67,7 @@ def _own_text(lines: Column) -> Column:
         introduces = x["content"].rlike(_WROTE) & (F.coalesce(below["level"], F.lit(0)) > x["level"])
         return F.when((x["level"] == 0) & ~introduces, x["content"])
 
-    return F.trim(F.concat_ws("\n", F.filter(F.transform(lines, kept), lambda x: x.isNotNull())))
+    return F.regexp_replace(F.concat_ws("\n", F.filter(F.transform(lines, kept), lambda x: x.isNotNull())), r"^\s+|\s+$", "")
 
 
 def passages(messages: DataFrame, text_col: str = "text") -> DataFrame:
