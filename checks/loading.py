@@ -174,8 +174,7 @@ def streamed(spark, sf):
     schema = a.table(spark, sf, "events").schema
     stream = changes.change_stream(spark, sf, schema, pathGlobFilter="events.parquet")
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
-    unique = changes.deduplicated(stream, ["event_id"], "ts", "1 hour")
-    changes.run_available(unique, checkpoint, changes.append_with_batch(path, ["event_id"], ["ts"]))
+    changes.run_available(stream, checkpoint, changes.append_with_batch(path, ["event_id"], ["ts"]))
     log = spark.read.parquet(path)
     return latest_by_key(log, ["event_id"], ["ts"]).select("event_id", "user_id", "event_type", "value")
 

@@ -246,9 +246,8 @@ CHECKS = [
     Check("vx_class_and_exclusion", classified, ctes.sql(
         "SELECT task_id, vx_type, is_excluded, exclude_reason FROM silver_built")),
     Check("task_fact", lambda s, d: rounded(silver_fact(s, d)), ctes.sql(f"SELECT * {_ROUND} FROM silver")),
-    Check("task_fact_in_window", lambda s, d: daily.task_fact(bronze(s, d), a.UPDATED_AT, "1995-01-01", HI).select(
-        "task_id", "task_status", "status_monthly", "is_excluded", "exclude_reason"), ctes.sql(f"""
-        SELECT task_id, task_status, status_monthly, is_excluded, exclude_reason FROM silver
+    Check("task_fact_in_window", lambda s, d: rounded(daily.task_fact(bronze(s, d), a.UPDATED_AT, "1995-01-01", HI)), ctes.sql(f"""
+        SELECT * {_ROUND} FROM silver
         WHERE task_start_date < DATE '{HI}' OR task_claim_date < DATE '{HI}' OR task_end_date < DATE '{HI}'""")),
     Check("exclusion_flag_update", lambda s, d: versions.apply_exclusion_flag(
         a.derive(s, d, a.TASK_FACT).select(F.concat(F.lit("T"), "task_id").alias("task_id"), "is_excluded",

@@ -112,7 +112,9 @@ def build_task_fact(
     """
     log = tasks.where(F.col("ID_") != "")
     if lo is not None:
-        log = touching_window(log, F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))
+        # Ids first, then their newest version: it may lie outside the window that an older one touches.
+        touched = touching_window(log, F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))
+        log = log.join(touched.select("PROC_INST_ID_", "ID_").distinct(), ["PROC_INST_ID_", "ID_"], "left_semi")
     newest = _newest(log, ["PROC_INST_ID_", "ID_"], TASK_COLUMNS)
 
     definitions = _newest(procdef, ["ID_"], ["NAME_"]).select(

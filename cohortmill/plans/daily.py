@@ -7,6 +7,8 @@ period into runs gives the tables one full build gives.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,9 +21,9 @@ from cohortmill.operators.facts import build_task_fact
 from cohortmill.operators.filters import touching_window
 from cohortmill.operators.summary import task_summary
 from cohortmill.operators.variables import pivot_variables
-from cohortmill.operators.versions import apply_exclusion_flag
+from cohortmill.operators.versions import apply_exclusion_flag, latest_by_key
 from cohortmill.plans.runs import affected_periods
-from cohortmill.sources.tables import materialize, overwrite_periods, path_exists, remove_partitions
+from cohortmill.sources.tables import append_rows, materialize, overwrite_periods, path_exists, remove_partitions
 
 FACT_PARTITION = "start_month"
 SUMMARY_PARTITIONS = ("period_type", "period_month")
@@ -58,7 +60,8 @@ def task_fact(bronze: Bronze, updated_at, lo=None, hi=None, levels: DataFrame |
         ).select("PROC_INST_ID_")
     fact = build_task_fact(
         tasks=bronze.taskinst,
-        pivot=pivot_variables(bronze.varinst, active, lo, hi),
+        # Of the processes in the window all revisions, whatever their age: a window gives what a full build gives.
+        pivot=pivot_variables(bronze.varinst, active),
         five_level=five_level(bronze) if levels is None else levels,
         procinst=bronze.procinst, procdef=bronze.procdef, employees=bronze.employees, variables=bronze.varinst,
         updated_at=updated_at, lo=lo, hi=hi,
@@ -93,18 +96,54 @@ def in_months(fact: DataFrame, months: list[str]) -> DataFrame:
     return fact.where(F.col(FACT_PARTITION).isin(months))
 
 
-def merge_fact(path: str, changes: DataFrame) -> DataFrame:
-    """Put changed tasks into the fact table and return old and new versions of them.
+@dataclass(frozen=True)
+class Merge:
+    """What a change set does to the fact: both versions of the tasks, the new rows of the months, and these months."""
+
+    versions: DataFrame
+    rows: DataFrame
+    months: list[str]
+
 
-    Only the months that hold changed tasks are read and rewritten.
+def merge_fact(path: str, changes: DataFrame, version_cols: Sequence[str]) -> Merge:
+    """Decide, per task, between the stored and the changed version; the newer one wins, the change on a tie.
+
+    Months are those the changed tasks are in now and those they were in before, found by reading the task key alone.
+    Nothing is written to the fact table.
     """
     new = materialize(changes.withColumn(FACT_PARTITION, year_month("task_start_date")))
-    touched = in_months(read_fact(new.sparkSession, path), calendar_months(new.select(FACT_PARTITION)))
+    stored = read_fact(new.sparkSession, path)
     keys = new.select("task_id").distinct()
-    replaced = materialize(touched.join(keys, "task_id", "left_semi"))
+    homes = stored.select("task_id", FACT_PARTITION).join(keys, "task_id", "left_semi")
+    months = calendar_months(new.select(FACT_PARTITION).union(homes.select(FACT_PARTITION)))
+    touched = in_months(stored, months)
+    old = touched.join(keys, "task_id", "left_semi")
+    versions = materialize(old.withColumn("_changed", F.lit(0)).unionByName(new.withColumn("_changed", F.lit(1)), True))
+    winners = latest_by_key(versions, ["task_id"], [*version_cols, "_changed"]).drop("_changed")
     kept = touched.join(keys, "task_id", "left_anti")
-    overwrite_periods(materialize(kept.unionByName(new)), path, [FACT_PARTITION])
-    return replaced.unionByName(new)
+    return Merge(versions.drop("_changed"), materialize(kept.unionByName(winners, True)), months)
+
+
+def write_merge(merge: Merge, path: str) -> None:
+    overwrite_periods(merge.rows, path, [FACT_PARTITION])
+    filled = set(calendar_months(merge.rows.select(FACT_PARTITION)))
+    emptied = [(month,) for month in merge.months if month not in filled]
+    if emptied:
+        remove_partitions(merge.rows.sparkSession.createDataFrame(emptied, f"{FACT_PARTITION} string"), path, [FACT_PARTITION])
+
+
+def journal_path(summary_path: str) -> str:
+    return summary_path.rstrip("/") + "_journal"
+
+
+def open_partitions(spark: SparkSession, summary_path: str) -> DataFrame | None:
+    """(run, period_type, period_month) of runs that wrote the fact, or were about to, and did not finish the summary."""
+    path = journal_path(summary_path)
+    if not path_exists(spark, path):
+        return None
+    journal = spark.read.parquet(path)
+    done = journal.where("period_type is null").select("run").distinct()
+    return journal.where("period_type is not null").join(done, "run", "left_anti")
 
 
 def affected_partitions(changed: DataFrame, cutoff: str | dt.date) -> DataFrame:
@@ -152,22 +191,35 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def apply_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str,
-                  cutoff: str | dt.date, as_of: DateLike) -> None:
+                  cutoff: str | dt.date, as_of: DateLike, version_cols: Sequence[str] = ("_mview_update_time",)) -> None:
     """Put changed tasks into the fact table and bring the summary table up to date.
 
-    A partition that no longer has any row is removed, not left with its old numbers. The first call creates both
-    tables.
+    Of several versions of a task in the changes the newest counts, and an older change than the stored row changes
+    nothing (by those of ``version_cols`` that the changes have). The summary partitions to recompute are written to a
+    journal before the fact is touched, so a run after a failure in between recomputes them too. A partition that no
+    longer has any row is removed, not left with its old numbers. The first call creates both tables.
     """
+    version_cols = [c for c in version_cols if c in changes.columns]
+    changes = latest_by_key(changes, ["task_id"], version_cols)
     if not path_exists(spark, fact_path):
         write_fact(changes, fact_path)
         write_summary(summary_of(read_fact(spark, fact_path), cutoff, as_of), summary_path)
         return
-    changed = merge_fact(fact_path, changes)
-    partitions = materialize(affected_partitions(changed, cutoff))
+    merge = merge_fact(fact_path, changes, version_cols)
+    run = uuid.uuid4().hex
+    journal = affected_partitions(merge.versions, cutoff).select(F.lit(run).alias("run"), *SUMMARY_PARTITIONS)
+    earlier = open_partitions(spark, summary_path)
+    entries = materialize(journal if earlier is None else journal.unionByName(earlier))
+    append_rows(entries.where(F.col("run") == run).coalesce(1), journal_path(summary_path))
+    partitions = entries.select(*SUMMARY_PARTITIONS).distinct()
+
+    write_merge(merge, fact_path)
     rows = materialize(refresh_summary(read_fact(spark, fact_path), partitions, cutoff, as_of))
     write_summary(rows, summary_path)
     emptied = partitions.join(rows.select(*SUMMARY_PARTITIONS).distinct(), [*SUMMARY_PARTITIONS], "left_anti")
     remove_partitions(emptied, summary_path, SUMMARY_PARTITIONS)
+    finished = entries.select("run", *[F.lit(None).cast("string").alias(c) for c in SUMMARY_PARTITIONS]).distinct()
+    append_rows(finished.coalesce(1), journal_path(summary_path))
 
 
 def full_build(bronze: Bronze, fact_path: str, summary_path: str, cutoff: str | dt.date, as_of, updated_at) -> None:

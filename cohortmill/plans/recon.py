@@ -139,8 +139,8 @@ def audit_table(spec: TableSpec, source: DataFrame, target: DataFrame, cutoff=No
 
 
 def missing_keys(source: DataFrame, target: DataFrame, keys: Sequence[str], time_col: str | None = None,
-                 n: int | None = 20) -> DataFrame:
-    """Source keys absent in the target with first seen time and row count; a report lists the first ``n``."""
+                 n: int | None = None) -> DataFrame:
+    """Source keys absent in the target with first seen time and row count; all of them, or the first ``n`` for a report."""
     seen = F.col(time_col) if time_col else F.lit(None).cast("timestamp_ntz")
     seen_type = source.schema[time_col].dataType if time_col else "timestamp_ntz"
     sides = source.select(*keys, seen.alias("_seen"), F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(

@@ -6,6 +6,7 @@ Windows are half-open. A run appends to the checkpoint table; the newest row per
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,11 +61,17 @@ def latest_checkpoints(checkpoints: DataFrame) -> DataFrame:
     return latest_by_key(checkpoints, CHECKPOINT_KEYS, ["update_time"])
 
 
+def mask_secrets(text: str) -> str:
+    """The text with the values of passwords, keys and tokens hidden, as settings or inside addresses."""
+    text = re.sub(r"(?i)\b(password|passwd|pwd|secret|token|access_?key)(\s*[=:]\s*)(\"[^\"]*\"|'[^']*'|[^\s;,&)]+)", r"\1\2***", text)
+    return re.sub(r"(://[^\s:/@]+:)[^\s@/]+@", r"\1***@", text)
+
+
 def checkpoint_row(spark: SparkSession, phase: str, window: tuple[dt.datetime, dt.datetime], status: str,
                    now: dt.datetime, duration_ms: float = 0.0, rows: int = 0, error: str = "") -> DataFrame:
     """One checkpoint to append after a phase ran."""
     return spark.createDataFrame(
-        [(phase, *window, status, error[:2000], duration_ms, rows, 0, now)], CHECKPOINT_DDL
+        [(phase, *window, status, mask_secrets(error), duration_ms, rows, 0, now)], CHECKPOINT_DDL
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,11 +31,13 @@ def build_session(app_name: str = "cohortmill", cpus: str | int = "*",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see (``spark.checkpoint.dir``); set only where it is unset."""
+    """The folder all executors see (``spark.checkpoint.dir``); unset, it is an error but in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="cohortmill-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(configured)

@@ -24,11 +24,14 @@ class EmptySnapshotError(ValueError):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table is there: a missing folder or one without data files is not; any other error is raised."""
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:

@@ -21,9 +21,13 @@ def change_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return reader.load(path)
 
 
-def deduplicated(changes: DataFrame, keys: Sequence[str], time_col: str, lateness: str = "1 day") -> DataFrame:
-    """Drop repeated deliveries of the same change; state older than the watermark is forgotten."""
-    return changes.withWatermark(time_col, lateness).dropDuplicatesWithinWatermark(list(keys))
+def deduplicated(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first delivery of each key, however late it is: no watermark, so no change is dropped for its age.
+
+    The state holds every key seen. Where that is too much, leave repeats to ``append_with_batch``, which keeps one row
+    per key and batch, and to ``latest_by_key`` on reading.
+    """
+    return changes.dropDuplicates(list(keys))
 
 
 def run_available(changes: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None],
@@ -54,11 +58,12 @@ def refresh_with_batch(fact_path: str, summary_path: str, cutoff, as_of,
                        version_cols: Sequence[str] = ("_mview_update_time",)) -> Callable[[DataFrame, int], None]:
     """A batch writer that puts changed task rows into the fact and recomputes the summary months they reach.
 
-    Replaying a batch replaces the same rows and recomputes the same partitions, so it changes nothing.
+    Replaying a batch replaces the same rows and recomputes the same partitions, so it changes nothing; after a failure
+    between fact and summary the replay also recomputes the partitions the failed run had reached.
     """
     def write(batch: DataFrame, _batch_id: int) -> None:
         newest = latest_by_key(batch, ["task_id"], version_cols)
         if not newest.isEmpty():
-            apply_changes(batch.sparkSession, newest, fact_path, summary_path, cutoff, as_of)
+            apply_changes(batch.sparkSession, newest, fact_path, summary_path, cutoff, as_of, version_cols)
 
     return write

@@ -85,7 +85,7 @@ def test_stream_continues_and_drops_repeats(spark, tmp_path):
         spark.createDataFrame([(i, v, base + dt.timedelta(minutes=m)) for i, v, m in rows], ddl).coalesce(1).write.mode("append").parquet(landing)
 
     def step():
-        stream = changes.deduplicated(changes.change_stream(spark, landing, ddl), ["id", "v"], "t", "1 hour")
+        stream = changes.deduplicated(changes.change_stream(spark, landing, ddl), ["id", "v"])
         changes.run_available(stream, checkpoint, changes.append_with_batch(log, ["id"], ["v"]))
         return sorted((r.id, r.v) for r in spark.read.parquet(log).collect())
 
