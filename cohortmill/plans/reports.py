@@ -34,6 +34,17 @@ DETAIL_COLUMNS = (
 )
 
 
+def in_period_months(summary: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """The rows of periods that begin between two days, by month folder where the summary is stored in them.
+
+    Literals prune the folders at planning time; a summary without ``period_month`` is returned as it is."""
+    if "period_month" not in summary.columns:
+        return summary
+    count = (last.year - first.year) * 12 + last.month - first.month + 1
+    months = [first.year * 12 + first.month - 1 + k for k in range(count)]
+    return summary.where(F.col("period_month").isin([f"{m // 12}{m % 12 + 1:02d}" for m in months]))
+
+
 def anchor_date(summary: DataFrame, as_of: DateLike, date_from: DateLike | None = None,
                 date_to: DateLike | None = None, **dims) -> DataFrame:
     """One cell: the newest Day date of the selection, at most ``as_of``; NULL for an empty selection."""
@@ -53,6 +64,10 @@ def periodic_report(summary: DataFrame, anchor: DateLike, days: int = 7, **dims)
     subquery does not.
     """
     a = as_date(anchor)
+    if isinstance(anchor, (str, dt.date)):
+        known = dt.date.fromisoformat(str(anchor)[:10])
+        monday = known - dt.timedelta(days=known.weekday() + 14)
+        summary = in_period_months(summary, min(monday, known - dt.timedelta(days=days - 1), known.replace(day=1)), known)
     kind, key, day = F.col("period_type"), F.col("period_key"), F.col("snapshot_date")
     weeks = [week_key(F.date_sub(a, 7 * back)) for back in range(3)]
     in_month = (kind == "Month") & (key == month_key(a))
@@ -182,6 +197,8 @@ def monthly_report(summary: DataFrame, month: str, **dims) -> DataFrame:
     """
     calendar = report_calendar(month)
     first, last = F.lit(calendar["first"]), F.lit(calendar["last"])
+    monday = calendar["last"] - dt.timedelta(days=calendar["last"].weekday())
+    summary = in_period_months(summary, min(calendar["first"], monday - dt.timedelta(days=14)), monday + dt.timedelta(days=6))
     days = filter_dims(summary.where(F.col("period_type") == "Day"), **dims).select(
         "snapshot_date", *DIMENSIONS, "total_qty", "todo_qty", "doing_qty", "done_qty", "acc_qty"
     )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortmill.operators import cohort, summary
-from cohortmill.plans import recon, reports
+from cohortmill.plans import daily, recon, reports
 from cohortmill.sources import export
 
 SUMMARY_DDL = (
@@ -137,3 +137,16 @@ def test_drill_and_month_files_on_disk(spark, make_tasks, tmp_path):
     assert folders == ["_by_file_month=2026-02", "_by_file_month=2026-03"]
     back = spark.read.option("header", True).csv(str(tmp_path / "files" / "_by_file_month=2026-03"))
     assert [(r.task_id, r.file_month, r.in_month_cohort) for r in back.collect()] == [("a", "2026-03", "0")]
+
+
+@pytest.mark.parametrize("anchor, month", [("2026-01-05", "2026-01"), (dt.date(2025, 12, 31), "2025-12")])
+def test_reports_open_only_their_months(spark, make_tasks, tmp_path, anchor, month):
+    tasks = make_tasks(*[(f"t{y}{m}{d}", f"{y}-{m:02d}-{d:02d}", None, f"{y}-{m:02d}-{d + 1:02d}")
+                         for y, m in ((2025, 10), (2025, 11), (2025, 12), (2026, 1), (2026, 2)) for d in (1, 5, 15, 27)])
+    whole = daily.summary_of(tasks, "2020-01-01", "2026-04-01")
+    daily.write_summary(whole, str(tmp_path / "s"))
+    stored = daily.read_summary(spark, str(tmp_path / "s"))
+    for report in (lambda s: reports.periodic_report(s, anchor), lambda s: reports.monthly_report(s, month)):
+        pruned = report(stored)
+        assert sorted(map(str, pruned.collect())) == sorted(map(str, report(whole).collect()))
+        assert "period_month" in pruned._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
