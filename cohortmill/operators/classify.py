@@ -24,11 +24,12 @@ def classify_vx(task_key: Column, order_number: Column, factory: Column) -> Colu
 
 
 def exclusion_reason(
-    auto_complete: Column, assignee_name: Column, task_key: Column, order_number: Column, task_name: Column
+    auto_complete: Column, assignee_name: Column, task_key: Column, order_number: Column, task_name: Column,
+    flag_reason: str = "bypass",
 ) -> Column:
     """Why a task does not count, or '' when it does."""
     rules = (
-        (auto_complete == 1, "bypass"),
+        (auto_complete == 1, flag_reason),
         (assignee_name == SYSTEM_USER, "system_bypass"),
         (task_key.startswith("E") | task_key.startswith("C"), "system_node"),
         (order_number.startswith("Q"), "Q_order"),

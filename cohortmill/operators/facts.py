@@ -11,11 +11,12 @@ from cohortmill.functions.status import cohort_status, live_status
 from cohortmill.functions.values import minutes_between, null_if_epoch
 from cohortmill.operators.classify import classify_vx, exclusion_reason, is_excluded
 from cohortmill.operators.dimensions import resolve_levels
-from cohortmill.operators.filters import touching_window
 from cohortmill.operators.variables import TEXT_VARIABLES
 from cohortmill.operators.versions import latest_by_key
 
 BRONZE_VERSION = ("_sync_version", "_extracted_at")
+SOURCE_VERSION = ("LAST_UPDATED_TIME_", "REV_")
+TASK_KEYS = ("PROC_INST_ID_", "ID_")
 TASK_COLUMNS = ("PROC_DEF_ID_", "TASK_DEF_KEY_", "NAME_", "ASSIGNEE_", "START_TIME_", "CLAIM_TIME_", "END_TIME_")
 
 # Fact column -> variable it comes from.
@@ -103,19 +104,25 @@ def build_task_fact(
     employees: DataFrame,
     variables: DataFrame,
     updated_at,
-    lo=None,
-    hi=None,
+    only: DataFrame | None = None,
+    flag_reason: str = "bypass",
 ) -> DataFrame:
-    """Assemble the fact for tasks touching ``[lo, hi)``, or for all tasks.
+    """Assemble the fact for the tasks of ``only`` (columns of TASK_KEYS, distinct), or for all tasks.
 
-    Every right side is made unique first, so no join multiplies tasks.
+    Every right side is made unique first, so no join multiplies tasks. ``only`` names ids, not versions: the newest
+    version of a task may lie outside the window that an older one touches. ``flag_reason`` is the reason of tasks with
+    autoComplete, the first rule: the label of the later exclusion phase here saves that phase its scan and join.
     """
     log = tasks.where(F.col("ID_") != "")
-    if lo is not None:
-        # Ids first, then their newest version: it may lie outside the window that an older one touches.
-        touched = touching_window(log, F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz"))
-        log = log.join(touched.select("PROC_INST_ID_", "ID_").distinct(), ["PROC_INST_ID_", "ID_"], "left_semi")
-    newest = _newest(log, ["PROC_INST_ID_", "ID_"], TASK_COLUMNS)
+    if only is not None:
+        log = log.join(only, list(TASK_KEYS), "left_semi")
+        processes = only.select("PROC_INST_ID_").distinct()
+        procinst = procinst.join(processes.withColumnRenamed("PROC_INST_ID_", "ID_"), "ID_", "left_semi")
+    # Versions loaded together are told apart by the source's own update time and revision, where it has them.
+    source_order = [c for c in SOURCE_VERSION if c in log.columns]
+    newest = latest_by_key(
+        log.select(*TASK_KEYS, *TASK_COLUMNS, *BRONZE_VERSION, *source_order), TASK_KEYS, (*BRONZE_VERSION, *source_order)
+    )
 
     definitions = _newest(procdef, ["ID_"], ["NAME_"]).select(
         F.col("ID_").alias("PROC_DEF_ID_"), F.col("NAME_").alias("l4_process_name")
@@ -123,7 +130,7 @@ def build_task_fact(
     people = _newest(employees, ["EmpCode"], ["EmpName"]).select(
         F.col("EmpCode").alias("ASSIGNEE_"), F.col("EmpName").alias("assignee_name")
     )
-    flags = auto_complete_flags(variables, newest if lo is not None else None).withColumnRenamed("TASK_ID_", "ID_")
+    flags = auto_complete_flags(variables, only).withColumnRenamed("TASK_ID_", "ID_")
 
     joined = (
         newest.join(process_attributes(pivot, five_level, procinst), "PROC_INST_ID_", "left")
@@ -136,7 +143,7 @@ def build_task_fact(
     levels = {c: F.coalesce(F.col(c), blank) for c in ("region", "plant", "factory", "line")}
     key = F.col("TASK_DEF_KEY_")
     reason = exclusion_reason(
-        F.col("auto_complete"), F.col("assignee_name"), key, text["moNumber"], F.col("NAME_")
+        F.col("auto_complete"), F.col("assignee_name"), key, text["moNumber"], F.col("NAME_"), flag_reason
     )
     shaped = add_statuses(add_task_times(joined)).withColumns({
         "task_id": F.col("ID_"),

@@ -23,16 +23,16 @@ def pivot_variables(
     active: DataFrame | None = None,
     lo=None,
     hi=None,
-    lookback_days: int = 365,
+    lookback_days: int | None = None,
 ) -> DataFrame:
     """Newest revision of each named variable per process, missing ones as ''.
 
-    ``active`` (column PROC_INST_ID_) limits the work to processes touched by the window; ``lo``/``hi``
-    limit the variable rows to ``[lo - lookback_days, hi)``. The aggregation collapses on the map side, so a
+    ``active`` (column PROC_INST_ID_) limits the work to processes touched by the window, with all their revisions.
+    ``hi`` leaves out later variables; ``lookback_days`` with ``lo`` those created before ``lo - lookback_days``. The aggregation collapses on the map side, so a
     process with very many variable rows shuffles one row per input partition.
     """
     rows = variables.where(F.col("NAME_").isin(*VARIABLES))
-    if lo is not None:
+    if lo is not None and lookback_days is not None:
         rows = rows.where(F.col("CREATE_TIME_") >= F.lit(lo).cast("timestamp_ntz")
                           - F.expr(f"INTERVAL '{int(lookback_days)}' DAY"))
     if hi is not None:

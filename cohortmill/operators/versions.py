@@ -77,6 +77,10 @@ def state_counts(df: DataFrame, keys: Sequence[str], state_cols: Sequence[str])
     return df.groupBy(*keys).agg(*[F.sum(F.bitmap_count(c)).alias(c) for c in state_cols])
 
 
+# Fixed value: the reason of the exclusion phase.
+FLAG_REASON = "autoComplete_flag"
+
+
 def apply_exclusion_flag(fact: DataFrame, variables: DataFrame) -> DataFrame:
     """Mark every task that has autoComplete = 1 as excluded; this reason replaces an earlier one."""
     flagged = (
@@ -86,7 +90,7 @@ def apply_exclusion_flag(fact: DataFrame, variables: DataFrame) -> DataFrame:
     return (
         fact.join(flagged, "task_id", "left")
         .withColumn("is_excluded", F.when(F.col("_flagged"), F.lit(1)).otherwise(F.col("is_excluded")).cast("int"))
-        .withColumn("exclude_reason", F.when(F.col("_flagged"), F.lit("autoComplete_flag"))
+        .withColumn("exclude_reason", F.when(F.col("_flagged"), F.lit(FLAG_REASON))
                     .otherwise(F.col("exclude_reason")))
         .select(*fact.columns)
     )

@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from cohortmill.functions.dates import DateLike, year_month
 from cohortmill.operators.cohort import BACKLOG_DAYS
 from cohortmill.operators.dimensions import build_five_level
-from cohortmill.operators.facts import build_task_fact
+from cohortmill.operators.facts import TASK_KEYS, build_task_fact
 from cohortmill.operators.filters import touching_window
 from cohortmill.operators.summary import task_summary
 from cohortmill.operators.variables import pivot_variables
-from cohortmill.operators.versions import apply_exclusion_flag, latest_by_key
+from cohortmill.operators.versions import FLAG_REASON, latest_by_key
 from cohortmill.plans.runs import affected_periods
+from cohortmill.sources.ingest import in_window
 from cohortmill.sources.tables import append_rows, materialize, overwrite_periods, path_exists, remove_partitions
 
 FACT_PARTITION = "start_month"
@@ -51,27 +52,66 @@ def five_level(bronze: Bronze) -> DataFrame:
     )
 
 
-def task_fact(bronze: Bronze, updated_at, lo=None, hi=None, levels: DataFrame | None = None) -> DataFrame:
-    """The fact of all tasks, or of those touching ``[lo, hi)``, with exclusions applied."""
-    active = None
+def months_between(lo, hi) -> list[str]:
+    """The 'yyyyMM' of ``[lo, hi)``."""
+    first, last = (dt.datetime.fromisoformat(str(x)) for x in (lo, hi))
+    count = (last.year - first.year) * 12 + last.month - first.month + 1
+    return [f"{first.year + (first.month - 1 + k) // 12}{(first.month - 1 + k) % 12 + 1:02d}" for k in range(count)]
+
+
+def in_load_months(log: DataFrame, time_col: str, lo, hi) -> DataFrame:
+    """Rows of ``[lo, hi)`` by the column a bronze table is laid out by: only their month folders are opened."""
+    if "ym" in log.columns:
+        log = log.where(F.col("ym").cast("string").isin(months_between(lo, hi)))
+    return in_window(log, time_col, str(lo), str(hi))
+
+
+def active_tasks(bronze: Bronze, lo, hi) -> DataFrame:
+    """Keys of tasks opened, claimed or ended in ``[lo, hi)``, in any version."""
+    bounds = [F.lit(str(x)).cast("timestamp_ntz") for x in (lo, hi)]
+    return touching_window(bronze.taskinst, *bounds).select(*TASK_KEYS).distinct()
+
+
+def changed_tasks(bronze: Bronze, lo, hi) -> DataFrame:
+    """Keys of tasks whose fact row may differ after the changes of ``[lo, hi)``.
+
+    These are tasks updated in the window and tasks of processes that got a variable in it. Both conditions are on the
+    column the log is loaded by, so a window opens only its months of the logs. The second needs a join of the task
+    keys with the processes touched.
+    """
+    updated = in_load_months(bronze.taskinst, "LAST_UPDATED_TIME_", lo, hi).select(*TASK_KEYS)
+    described = in_load_months(bronze.varinst, "CREATE_TIME_", lo, hi).select("PROC_INST_ID_").distinct()
+    of_described = bronze.taskinst.select(*TASK_KEYS).join(described, "PROC_INST_ID_", "left_semi")
+    return updated.union(of_described.select(*TASK_KEYS)).distinct()
+
+
+def task_fact(bronze: Bronze, updated_at, lo=None, hi=None, levels: DataFrame | None = None,
+              only: DataFrame | None = None) -> DataFrame:
+    """The fact of all tasks, of those active in ``[lo, hi)``, or of the task keys ``only``, with exclusions applied.
+
+    ``levels`` is the stored five-level table; without it the table is derived from the master data in the query.
+    """
     if lo is not None:
-        active = touching_window(
-            bronze.taskinst, F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")
-        ).select("PROC_INST_ID_")
-    fact = build_task_fact(
+        only = active_tasks(bronze, lo, hi)
+    # Of the processes in the window all revisions, whatever their age: a window gives what a full build gives.
+    processes = None if only is None else only.select("PROC_INST_ID_")
+    return build_task_fact(
         tasks=bronze.taskinst,
-        # Of the processes in the window all revisions, whatever their age: a window gives what a full build gives.
-        pivot=pivot_variables(bronze.varinst, active),
+        pivot=pivot_variables(bronze.varinst, processes),
         five_level=five_level(bronze) if levels is None else levels,
         procinst=bronze.procinst, procdef=bronze.procdef, employees=bronze.employees, variables=bronze.varinst,
-        updated_at=updated_at, lo=lo, hi=hi,
+        updated_at=updated_at, only=only, flag_reason=FLAG_REASON,
     )
-    return apply_exclusion_flag(fact, bronze.varinst)
+
+
+def with_start_month(fact: DataFrame) -> DataFrame:
+    """Add the fact's partition: 'yyyyMM' of the opening date, 'none' without one."""
+    return fact.withColumn(FACT_PARTITION, F.coalesce(year_month("task_start_date"), F.lit("none")))
 
 
 def write_fact(fact: DataFrame, path: str) -> None:
-    """Month-partitioned by opening date, which never changes for a task."""
-    overwrite_periods(fact.withColumn(FACT_PARTITION, year_month("task_start_date")), path, [FACT_PARTITION])
+    """Partitioned by the month of the opening date."""
+    overwrite_periods(with_start_month(fact), path, [FACT_PARTITION])
 
 
 def period_month(period_type: Column, day: Column) -> Column:
@@ -111,7 +151,7 @@ def merge_fact(path: str, changes: DataFrame, version_cols: Sequence[str]) -> Me
     Months are those the changed tasks are in now and those they were in before, found by reading the task key alone.
     Nothing is written to the fact table.
     """
-    new = materialize(changes.withColumn(FACT_PARTITION, year_month("task_start_date")))
+    new = materialize(with_start_month(changes))
     stored = read_fact(new.sparkSession, path)
     keys = new.select("task_id").distinct()
     homes = stored.select("task_id", FACT_PARTITION).join(keys, "task_id", "left_semi")
@@ -171,6 +211,18 @@ def _needed_tasks(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date)
     return fact.where(opened | acted[0] | acted[1])
 
 
+def retire_months(spark: SparkSession, fact_path: str, as_of: dt.date, years: int = 1) -> list[str]:
+    """Retention by months: empty the fact's month folders that lie wholly ``years`` or more before ``as_of``.
+
+    Only folder names are read and no kept row is written again. Returns the months emptied.
+    """
+    bound = f"{as_of.year - years}{as_of.month:02d}"
+    months = [m for m in calendar_months(read_fact(spark, fact_path).select(FACT_PARTITION)) if m < bound]
+    if months:
+        remove_partitions(spark.createDataFrame([(m,) for m in months], f"{FACT_PARTITION} string"), fact_path, [FACT_PARTITION])
+    return months
+
+
 def summary_of(fact: DataFrame, cutoff: str | dt.date, as_of: DateLike) -> DataFrame:
     return task_summary(fact, cutoff, as_of)
 
@@ -190,36 +242,58 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("period_month", F.col("period_month").cast("string"))
 
 
-def apply_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str,
-                  cutoff: str | dt.date, as_of: DateLike, version_cols: Sequence[str] = ("_mview_update_time",)) -> None:
-    """Put changed tasks into the fact table and bring the summary table up to date.
+def merge_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str,
+                  cutoff: str | dt.date, version_cols: Sequence[str] = ("_mview_update_time",)) -> int:
+    """Put changed tasks into the fact table; returns their number.
 
     Of several versions of a task in the changes the newest counts, and an older change than the stored row changes
-    nothing (by those of ``version_cols`` that the changes have). The summary partitions to recompute are written to a
-    journal before the fact is touched, so a run after a failure in between recomputes them too. A partition that no
-    longer has any row is removed, not left with its old numbers. The first call creates both tables.
+    nothing (by those of ``version_cols`` that the changes have). The summary partitions to recompute are written to
+    the journal before the fact is touched; ``refresh_open`` works them off. The first call creates the fact table.
     """
     version_cols = [c for c in version_cols if c in changes.columns]
-    changes = latest_by_key(changes, ["task_id"], version_cols)
-    if not path_exists(spark, fact_path):
+    changes = materialize(latest_by_key(changes, ["task_id"], version_cols))
+    exists = path_exists(spark, fact_path)
+    merge = merge_fact(fact_path, changes, version_cols) if exists else None
+    journal = affected_partitions(merge.versions if exists else changes, cutoff)
+    entries = journal.select(F.lit(uuid.uuid4().hex).alias("run"), *SUMMARY_PARTITIONS)
+    append_rows(entries.coalesce(1), journal_path(summary_path))
+    if exists:
+        write_merge(merge, fact_path)
+    else:
         write_fact(changes, fact_path)
-        write_summary(summary_of(read_fact(spark, fact_path), cutoff, as_of), summary_path)
-        return
-    merge = merge_fact(fact_path, changes, version_cols)
-    run = uuid.uuid4().hex
-    journal = affected_partitions(merge.versions, cutoff).select(F.lit(run).alias("run"), *SUMMARY_PARTITIONS)
-    earlier = open_partitions(spark, summary_path)
-    entries = materialize(journal if earlier is None else journal.unionByName(earlier))
-    append_rows(entries.where(F.col("run") == run).coalesce(1), journal_path(summary_path))
-    partitions = entries.select(*SUMMARY_PARTITIONS).distinct()
+    return changes.count()
+
 
-    write_merge(merge, fact_path)
+def refresh_open(spark: SparkSession, fact_path: str, summary_path: str, cutoff: str | dt.date, as_of: DateLike) -> int:
+    """Recompute the summary partitions of all runs that have not finished, once each; returns the number of runs.
+
+    A partition that no longer has any row is emptied, not left with its old numbers.
+    """
+    found = open_partitions(spark, summary_path)
+    if found is None:
+        return 0
+    entries = materialize(found)
+    runs = entries.select("run").distinct().count()
+    if runs == 0:
+        return 0
+    partitions = entries.select(*SUMMARY_PARTITIONS).distinct()
     rows = materialize(refresh_summary(read_fact(spark, fact_path), partitions, cutoff, as_of))
     write_summary(rows, summary_path)
     emptied = partitions.join(rows.select(*SUMMARY_PARTITIONS).distinct(), [*SUMMARY_PARTITIONS], "left_anti")
     remove_partitions(emptied, summary_path, SUMMARY_PARTITIONS)
     finished = entries.select("run", *[F.lit(None).cast("string").alias(c) for c in SUMMARY_PARTITIONS]).distinct()
     append_rows(finished.coalesce(1), journal_path(summary_path))
+    return runs
+
+
+def apply_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str,
+                  cutoff: str | dt.date, as_of: DateLike, version_cols: Sequence[str] = ("_mview_update_time",)) -> None:
+    """Put changed tasks into the fact table and bring the summary table up to date.
+
+    A run after a failure between the two recomputes what the failed one left open, too.
+    """
+    merge_changes(spark, changes, fact_path, summary_path, cutoff, version_cols)
+    refresh_open(spark, fact_path, summary_path, cutoff, as_of)
 
 
 def full_build(bronze: Bronze, fact_path: str, summary_path: str, cutoff: str | dt.date, as_of, updated_at) -> None:
@@ -230,6 +304,6 @@ def full_build(bronze: Bronze, fact_path: str, summary_path: str, cutoff: str |
 
 def incremental_build(bronze: Bronze, fact_path: str, summary_path: str, lo, hi, cutoff: str | dt.date, as_of,
                       updated_at) -> None:
-    """Rebuild tasks touching ``[lo, hi)`` and every summary period they reach."""
+    """Rebuild tasks active in ``[lo, hi)`` and every summary period they reach."""
     spark = bronze.taskinst.sparkSession
     apply_changes(spark, task_fact(bronze, updated_at, lo, hi), fact_path, summary_path, cutoff, as_of)

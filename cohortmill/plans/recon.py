@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,6 +138,33 @@ def audit_table(spec: TableSpec, source: DataFrame, target: DataFrame, cutoff=No
     return verdicts.withColumn("lag_seconds", lag_seconds)
 
 
+def audit_catalog(pairs: Mapping[str, tuple[DataFrame, DataFrame]], specs: Mapping[str, TableSpec], cutoff=None,
+                  days: int = 2) -> DataFrame:
+    """The verdict rows of many declared tables, name -> (source, target), and whether their key sets differ.
+
+    ``keys_differ`` also shows what equal counts hide: one key missing and another too many.
+    """
+    rows = None
+    for name, (source, target) in pairs.items():
+        row = audit_table(specs[name], source, target, cutoff, days)
+        rows = row if rows is None else rows.unionByName(row)
+    missing, extra = F.col("keys_not_in_target"), F.col("target_keys") - F.col("source_keys") + F.col("keys_not_in_target")
+    return rows.withColumn("keys_differ", F.coalesce((missing > 0) | (extra > 0), F.lit(False)))
+
+
+def catalog_gaps(verdicts: DataFrame, pairs: Mapping[str, tuple[DataFrame, DataFrame]], specs: Mapping[str, TableSpec],
+                 cutoff=None, days: int = 2) -> dict[str, DataFrame]:
+    """The missing keys of those tables of an audit whose keys differ; only their names, one per table, are collected."""
+    gaps = {}
+    for row in verdicts.where("keys_not_in_target > 0").select("table").collect():
+        spec = specs[row["table"]]
+        source, target = pairs[spec.name]
+        if spec.time_col:
+            source, target = (frozen_window(x, spec.time_col, cutoff, days, spec.history_start) for x in (source, target))
+        gaps[spec.name] = missing_keys(source, target, spec.keys, spec.time_col)
+    return gaps
+
+
 def missing_keys(source: DataFrame, target: DataFrame, keys: Sequence[str], time_col: str | None = None,
                  n: int | None = None) -> DataFrame:
     """Source keys absent in the target with first seen time and row count; all of them, or the first ``n`` for a report."""

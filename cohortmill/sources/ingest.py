@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortmill.functions.dates import year_month
@@ -49,6 +49,26 @@ def ingest_window(df: DataFrame, path: str, time_col: str, lo, hi, extracted_at)
     append_rows(with_month_partition(batch, time_col), path, ["ym"])
 
 
+def ingest_batches_of(df: DataFrame, path: str, time_col: str, lo: str, hi: str, step_days: int, extracted_at) -> dict:
+    """Append ``[lo, hi)`` in one scan, each row marked with the batch of ``step_days`` it belongs to.
+
+    The batch comes from arithmetic on the time, so their number costs nothing. Rows, first and last time are observed
+    while the rows are written and returned as ``rows``, ``first`` and ``last``.
+    """
+    start, stop = _timestamp(lo), _timestamp(hi)
+    number = F.floor(F.date_diff(F.to_date(time_col), F.to_date(start)) / step_days).cast("int")
+    opened = F.greatest(F.date_add(F.to_date(start), number * step_days).cast("timestamp_ntz"), start)
+    closed = F.least(F.date_add(F.to_date(start), (number + 1) * step_days).cast("timestamp_ntz"), stop)
+    batch = with_lineage(in_window(df, time_col, lo, hi), "", extracted_at).withColumn(
+        "_batch_id", F.concat(opened.cast("string"), F.lit("_"), closed.cast("string")))
+    seen = Observation()
+    time = F.col(time_col)
+    batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(time.cast("string")).alias("first"),
+                          F.max(time.cast("string")).alias("last"))
+    append_rows(with_month_partition(batch, time_col), path, ["ym"])
+    return seen.get
+
+
 def ingest_full(df: DataFrame, root: str, batch_id: str, extracted_at) -> int:
     """Replace a full table; an empty load is refused."""
     return replace_snapshot(with_lineage(df, batch_id, extracted_at), root)
@@ -71,6 +91,20 @@ def update_watermark(df: DataFrame, path: str, table: str, time_col: str, bounda
     append_rows(watermark_row(df, table, time_col, boundary, now, duration_ms), path)
 
 
+def append_watermark(spark: SparkSession, path: str, table: str, boundary, now, rows: int, first=None, last=None,
+                     duration_ms: float = 0.0) -> None:
+    """The watermark of a load whose figures were observed while it was written."""
+    values = (boundary, now, first, last)
+    mark = spark.createDataFrame(
+        [(table, rows, float(duration_ms), *[None if v is None else str(v) for v in values])],
+        "table_name string, row_count bigint, duration_ms double, last_sync_time string, sync_time string, "
+        "min_data_time string, max_data_time string",
+    )
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("last_sync_time", "sync_time", "min_data_time", "max_data_time")}
+    names = [part.split()[0] for part in WATERMARK_DDL.split(", ")]
+    append_rows(mark.withColumns(times).select(*names).coalesce(1), path)
+
+
 def latest_watermarks(watermarks: DataFrame) -> DataFrame:
     return latest_by_key(watermarks, ["table_name"], ["sync_time"])
 

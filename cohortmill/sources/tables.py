@@ -87,21 +87,20 @@ def overwrite_periods(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     )
 
 
-def drop_periods(spark: SparkSession, path: str, kept: DataFrame, partition_by: Sequence[str]) -> None:
-    """Rewrite a table as ``kept`` (for instance after retention), staged first since it reads the same table."""
-    materialize(kept).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by).parquet(path)
-
-
 def remove_partitions(partitions: DataFrame, path: str, partition_by: Sequence[str]) -> int:
-    """Delete the partition folders listed in ``partitions`` - a short list, one row per calendar period."""
-    jvm = partitions.sparkSession._jvm
-    conf = partitions.sparkSession._jsc.hadoopConfiguration()
-    removed = 0
+    """Empty the partition folders listed in ``partitions`` - a short list, one row per calendar period.
+
+    Each folder is overwritten with no rows; folders that are not there stay so. Returns how many were emptied.
+    """
+    spark = partitions.sparkSession
+    columns = spark.read.parquet(path).drop(*partition_by)
+    emptied = 0
     for row in partitions.select(*partition_by).distinct().toLocalIterator():
-        folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *[f"{c}={row[c]}" for c in partition_by]]))
-        removed += bool(folder.getFileSystem(conf).delete(folder, True))
-    return removed
+        folder = "/".join([path.rstrip("/"), *[f"{c}={row[c]}" for c in partition_by]])
+        if path_exists(spark, folder):
+            columns.limit(0).coalesce(1).write.mode("overwrite").parquet(folder)
+            emptied += 1
+    return emptied
 
 
 def materialize(df: DataFrame) -> DataFrame:

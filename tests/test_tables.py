@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortmill.operators.filters import apply_retention
 from cohortmill.operators.versions import latest_by_key
+from cohortmill.plans import daily
 from cohortmill.sources import ingest, tables
 from cohortmill.streaming import changes
 
@@ -44,13 +45,14 @@ def test_period_overwrite_replaces_only_its_partitions(spark, tmp_path):
     assert [r.p for r in spark.read.parquet(path).collect()] == ["a"]
 
 
-def test_retention_and_rewrite(spark, tmp_path):
+def test_retention_empties_whole_months(spark, make_tasks, tmp_path):
     path = str(tmp_path / "r")
-    rows = spark.createDataFrame([(dt.date(2024, 12, 31), 1), (dt.date(2025, 1, 1), 2), (dt.date(2025, 6, 1), 3)], "d date, x int")
-    tables.overwrite_periods(rows, path, ["x"])
-    kept = apply_retention(spark.read.parquet(path), "d", "2025-12-31", 1)
-    tables.drop_periods(spark, path, kept, ["x"])
-    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [2, 3]
+    tasks = make_tasks(("a", "2024-11-30", None, None), ("b", "2024-12-05", None, None), ("c", "2025-06-01", None, None), ("d", None, None, None))
+    daily.write_fact(tasks, path)
+    assert daily.retire_months(spark, path, dt.date(2025, 12, 31), 1) == ["202411"]
+    assert sorted(r.task_id for r in daily.read_fact(spark, path).collect()) == ["b", "c", "d"]
+    kept = apply_retention(daily.read_fact(spark, path), "task_start_date", "2025-12-31", 1)
+    assert [r.task_id for r in kept.collect()] == ["c"]
 
 
 def test_watermark_and_resume(spark, tmp_path):
