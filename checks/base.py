@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,18 @@ class Ctes:
     def add(self, name: str, sql: str) -> None:
         self._parts[name] = duck(sql)
 
+    def rebased(self, first: Sequence[str], **replaced: str) -> Ctes:
+        """The same sub-selects with some replaced; those of ``first`` come before all others."""
+        other = Ctes()
+        rest = [name for name in self._parts if name not in first]
+        for name in (*first, *rest):
+            other.add(name, replaced.get(name, self._parts[name]))
+        return other
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        return tuple(self._parts)
+
     def sql(self, body: str) -> str:
         body = duck(body)
         needed: set[str] = set()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from cohortmill.functions.values import null_if_epoch
@@ -36,10 +38,17 @@ def declared(spark, sf):
     return readers.read_source(spark, ORDERS, f"{sf}/orders.parquet")
 
 
+def months_retired(spark, sf):
+    path = scratch_path(spark, "retired")
+    daily.write_fact(fact(spark, sf), path)
+    daily.retire_months(spark, path, dt.date(2000, 6, 30))
+    return daily.read_fact(spark, path).drop(daily.FACT_PARTITION)
+
+
 def derived_flag(spark, sf):
     """The employee flag rule of the catalog, on task end times."""
     spec = SOURCE_TABLES["hr_employee"]
-    people = a.derive(spark, sf, a.BRONZE_TASKINST).where("REV_ = 1").select(
+    people = a.derive(spark, sf, a.BRONZE_TASKINST).select(
         F.col("ID_").alias("EmpCode"), F.col("NAME_").alias("EmpName"), F.col("TASK_DEF_KEY_").alias("DeptCode"),
         F.col("END_TIME_").alias("TerminateDate"), F.col("START_TIME_").alias("ModifyDate"))
     return readers.apply_select_list(people, spec)
@@ -228,7 +237,7 @@ CHECKS = [
     Check("ingest_derived_flag", derived_flag, ctes.sql("""
         SELECT ID_ AS "EmpCode", NAME_ AS "EmpName", TASK_DEF_KEY_ AS "DeptCode", START_TIME_ AS "ModifyDate",
                CASE WHEN END_TIME_ IS NULL OR END_TIME_ <= TIMESTAMP '1970-01-01' THEN 1 ELSE 0 END AS "IsActive"
-        FROM b_task WHERE REV_ = 1""")),
+        FROM b_task""")),
     Check("lineage_stamp", lambda s, d: ingest.with_lineage(a.table(s, d, "orders"), "batch_1", NOW), f"""
         SELECT *, 'batch_1' AS _batch_id, TIMESTAMP '{NOW}' AS _extracted_at, CAST(1 AS BIGINT) AS _sync_version FROM orders"""),
     Check("windowed_ingest", lambda s, d: ingest.in_window(a.table(s, d, "orders"), "o_orderdate", "1998-01-01", "1999-01-01"),
@@ -251,6 +260,7 @@ CHECKS = [
         UNION ALL SELECT 'new_table', TIMESTAMP '2025-10-01' UNION ALL SELECT 'other_table', TIMESTAMP '2025-01-01'""")),
     Check("retention", lambda s, d: apply_retention(fact(s, d), "task_start_date", "2000-06-30", 1), ctes.sql(
         "SELECT * FROM fact WHERE task_start_date > DATE '1999-06-30'")),
+    Check("retention_drop", months_retired, ctes.sql("SELECT * FROM fact WHERE task_start_date >= DATE '1999-06-01'")),
     Check("month_partition_layout", month_folders, """
         SELECT strftime(l_shipdate, '%Y%m') AS ym, count(*) AS row_count, min(l_shipdate) AS first_ship FROM lineitem GROUP BY 1"""),
     Check("period_overwrite_twice", periods_overwritten, "SELECT * FROM orders"),

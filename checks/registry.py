@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from checks import gold, loading, reconciling, reporting, silver
+from checks import daily_job, gold, loading, reconciling, reporting, silver
 
-CHECKS = [*gold.CHECKS, *silver.CHECKS, *reporting.CHECKS, *reconciling.CHECKS, *loading.CHECKS]
+CHECKS = [*gold.CHECKS, *silver.CHECKS, *reporting.CHECKS, *reconciling.CHECKS, *loading.CHECKS, *daily_job.CHECKS]

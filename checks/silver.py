@@ -60,47 +60,84 @@ LEFT JOIN (SELECT line_name, plant_code, min(factory_code) AS factory_code, min(
   ON varinst_lineName = m.line_name AND varinst_plant = m.plant_code
 LEFT JOIN plant_region f ON varinst_plant = f.plant_code
 """)
-_C = {column: f"COALESCE(varinst_{variable}, '') AS {column}" for column, variable in facts.BUSINESS_COLUMNS.items()}
 ctes.add("auto_flags", """
 SELECT TASK_ID_, max(CASE WHEN LONG_ = 1 THEN 1 ELSE 0 END) AS flag FROM b_var
 WHERE NAME_ = 'autoComplete' AND TASK_ID_ <> '' GROUP BY TASK_ID_
 """)
-_CLAIM = "NULLIF(CAST(CLAIM_TIME_ AS DATE), DATE '1970-01-01')"
-_END = "NULLIF(CAST(END_TIME_ AS DATE), DATE '1970-01-01')"
-_START = "CAST(START_TIME_ AS DATE)"
-ctes.add("silver_base", f"""
-SELECT t.ID_ AS task_id, t.PROC_INST_ID_ AS proc_inst_id, COALESCE(pi.BUSINESS_STATUS_, '') AS l4_process_id,
-  COALESCE(pd.NAME_, '') AS l4_process_name, COALESCE(t.TASK_DEF_KEY_, '') AS task_definition_key,
-  COALESCE(t.NAME_, '') AS task_name, t.START_TIME_ AS task_start_time,
-  NULLIF(t.CLAIM_TIME_, TIMESTAMP '1970-01-01 00:00:00') AS task_claim_time,
-  NULLIF(t.END_TIME_, TIMESTAMP '1970-01-01 00:00:00') AS task_end_time,
-  {_START} AS task_start_date, {_CLAIM} AS task_claim_date, {_END} AS task_end_date,
-  {_START} AS task_primary_date, {_START} AS task_create_date,
-  CASE WHEN {_END} IS NOT NULL THEN date_diff('second', t.START_TIME_, t.END_TIME_) / 60.0 END AS duration_min,
-  CASE WHEN {_END} IS NOT NULL AND {_CLAIM} IS NOT NULL
-       THEN date_diff('second', t.CLAIM_TIME_, t.END_TIME_) / 60.0 END AS processing_time_min,
-  COALESCE(varinst_time, '') AS ui_time_field,
-  CASE WHEN {_END} IS NOT NULL THEN 'DONE' WHEN t.ASSIGNEE_ <> '' THEN 'DOING' ELSE 'TODO' END AS task_status,
-  CASE WHEN {_END} = {_START} THEN 'DONE' WHEN {_CLAIM} = {_START} THEN 'DOING' ELSE 'TODO' END AS status_daily,
-  CASE WHEN {_END} <= {week_start(_START)} + 6 THEN 'DONE' WHEN {_CLAIM} <= {week_start(_START)} + 6 THEN 'DOING'
-       ELSE 'TODO' END AS status_weekly,
-  CASE WHEN {_END} <= last_day({_START}) THEN 'DONE' WHEN {_CLAIM} <= last_day({_START}) THEN 'DOING'
-       ELSE 'TODO' END AS status_monthly,
-  CASE WHEN COALESCE(v.factory, '') = 'NPE' AND t.TASK_DEF_KEY_ NOT LIKE 'V2%' THEN 'V1'
-       WHEN substring(COALESCE(varinst_moNumber, ''), 1, 3) IN ('196', '199', '200', '210', '212', '213') THEN 'V1'
-       WHEN t.TASK_DEF_KEY_ LIKE 'V1%' THEN 'V1' WHEN t.TASK_DEF_KEY_ LIKE 'V2%' THEN 'V2'
-       WHEN t.TASK_DEF_KEY_ LIKE 'V3%' THEN 'V3' ELSE COALESCE(substring(t.TASK_DEF_KEY_, 1, 2), 'Unknown') END AS vx_type,
-  COALESCE(v.region, '') AS region, COALESCE(v.plant, '') AS plant, COALESCE(v.factory, '') AS factory,
-  COALESCE(v.line, '') AS line, {', '.join(_C.values())},
-  CASE WHEN tb.flag = 1 THEN 'bypass' WHEN he.EmpName = 'SYSTEM' THEN 'system_bypass'
-       WHEN t.TASK_DEF_KEY_ LIKE 'E%' OR t.TASK_DEF_KEY_ LIKE 'C%' THEN 'system_node'
-       WHEN COALESCE(varinst_moNumber, '') LIKE 'Q%' THEN 'Q_order'
-       WHEN COALESCE(varinst_moNumber, '') LIKE 'R%' THEN 'R_order'
-       WHEN t.NAME_ LIKE '%Notify%' THEN 'notify_task' WHEN t.NAME_ LIKE '%Dummy%' THEN 'dummy_task' ELSE '' END AS reason,
-  t.ASSIGNEE_ AS assignee_code, COALESCE(he.EmpName, '') AS assignee_name
-FROM newest_task t LEFT JOIN b_proc pi ON t.PROC_INST_ID_ = pi.ID_ LEFT JOIN b_def pd ON t.PROC_DEF_ID_ = pd.ID_
-  LEFT JOIN resolved v ON t.PROC_INST_ID_ = v.PROC_INST_ID_ LEFT JOIN b_emp he ON t.ASSIGNEE_ = he.EmpCode
-  LEFT JOIN auto_flags tb ON t.ID_ = tb.TASK_ID_
+# Step 1, times: a 1970 time or day stands for "never".
+ctes.add("silver_times", """
+SELECT ID_ AS task_id, START_TIME_ AS opened_at, CAST(START_TIME_ AS DATE) AS opened,
+       CASE WHEN CLAIM_TIME_ <> TIMESTAMP '1970-01-01' THEN CLAIM_TIME_ END AS claimed_at,
+       CASE WHEN CAST(CLAIM_TIME_ AS DATE) > DATE '1970-01-01' THEN CAST(CLAIM_TIME_ AS DATE) END AS claimed,
+       CASE WHEN END_TIME_ <> TIMESTAMP '1970-01-01' THEN END_TIME_ END AS ended_at,
+       CASE WHEN CAST(END_TIME_ AS DATE) > DATE '1970-01-01' THEN CAST(END_TIME_ AS DATE) END AS ended
+FROM newest_task
+""")
+# Step 2, statuses: what had happened by the last day of the opening day, week or month.
+ctes.add("silver_horizons", f"""
+SELECT task_id, grain, CASE WHEN ended BETWEEN opened AND horizon OR ended < opened AND grain <> 'daily' THEN 'DONE'
+                            WHEN claimed BETWEEN opened AND horizon OR claimed < opened AND grain <> 'daily' THEN 'DOING'
+                            ELSE 'TODO' END AS status
+FROM (SELECT *, 'daily' AS grain, opened AS horizon FROM silver_times
+      UNION ALL SELECT *, 'weekly', CAST({week_start('opened')} + 6 AS DATE) FROM silver_times
+      UNION ALL SELECT *, 'monthly', last_day(opened) FROM silver_times)
+""")
+ctes.add("silver_statuses", "SELECT task_id, " + ", ".join(
+    f"max(status) FILTER (grain = '{g}') AS status_{g}" for g in ("daily", "weekly", "monthly"))
+    + " FROM silver_horizons GROUP BY task_id")
+# Step 3, what the rules look at.
+ctes.add("silver_traits", """
+SELECT ID_ AS task_id, TASK_DEF_KEY_ AS node, NAME_ AS title, COALESCE(varinst_moNumber, '') AS order_no,
+       COALESCE(factory, '') AS site, EmpName AS person, flag
+FROM newest_task LEFT JOIN resolved USING (PROC_INST_ID_) LEFT JOIN b_emp ON ASSIGNEE_ = EmpCode
+     LEFT JOIN auto_flags ON ID_ = TASK_ID_
+""")
+# Fixed values: (label, condition) in order of rank.
+CLASS_RULES = (
+    ("V1", "site = 'NPE' AND NOT starts_with(node, 'V2')"),
+    ("V1", "left(order_no, 3) IN ('196', '199', '200', '210', '212', '213')"),
+    ("V1", "starts_with(node, 'V1')"), ("V2", "starts_with(node, 'V2')"), ("V3", "starts_with(node, 'V3')"),
+)
+REASON_RULES = (
+    ("bypass", "flag = 1"), ("system_bypass", "person = 'SYSTEM'"), ("system_node", "left(node, 1) IN ('E', 'C')"),
+    ("Q_order", "left(order_no, 1) = 'Q'"), ("R_order", "left(order_no, 1) = 'R'"),
+    ("notify_task", "contains(title, 'Notify')"), ("dummy_task", "contains(title, 'Dummy')"),
+)
+
+
+def _first_rule(rules) -> str:
+    """Step 4: every rule that holds, as a row; the lowest rank counts."""
+    hits = " UNION ALL ".join(
+        f"SELECT task_id, {rank} AS place, '{label}' AS label FROM silver_traits WHERE {condition}"
+        for rank, (label, condition) in enumerate(rules))
+    return f"SELECT task_id, arg_min(label, place) AS label FROM ({hits}) GROUP BY task_id"
+
+
+ctes.add("silver_classes", _first_rule(CLASS_RULES))
+ctes.add("silver_reasons", _first_rule(REASON_RULES))
+_BUSINESS = ", ".join(f"COALESCE(varinst_{variable}, '') AS {column}" for column, variable in facts.BUSINESS_COLUMNS.items())
+ctes.add("silver_context", f"""
+SELECT ID_ AS task_id, PROC_INST_ID_ AS proc_inst_id, COALESCE(BUSINESS_STATUS_, '') AS l4_process_id,
+       COALESCE(b_def.NAME_, '') AS l4_process_name, COALESCE(varinst_time, '') AS ui_time_field,
+       COALESCE(region, '') AS region, COALESCE(plant, '') AS plant, COALESCE(factory, '') AS factory,
+       COALESCE(line, '') AS line, {_BUSINESS}, ASSIGNEE_ AS assignee_code
+FROM newest_task LEFT JOIN resolved USING (PROC_INST_ID_)
+     LEFT JOIN (SELECT ID_ AS proc, BUSINESS_STATUS_ FROM b_proc) ON PROC_INST_ID_ = proc
+     LEFT JOIN (SELECT ID_ AS def, NAME_ FROM b_def) AS b_def ON PROC_DEF_ID_ = def
+""")
+ctes.add("silver_base", """
+SELECT c.*, COALESCE(node, '') AS task_definition_key, COALESCE(title, '') AS task_name,
+       opened_at AS task_start_time, claimed_at AS task_claim_time, ended_at AS task_end_time,
+       opened AS task_start_date, claimed AS task_claim_date, ended AS task_end_date,
+       opened AS task_primary_date, opened AS task_create_date,
+       CASE WHEN ended IS NOT NULL THEN epoch(ended_at - opened_at) / 60.0 END AS duration_min,
+       CASE WHEN ended IS NOT NULL AND claimed IS NOT NULL THEN epoch(ended_at - claimed_at) / 60.0 END AS processing_time_min,
+       CASE WHEN ended IS NOT NULL THEN 'DONE' WHEN assignee_code <> '' THEN 'DOING' ELSE 'TODO' END AS task_status,
+       status_daily, status_weekly, status_monthly,
+       COALESCE(k.label, left(node, 2), 'Unknown') AS vx_type, COALESCE(r.label, '') AS reason,
+       COALESCE(person, '') AS assignee_name
+FROM silver_context c JOIN silver_traits USING (task_id) JOIN silver_times USING (task_id) JOIN silver_statuses USING (task_id)
+     LEFT JOIN silver_classes k USING (task_id) LEFT JOIN silver_reasons r USING (task_id)
 """)
 ctes.add("silver_built", f"""
 SELECT * EXCLUDE (reason), CASE WHEN reason <> '' THEN 1 ELSE 0 END AS is_excluded, reason AS exclude_reason,
@@ -178,8 +215,7 @@ def windowed_variables(spark, sf):
     active = filters.touching_window(
         b.taskinst, F.lit(LO).cast("timestamp_ntz"), F.lit(HI).cast("timestamp_ntz")
     ).select("PROC_INST_ID_")
-    return variables.pivot_variables(b.varinst, active, LO, HI, lookback_days=730).select(
-        "PROC_INST_ID_", "varinst_plant", "varinst_region", "varinst_lineName", "varinst_moNumber")
+    return variables.pivot_variables(b.varinst, active)
 
 
 def touched(spark, sf):
@@ -216,15 +252,8 @@ CHECKS = [
         for k in ("click", "error", "purchase", "signup", "view")) + " FROM events GROUP BY user_id"),
     Check("variable_pivot", lambda s, d: variables.pivot_variables(a.derive(s, d, a.BRONZE_VARINST)),
           ctes.sql("SELECT * FROM pivoted")),
-    Check("variable_pivot_active_window", windowed_variables, ctes.sql(f"""
-        SELECT * FROM (
-          SELECT p.PROC_INST_ID_, {', '.join(
-        f"COALESCE(arg_max(TEXT_, REV_) FILTER (NAME_ = '{v}' AND TEXT_ IS NOT NULL AND REV_ IS NOT NULL), '') AS varinst_{v}"
-        for v in ('plant', 'region', 'lineName', 'moNumber'))}
-          FROM b_var p WHERE CREATE_TIME_ >= TIMESTAMP '{LO}' - INTERVAL '730' DAY AND CREATE_TIME_ < TIMESTAMP '{HI}'
-            AND PROC_INST_ID_ IN (SELECT PROC_INST_ID_ FROM b_task WHERE {_TOUCH})
-          GROUP BY p.PROC_INST_ID_)
-        WHERE varinst_plant <> '' OR varinst_region <> '' OR varinst_lineName <> '' OR varinst_moNumber <> ''""")),
+    Check("variable_pivot_active_window", windowed_variables, ctes.sql(
+        f"SELECT * FROM pivoted WHERE PROC_INST_ID_ IN (SELECT PROC_INST_ID_ FROM b_task WHERE {_TOUCH})")),
     Check("five_level_dimension", lambda s, d: daily.five_level(bronze(s, d)), ctes.sql("SELECT * FROM levels")),
     Check("first_region_per_plant", lambda s, d: dimensions.region_of_plant(daily.five_level(bronze(s, d))),
           ctes.sql("SELECT * FROM plant_region")),
@@ -234,8 +263,8 @@ CHECKS = [
         ctes.sql("SELECT PROC_INST_ID_, region, plant, factory, line FROM resolved")),
     Check("process_attributes", lambda s, d: facts.process_attributes(
         variables.pivot_variables(a.derive(s, d, a.BRONZE_VARINST)), daily.five_level(bronze(s, d)), bronze(s, d).procinst
-    ).select("PROC_INST_ID_", "l4_process_id", "region", "plant"), ctes.sql("""
-        SELECT COALESCE(r.PROC_INST_ID_, p.ID_) AS PROC_INST_ID_, BUSINESS_STATUS_ AS l4_process_id, region, plant
+    ), ctes.sql("""
+        SELECT COALESCE(r.PROC_INST_ID_, p.ID_) AS PROC_INST_ID_, r.* EXCLUDE (PROC_INST_ID_), BUSINESS_STATUS_ AS l4_process_id
         FROM resolved r FULL JOIN b_proc p ON r.PROC_INST_ID_ = p.ID_""")),
     Check("touching_window", touched, ctes.sql(
         f"SELECT ID_, REV_, START_TIME_, CLAIM_TIME_, END_TIME_ FROM b_task WHERE {_TOUCH}")),
@@ -246,9 +275,8 @@ CHECKS = [
     Check("vx_class_and_exclusion", classified, ctes.sql(
         "SELECT task_id, vx_type, is_excluded, exclude_reason FROM silver_built")),
     Check("task_fact", lambda s, d: rounded(silver_fact(s, d)), ctes.sql(f"SELECT * {_ROUND} FROM silver")),
-    Check("task_fact_in_window", lambda s, d: rounded(daily.task_fact(bronze(s, d), a.UPDATED_AT, "1995-01-01", HI)), ctes.sql(f"""
-        SELECT * {_ROUND} FROM silver
-        WHERE task_start_date < DATE '{HI}' OR task_claim_date < DATE '{HI}' OR task_end_date < DATE '{HI}'""")),
+    Check("task_fact_in_window", lambda s, d: rounded(daily.task_fact(bronze(s, d), a.UPDATED_AT, LO, HI)), ctes.sql(
+        f"SELECT * {_ROUND} FROM silver WHERE task_id IN (SELECT ID_ FROM b_task WHERE {_TOUCH})")),
     Check("exclusion_flag_update", lambda s, d: versions.apply_exclusion_flag(
         a.derive(s, d, a.TASK_FACT).select(F.concat(F.lit("T"), "task_id").alias("task_id"), "is_excluded",
                                            F.lit("").alias("exclude_reason")),

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from cohortmill.functions.dates import DateLike
 from cohortmill.plans import daily
 from cohortmill.plans.runs import (
-    CHECKPOINT_DDL, PHASES, SUCCESS, catchup_range, etl_windows, mask_secrets, pending_windows, run_phase,
+    CHECKPOINT_DDL, PHASES, SUCCESS, catchup_range, etl_windows, latest_checkpoints, mask_secrets, pending_windows, run_phase,
 )
 from cohortmill.sources import ingest, tables
 from cohortmill.sources.catalog import FULL, SOURCE_TABLES, TableSpec
@@ -81,51 +82,64 @@ def checkpoints(spark: SparkSession, store: Store) -> DataFrame:
     return _read_log(spark, store.path("checkpoints"), CHECKPOINT_DDL)
 
 
-def sync_table(spark: SparkSession, spec: TableSpec, source: DataFrame, store: Store, until: str, now: Clock) -> int:
-    """Load one declared table up to ``until`` and leave its watermark; returns its rows.
+def resume_points(spark: SparkSession, store: Store) -> dict[str, tuple[str, str]]:
+    """Target -> (boundary of its last load, time to continue at): one row per declared table."""
+    rows = ingest.latest_watermarks(watermarks(spark, store)).select(
+        "table_name", F.col("last_sync_time").cast("string"), F.coalesce("max_data_time", "last_sync_time").cast("string"))
+    return {name: (boundary, resume) for name, boundary, resume in rows.collect()}
 
-    A full table is replaced, and an empty load refused. A batch table continues at its resume point; rows at exactly
-    that time come again and count once, since readers take the newest version. If a load up to ``until`` is already
-    on record, nothing is read.
+
+def sync_table(spec: TableSpec, source: DataFrame, store: Store, lo: str, until: str, now: Clock) -> tuple:
+    """Load one declared table up to ``until``; returns the row of its watermark.
+
+    A full table is replaced, and an empty load refused. A batch table continues at ``lo``; rows at exactly that time
+    come again and count once, since readers take the newest version.
     """
-    marks, name = watermarks(spark, store), spec.target
-    reached = ingest.latest_watermarks(marks.where(F.col("table_name") == name)).select(
-        F.col("last_sync_time") >= F.lit(until).cast("timestamp_ntz")).first()
-    if reached is not None and reached[0]:
-        return 0
     began = now()
     typed = apply_select_list(source, spec)
     if spec.strategy == FULL:
-        load = {"rows": ingest.ingest_full(typed, store.bronze(spec), f"full_{until}", str(began)), "first": None, "last": None}
+        rows, first, last = ingest.ingest_full(typed, store.bronze(spec), f"full_{until}", str(began)), None, None
     else:
-        lo = str(ingest.resume_point(marks, name, spec.history_start).first()["resume_at"])
-        load = ingest.ingest_batches_of(typed, store.bronze(spec), spec.time_col, lo, until, spec.step_days, str(began))
+        seen = ingest.ingest_batches_of(typed, store.bronze(spec), spec.time_col, lo, until, spec.step_days, str(began))
+        rows, first, last = seen["rows"], seen["first"], seen["last"]
     ended = now()
-    ingest.append_watermark(spark, store.path("watermarks"), name, until, ended, load["rows"], load["first"],
-                            load["last"], (ended - began).total_seconds() * 1000)
-    return load["rows"]
+    return spec.target, rows, (ended - began).total_seconds() * 1000, until, str(ended), first, last
 
 
 def sync_all(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], store: Store, until: str, now: Clock,
-             specs: Mapping[str, TableSpec] = SOURCE_TABLES) -> dict[str, int]:
-    """Load all tables; a table that fails does not stop the others, but the run ends with an error that names it.
+             specs: Mapping[str, TableSpec] = SOURCE_TABLES, parallel: int = 4) -> dict[str, int]:
+    """Load all tables, ``parallel`` at a time; returns their rows.
 
-    ``sources`` maps a declared table to a function that opens it, so a source that cannot be opened fails alone.
-    After a load of master data, and only if all of it succeeded, the stored five-level table is replaced.
+    ``sources`` maps a declared table to a function that opens it, so a source that cannot be opened fails alone: the
+    others are loaded, and the run ends with an error that names it. A table with a load up to ``until`` on record is
+    not read. Watermarks are written together once the loads are done. After a load of master data, and only if all of
+    it succeeded, the stored five-level table is replaced.
     """
+    marks = resume_points(spark, store)
+    due = {n: opened for n, opened in sources.items() if marks.get(specs[n].target, ("", ""))[0] < until}
+    floor = ingest.DEFAULT_HISTORY_START
+
+    def load(name: str) -> tuple:
+        spec = specs[name]
+        lo = marks[spec.target][1] if spec.target in marks else spec.history_start or floor
+        return sync_table(spec, due[name](), store, lo, until, now)
+
     loaded, failed = {}, {}
-    for name, open_source in sources.items():
-        try:
-            loaded[name] = sync_table(spark, specs[name], open_source(), store, until, now)
-        except Exception as error:
-            failed[name] = mask_secrets(str(error))
+    with ThreadPoolExecutor(parallel) as pool:
+        for name, job in [(name, pool.submit(load, name)) for name in due]:
+            try:
+                loaded[name] = job.result()
+            except Exception as error:
+                failed[name] = mask_secrets(str(error))
+    if loaded:
+        ingest.append_watermarks(spark, store.path("watermarks"), list(loaded.values()))
     masters = [BRONZE_TABLES[field] for field in MASTER_DATA]
-    if any(loaded.get(name) for name in masters) and not set(masters) & set(failed):
+    if set(masters) & set(loaded) and not set(masters) & set(failed):
         levels = daily.five_level(read_bronze(spark, store, specs))
         tables.replace_snapshot(levels, store.path("five_level"), allow_empty=True)
     if failed:
         raise SyncError("; ".join(f"{name}: {text}" for name, text in sorted(failed.items())))
-    return loaded
+    return {name: loaded[name][1] if name in loaded else 0 for name in sources}
 
 
 def _activity(bronze: daily.Bronze) -> DataFrame:
@@ -182,6 +196,11 @@ def run_daily(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]
     Changed master data reaches tasks when they change; rebuild the fact to apply it to all of them at once.
     """
     loaded = sync_all(spark, sources, store, until, now, specs)
+    idle = {**{f"rows:{name}": rows for name, rows in loaded.items()}, **{phase: 0 for phase in PHASES}}
+    last = latest_checkpoints(checkpoints(spark, store)).where((F.col("phase") == PHASES[-1]) & (F.col("status") == SUCCESS))
+    finished = last.agg(F.max("window_end") >= F.lit(until).cast("timestamp_ntz")).first()[0]
+    if finished and not any(loaded.values()):
+        return idle
     if start is None:
         bounds = catchup_range(watermarks(spark, store), checkpoints(spark, store), as_of=as_of)
     else:
@@ -191,4 +210,4 @@ def run_daily(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]
     end = F.least("window_end", F.lit(until).cast("timestamp_ntz"))
     windows = etl_windows(bounds, step_days=step_days).withColumn("window_end", end).where("window_start < window_end")
     done = run_windows(spark, store, windows, cutoff=cutoff, as_of=as_of, updated_at=updated_at, now=now, specs=specs)
-    return {**{f"rows:{name}": rows for name, rows in loaded.items()}, **done}
+    return {**idle, **done}

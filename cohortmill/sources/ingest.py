@@ -65,7 +65,8 @@ def ingest_batches_of(df: DataFrame, path: str, time_col: str, lo: str, hi: str,
     time = F.col(time_col)
     batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.min(time.cast("string")).alias("first"),
                           F.max(time.cast("string")).alias("last"))
-    append_rows(with_month_partition(batch, time_col), path, ["ym"])
+    # Few files per month, and a month too large for one task is split.
+    append_rows(with_month_partition(batch, time_col).hint("rebalance", "ym"), path, ["ym"])
     return seen.get
 
 
@@ -91,18 +92,17 @@ def update_watermark(df: DataFrame, path: str, table: str, time_col: str, bounda
     append_rows(watermark_row(df, table, time_col, boundary, now, duration_ms), path)
 
 
-def append_watermark(spark: SparkSession, path: str, table: str, boundary, now, rows: int, first=None, last=None,
-                     duration_ms: float = 0.0) -> None:
-    """The watermark of a load whose figures were observed while it was written."""
-    values = (boundary, now, first, last)
-    mark = spark.createDataFrame(
-        [(table, rows, float(duration_ms), *[None if v is None else str(v) for v in values])],
-        "table_name string, row_count bigint, duration_ms double, last_sync_time string, sync_time string, "
-        "min_data_time string, max_data_time string",
-    )
-    times = {c: F.col(c).cast("timestamp_ntz") for c in ("last_sync_time", "sync_time", "min_data_time", "max_data_time")}
+def append_watermarks(spark: SparkSession, path: str, loads: list[tuple]) -> None:
+    """Watermarks of finished loads whose figures were observed while they were written.
+
+    A load is (table, rows, duration_ms, boundary, time of the run, first and last data time), times as text or None.
+    """
+    times = ("last_sync_time", "sync_time", "min_data_time", "max_data_time")
+    marks = spark.createDataFrame(
+        loads, "table_name string, row_count bigint, duration_ms double, " + ", ".join(f"{c} string" for c in times))
     names = [part.split()[0] for part in WATERMARK_DDL.split(", ")]
-    append_rows(mark.withColumns(times).select(*names).coalesce(1), path)
+    typed = marks.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
+    append_rows(typed.select(*names).coalesce(1), path)
 
 
 def latest_watermarks(watermarks: DataFrame) -> DataFrame:
