@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +24,7 @@ from cohortmill.operators.variables import pivot_variables
 from cohortmill.operators.versions import FLAG_REASON, latest_by_key
 from cohortmill.plans.runs import affected_periods
 from cohortmill.sources.ingest import in_window
-from cohortmill.sources.tables import append_rows, materialize, overwrite_periods, path_exists, remove_partitions
+from cohortmill.sources.tables import append_rows, overwrite_periods, path_exists, remove_partitions, stages
 
 FACT_PARTITION = "start_month"
 SUMMARY_PARTITIONS = ("period_type", "period_month")
@@ -145,23 +145,23 @@ class Merge:
     months: list[str]
 
 
-def merge_fact(path: str, changes: DataFrame, version_cols: Sequence[str]) -> Merge:
+def merge_fact(path: str, changes: DataFrame, version_cols: Sequence[str], stage: Callable[[DataFrame], DataFrame]) -> Merge:
     """Decide, per task, between the stored and the changed version; the newer one wins, the change on a tie.
 
     Months are those the changed tasks are in now and those they were in before, found by reading the task key alone.
-    Nothing is written to the fact table.
+    Nothing is written to the fact table; ``stage`` holds the rows until they are.
     """
-    new = materialize(with_start_month(changes))
+    new = stage(with_start_month(changes))
     stored = read_fact(new.sparkSession, path)
     keys = new.select("task_id").distinct()
     homes = stored.select("task_id", FACT_PARTITION).join(keys, "task_id", "left_semi")
     months = calendar_months(new.select(FACT_PARTITION).union(homes.select(FACT_PARTITION)))
     touched = in_months(stored, months)
     old = touched.join(keys, "task_id", "left_semi")
-    versions = materialize(old.withColumn("_changed", F.lit(0)).unionByName(new.withColumn("_changed", F.lit(1)), True))
+    versions = stage(old.withColumn("_changed", F.lit(0)).unionByName(new.withColumn("_changed", F.lit(1)), True))
     winners = latest_by_key(versions, ["task_id"], [*version_cols, "_changed"]).drop("_changed")
     kept = touched.join(keys, "task_id", "left_anti")
-    return Merge(versions.drop("_changed"), materialize(kept.unionByName(winners, True)), months)
+    return Merge(versions.drop("_changed"), stage(kept.unionByName(winners, True)), months)
 
 
 def write_merge(merge: Merge, path: str) -> None:
@@ -251,17 +251,18 @@ def merge_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summa
     the journal before the fact is touched; ``refresh_open`` works them off. The first call creates the fact table.
     """
     version_cols = [c for c in version_cols if c in changes.columns]
-    changes = materialize(latest_by_key(changes, ["task_id"], version_cols))
-    exists = path_exists(spark, fact_path)
-    merge = merge_fact(fact_path, changes, version_cols) if exists else None
-    journal = affected_partitions(merge.versions if exists else changes, cutoff)
-    entries = journal.select(F.lit(uuid.uuid4().hex).alias("run"), *SUMMARY_PARTITIONS)
-    append_rows(entries.coalesce(1), journal_path(summary_path))
-    if exists:
-        write_merge(merge, fact_path)
-    else:
-        write_fact(changes, fact_path)
-    return changes.count()
+    with stages(spark) as stage:
+        changes = stage(latest_by_key(changes, ["task_id"], version_cols))
+        exists = path_exists(spark, fact_path)
+        merge = merge_fact(fact_path, changes, version_cols, stage) if exists else None
+        journal = affected_partitions(merge.versions if exists else changes, cutoff)
+        entries = journal.select(F.lit(uuid.uuid4().hex).alias("run"), *SUMMARY_PARTITIONS)
+        append_rows(entries.coalesce(1), journal_path(summary_path))
+        if exists:
+            write_merge(merge, fact_path)
+        else:
+            write_fact(changes, fact_path)
+        return changes.count()
 
 
 def refresh_open(spark: SparkSession, fact_path: str, summary_path: str, cutoff: str | dt.date, as_of: DateLike) -> int:
@@ -272,18 +273,19 @@ def refresh_open(spark: SparkSession, fact_path: str, summary_path: str, cutoff:
     found = open_partitions(spark, summary_path)
     if found is None:
         return 0
-    entries = materialize(found)
-    runs = entries.select("run").distinct().count()
-    if runs == 0:
-        return 0
-    partitions = entries.select(*SUMMARY_PARTITIONS).distinct()
-    rows = materialize(refresh_summary(read_fact(spark, fact_path), partitions, cutoff, as_of))
-    write_summary(rows, summary_path)
-    emptied = partitions.join(rows.select(*SUMMARY_PARTITIONS).distinct(), [*SUMMARY_PARTITIONS], "left_anti")
-    remove_partitions(emptied, summary_path, SUMMARY_PARTITIONS)
-    finished = entries.select("run", *[F.lit(None).cast("string").alias(c) for c in SUMMARY_PARTITIONS]).distinct()
-    append_rows(finished.coalesce(1), journal_path(summary_path))
-    return runs
+    with stages(spark) as stage:
+        entries = stage(found)
+        runs = entries.select("run").distinct().count()
+        if runs == 0:
+            return 0
+        partitions = entries.select(*SUMMARY_PARTITIONS).distinct()
+        rows = stage(refresh_summary(read_fact(spark, fact_path), partitions, cutoff, as_of))
+        write_summary(rows, summary_path)
+        emptied = partitions.join(rows.select(*SUMMARY_PARTITIONS).distinct(), [*SUMMARY_PARTITIONS], "left_anti")
+        remove_partitions(emptied, summary_path, SUMMARY_PARTITIONS)
+        finished = entries.select("run", *[F.lit(None).cast("string").alias(c) for c in SUMMARY_PARTITIONS]).distinct()
+        append_rows(finished.coalesce(1), journal_path(summary_path))
+        return runs
 
 
 def apply_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str,

@@ -38,6 +38,8 @@ BRONZE_TABLES = {
     "mfg_plant": "mdm_mfg_plant", "factory_area": "mdm_factory_area", "mfg_site": "mdm_mfg_site",
 }
 BATCH_LINEAGE = ", _batch_id string, _extracted_at timestamp_ntz, _sync_version bigint, ym string"
+# Versions kept of a replaced table: the current one, and the one readers may still be at work on.
+KEEP = 2
 MASTER_DATA = ("line_desc", "prod_area", "mfg_plant", "factory_area", "mfg_site")
 
 
@@ -98,7 +100,7 @@ def sync_table(spec: TableSpec, source: DataFrame, store: Store, lo: str, until:
     began = now()
     typed = apply_select_list(source, spec)
     if spec.strategy == FULL:
-        rows, first, last = ingest.ingest_full(typed, store.bronze(spec), f"full_{until}", str(began)), None, None
+        rows, first, last = ingest.ingest_full(typed, store.bronze(spec), f"full_{until}", str(began), KEEP), None, None
     else:
         seen = ingest.ingest_batches_of(typed, store.bronze(spec), spec.time_col, lo, until, spec.step_days, str(began))
         rows, first, last = seen["rows"], seen["first"], seen["last"]
@@ -136,7 +138,7 @@ def sync_all(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]]
     masters = [BRONZE_TABLES[field] for field in MASTER_DATA]
     if set(masters) & set(loaded) and not set(masters) & set(failed):
         levels = daily.five_level(read_bronze(spark, store, specs))
-        tables.replace_snapshot(levels, store.path("five_level"), allow_empty=True)
+        tables.replace_snapshot(levels, store.path("five_level"), allow_empty=True, keep=KEEP)
     if failed:
         raise SyncError("; ".join(f"{name}: {text}" for name, text in sorted(failed.items())))
     return {name: loaded[name][1] if name in loaded else 0 for name in sources}
@@ -165,27 +167,27 @@ def run_windows(spark: SparkSession, store: Store, windows: DataFrame, *, cutoff
         return sorted((row["window_start"], row["window_end"]) for row in found.collect())
 
     def build(lo: dt.datetime, hi: dt.datetime, first: bool) -> int:
-        only = None if first else tables.materialize(daily.changed_tasks(bronze, lo, hi))
-        rows = daily.task_fact(bronze, updated_at, levels=levels, only=only)
-        return daily.merge_changes(spark, rows, fact, summary, cutoff)
+        with tables.stages(spark) as stage:
+            only = None if first else stage(daily.changed_tasks(bronze, lo, hi))
+            rows = daily.task_fact(bronze, updated_at, levels=levels, only=only)
+            return daily.merge_changes(spark, rows, fact, summary, cutoff)
 
     def refresh() -> int:
         return daily.refresh_open(spark, fact, summary, cutoff, as_of)
 
-    activity = tables.materialize(_activity(bronze))
     facts, totals = PHASES
-    done = {phase: 0 for phase in PHASES}
+    with tables.stages(spark) as stage:
+        activity = stage(_activity(bronze))
+        todo = {phase: pending(phase, activity) for phase in PHASES}
     # A store's first build takes everything loaded so far, which covers the other windows of its run.
     first = checkpoints(spark, store).where((F.col("phase") == facts) & (F.col("status") == SUCCESS)).isEmpty()
-    for number, (lo, hi) in enumerate(pending(facts, activity)):
+    for number, (lo, hi) in enumerate(todo[facts]):
         covered = first and number > 0
         run_phase(spark, log, facts, (lo, hi),
                   lambda lo=lo, hi=hi, covered=covered: 0 if covered else build(lo, hi, first), now)
-        done[facts] += 1
-    for window in pending(totals, activity):
+    for window in todo[totals]:
         run_phase(spark, log, totals, window, refresh, now)
-        done[totals] += 1
-    return done
+    return {phase: len(windows) for phase, windows in todo.items()}
 
 
 def run_daily(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], store: Store, *, until: str,

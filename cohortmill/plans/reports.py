@@ -68,9 +68,12 @@ def periodic_report(summary: DataFrame, anchor: DateLike, days: int = 7, **dims)
         known = dt.date.fromisoformat(str(anchor)[:10])
         monday = known - dt.timedelta(days=known.weekday() + 14)
         summary = in_period_months(summary, min(monday, known - dt.timedelta(days=days - 1), known.replace(day=1)), known)
+        calendar = [(known - dt.timedelta(weeks=back)).isocalendar() for back in range(3)]
+        month, weeks = f"{known.year}-{known.month:02d}", [f"{week.year}-W{week.week:02d}" for week in calendar]
+    else:
+        month, weeks = month_key(a), [week_key(F.date_sub(a, 7 * back)) for back in range(3)]
     kind, key, day = F.col("period_type"), F.col("period_key"), F.col("snapshot_date")
-    weeks = [week_key(F.date_sub(a, 7 * back)) for back in range(3)]
-    in_month = (kind == "Month") & (key == month_key(a))
+    in_month = (kind == "Month") & (key == month)
     in_week = (kind == "Week") & (key == weeks[0])
     in_week_1 = (kind == "Week") & (key == weeks[1])
     in_week_2 = (kind == "Week") & (key == weeks[2])
@@ -94,7 +97,7 @@ def periodic_measures(report: DataFrame, by=("granularity", "period_name")) -> D
     sums = report.groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in QTY],
         F.max("sort_order").alias("period_sort_order"),
-        F.max("granularity").alias("_grain"),
+        F.bool_and(F.col("granularity") == "Day").alias("_days"),
     )
     total, todo, doing = F.col("total_qty"), F.col("todo_qty"), F.col("doing_qty")
     acc, acc_total = F.col("acc_qty"), F.col("acc_total_qty")
@@ -104,9 +107,9 @@ def periodic_measures(report: DataFrame, by=("granularity", "period_name")) -> D
         "doing_rate": floor_rate(doing, total),
         "done_rate": capped_floor_rate(F.col("done_qty"), total),
         "doing_done_rate": capped_floor_rate(F.col("doing_done_qty"), total),
-        "acc_rate": F.when(F.col("_grain") == "Day", capped_floor_rate(acc, acc_total))
+        "acc_rate": F.when(F.col("_days"), capped_floor_rate(acc, acc_total))
         .otherwise(floor_rate(todo + doing, total)),
-    }).drop("_grain")
+    }).drop("_days")
 
 
 def _status_lines(df: DataFrame, percents: dict, sort_name: str, keep: list[str]) -> DataFrame:

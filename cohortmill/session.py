@@ -22,6 +22,8 @@ def build_session(app_name: str = "cohortmill", cpus: str | int = "*",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every column expression costs more than planning a small report.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

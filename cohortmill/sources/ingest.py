@@ -70,9 +70,9 @@ def ingest_batches_of(df: DataFrame, path: str, time_col: str, lo: str, hi: str,
     return seen.get
 
 
-def ingest_full(df: DataFrame, root: str, batch_id: str, extracted_at) -> int:
-    """Replace a full table; an empty load is refused."""
-    return replace_snapshot(with_lineage(df, batch_id, extracted_at), root)
+def ingest_full(df: DataFrame, root: str, batch_id: str, extracted_at, keep: int | None = None) -> int:
+    """Replace a full table; an empty load is refused. ``keep`` as in ``replace_snapshot``."""
+    return replace_snapshot(with_lineage(df, batch_id, extracted_at), root, keep=keep)
 
 
 def watermark_row(df: DataFrame, table: str, time_col: str, boundary, now, duration_ms: float = 0.0) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.sources.catalog import SOURCE_TABLES, TableSpec
+from cohortmill.sources.catalog import BATCH, SOURCE_TABLES, TableSpec
 
 
 def table_spec(table: str | TableSpec) -> TableSpec:
@@ -38,8 +38,15 @@ def read_source(spark: SparkSession, table: str | TableSpec, path: str, fmt: str
 
 def read_jdbc(spark: SparkSession, table: str | TableSpec, options: dict[str, str], dbtable: str,
               predicates: Sequence[str] | None = None) -> DataFrame:
-    """A live table over JDBC; each predicate becomes one parallel partition of the read."""
+    """A live table over JDBC; each predicate becomes one parallel partition of the read.
+
+    A batch table needs predicates (``range_predicates``), or one connection would read all of it. Times arrive without a
+    zone, as they are declared, so bounds on them reach the source.
+    """
     spec = table_spec(table)
+    if spec.strategy == BATCH and not predicates:
+        raise ValueError(f"{spec.name}: a batch table is read in ranges, give predicates")
+    options = {"preferTimestampNTZ": "true", **options}
     if predicates:
         properties = {k: v for k, v in options.items() if k != "url"}
         raw = spark.read.jdbc(options["url"], dbtable, predicates=list(predicates), properties=properties)

@@ -8,7 +8,8 @@ One writer per table.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -46,8 +47,12 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return newest["version"]
 
 
-def replace_snapshot(df: DataFrame, root: str, allow_empty: bool = False) -> int:
-    """Stage a full load, reject it when empty, then make it current; returns its rows."""
+def replace_snapshot(df: DataFrame, root: str, allow_empty: bool = False, keep: int | None = None) -> int:
+    """Stage a full load, reject it when empty, then make it current; returns its rows.
+
+    With ``keep``, versions older than the newest ``keep`` are emptied; keep at least 2 where readers may still be at
+    work on the version before.
+    """
     spark = df.sparkSession
     version = uuid.uuid4().hex
     staged = f"{root}/version={version}"
@@ -59,9 +64,28 @@ def replace_snapshot(df: DataFrame, root: str, allow_empty: bool = False) -> int
     sequence = 1 if log is None else log.count() + 1
     entry = spark.createDataFrame([(sequence, version, rows)], "sequence bigint, version string, row_count bigint")
     entry.coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
+    if keep is not None and sequence > keep:
+        expire_versions(spark, root, keep)
     return rows
 
 
+def expire_versions(spark: SparkSession, root: str, keep: int) -> int:
+    """Empty all but the newest ``keep`` committed versions; returns how many were emptied.
+
+    What was emptied is noted in the log (sequence 0), so each version is emptied once.
+    """
+    if keep < 1:
+        raise ValueError("the current version stays: keep must be at least 1")
+    held = _log(spark, root).groupBy("version").agg(F.max("sequence").alias("sequence"), F.min("sequence").alias("first"))
+    old = [row["version"] for row in held.where("first > 0").orderBy(F.desc("sequence")).collect()[keep:]]
+    for version in old:
+        release(spark, f"{root}/version={version}")
+    if old:
+        gone = spark.createDataFrame([(0, v, None) for v in old], "sequence bigint, version string, row_count bigint")
+        gone.coalesce(1).write.mode("append").parquet(f"{root}/{LOG}")
+    return len(old)
+
+
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
@@ -77,7 +101,7 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 def overwrite_periods(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace exactly the partitions ``df`` holds; running the same window twice gives the same table.
 
-    ``df`` must not read ``path`` itself - use ``materialize`` first if it does. Rebalancing on the partition
+    ``df`` must not read ``path`` itself - put it in ``stages`` first if it does. Rebalancing on the partition
     columns gives each partition few files and lets AQE split a partition that is too large for one task.
     """
     (
@@ -103,11 +127,28 @@ def remove_partitions(partitions: DataFrame, path: str, partition_by: Sequence[s
     return emptied
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write to a fresh folder of the shared scratch space and read it back.
+def release(spark: SparkSession, path: str) -> None:
+    """Give back the space of a folder and all below it: an empty table takes its place."""
+    spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
 
-    Columnar and compressed, with its size known to the planner; survives lost executors like any table.
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Cut lineage within a block: ``stage(df)`` writes to the shared scratch space and reads back.
+
+    Columnar and compressed, with its size known to the planner; survives lost executors like any table. The space is
+    given back when the block ends, so results that outlive it must be written elsewhere in the block.
     """
-    path = scratch_path(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    root, used = scratch_path(spark, "stages"), []
+
+    def stage(df: DataFrame) -> DataFrame:
+        path = f"{root}/{len(used)}"
+        used.append(path)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield stage
+    finally:
+        if used:
+            release(spark, root)

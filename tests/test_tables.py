@@ -1,4 +1,5 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from cohortmill.operators.filters import apply_retention
 from cohortmill.operators.versions import latest_by_key
 from cohortmill.plans import daily
-from cohortmill.sources import ingest, tables
+from cohortmill.sources import ingest, readers, tables
 from cohortmill.streaming import changes
 
 NOW = dt.datetime(2026, 1, 1)
@@ -25,6 +26,44 @@ def test_empty_full_load_keeps_the_previous_snapshot(spark, tmp_path):
         tables.read_snapshot(spark, str(tmp_path / "none"))
 
 
+def test_old_versions_are_emptied_but_for_the_newest(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in (3, 5, 7, 9):
+        tables.replace_snapshot(spark.range(n), root, keep=2)
+    held = sorted(spark.read.parquet(str(f)).count() for f in (tmp_path / "t").glob("version=*"))
+    assert held == [0, 0, 7, 9] and tables.read_snapshot(spark, root).count() == 9
+    assert tables.expire_versions(spark, root, 2) == 0 and tables.expire_versions(spark, root, 1) == 1
+    assert tables.read_snapshot(spark, root).count() == 9
+    with pytest.raises(ValueError, match="at least 1"):
+        tables.expire_versions(spark, root, 0)
+
+
+def test_stages_give_their_space_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "scratch_path", lambda spark, name: str(tmp_path / name))
+    with tables.stages(spark) as stage:
+        first = stage(spark.range(4))
+        assert first.count() == 4 and stage(first.where("id > 1")).count() == 2
+    assert not [f for f in (tmp_path / "stages").iterdir() if f.is_dir()]
+    with pytest.raises(RuntimeError), tables.stages(spark) as stage:
+        stage(spark.range(4))
+        raise RuntimeError
+    assert not [f for f in (tmp_path / "stages").iterdir() if f.is_dir()]
+
+
+def test_updates_leave_no_staged_rows(spark, make_tasks, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "scratch_path", lambda spark, name: str(tmp_path / "scratch" / f"{name}-{uuid.uuid4().hex}"))
+    fact, summary = str(tmp_path / "fact"), str(tmp_path / "summary")
+    for end in (None, "2025-06-03"):
+        daily.apply_changes(spark, make_tasks(("a", "2025-06-01", None, end)), fact, summary, "2025-01-01", "2025-07-01")
+    folders = list((tmp_path / "scratch").iterdir())
+    assert folders and not [f for folder in folders for f in folder.iterdir() if f.is_dir()]
+
+
+def test_batch_tables_are_read_in_ranges_over_jdbc(spark):
+    with pytest.raises(ValueError, match="in ranges"):
+        readers.read_jdbc(spark, "taskinst", {"url": "jdbc:none"}, "t")
+
+
 def test_failed_load_keeps_the_previous_snapshot(spark, tmp_path):
     root = str(tmp_path / "t")
     tables.replace_snapshot(spark.range(3), root)
