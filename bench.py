@@ -96,7 +96,7 @@ def main() -> None:
     derived = silver.bronze(spark, SF_DIR)
     derived = dataclasses.replace(
         derived, taskinst=copied(derived.taskinst, "ID_", "PROC_INST_ID_"), procinst=copied(derived.procinst, "ID_"),
-        varinst=copied(derived.varinst, "ID_", "PROC_INST_ID_", "TASK_ID_"))
+        varinst=copied(derived.varinst, "PROC_INST_ID_", "TASK_ID_"))
     landed = {f.name: stored(f"landed_{f.name}", getattr(derived, f.name)) for f in dataclasses.fields(derived)}
 
     def loaded(name):
