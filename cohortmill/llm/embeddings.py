@@ -9,14 +9,15 @@ exact value makes a link.
 
 Which pairs are looked at: vectors meet in buckets of ``bits`` random-hyperplane signs, in ``bands`` bands. At cosine 0.95 a
 pair shares no bucket with probability 5e-6; higher cosines less. A pair is counted in the first band in which its keys
-agree only. Buckets with the same members are looked at once. Equal vectors are one node with a weight.
+agree only. Buckets with the same members are looked at once. Equal vectors are one node with a weight, known by the
+fingerprint of the vector; ids come in only where a component is named by its smallest.
 
 Large buckets are dealt into blocks by a hash, and each pair of blocks is one cell of at most about ``2 * BLOCK`` vectors, so
 no group meets in one task. Cells give one row per linked vector (its number of links there and its smallest connected
 member), never pairs.
 
 Defined cases: a vector that is null, empty, zero, or has null or non-finite components links with nothing; vectors of different
-lengths never link; rows with a null id link with nothing; rows that repeat an id count as rows.
+lengths never link; rows with a null id link with nothing; rows that repeat an id count as rows, with equal or different vectors.
 """
 
 from __future__ import annotations
@@ -154,14 +155,15 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, id_col:
     encoded = staged(
         _encoded(vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")), bands, bits), "vectors")
     valid = encoded.where("set_a is not null and id is not null")
-    groups = staged(valid.groupBy("set_a", "set_b").agg(F.min("id").alias("node"), F.count("*").alias("weight")), "groups")
+    node = F.struct("set_a", "set_b").alias("node")
+    groups = staged(valid.groupBy("set_a", "set_b").agg(F.min("id").alias("id"), F.count("*").alias("weight")), "groups")
     nodes = staged(
-        groups.join(encoded, ["set_a", "set_b"]).where("id = node").dropDuplicates(["id"])
-        .select("id", "weight", "vector", "code", "factor", "keys"), "nodes")
+        groups.join(encoded, ["set_a", "set_b", "id"]).dropDuplicates(["set_a", "set_b"])
+        .select(node, "weight", "vector", "code", "factor", "keys"), "nodes")
 
     # Buckets of several nodes; of buckets with equal members that of the first band.
-    in_bands = nodes.select("id", F.size("vector").alias("dim"), F.posexplode("keys").alias("band", "key"))
-    mark = F.xxhash64("id")
+    in_bands = nodes.select("node", F.size("vector").alias("dim"), F.posexplode("keys").alias("band", "key"))
+    mark = F.xxhash64("node")
     sizes = in_bands.groupBy("band", "dim", "key").agg(
         F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.bit_xor(F.xxhash64(mark)).alias("y")).where("n > 1")
     buckets = staged(
@@ -170,14 +172,14 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, id_col:
     n_blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     rows = (
         in_bands.join(buckets, ["band", "dim", "key"])
-        .withColumn("block", F.pmod(F.xxhash64("id"), n_blocks).cast("int"))
+        .withColumn("block", F.pmod(mark, n_blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-        .select("id", "dim", "key", "band", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .select("node", "dim", "key", "band", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     )
     cells = ["dim", "key", "band", "low", "high"]
-    filled = staged(rows, "cells").join(nodes, "id").select(
-        *cells, "block", "id", "weight", "vector", "code", "factor", "keys")
-    id_type = nodes.schema["id"].dataType
+    filled = staged(rows, "cells").join(nodes, "node").select(
+        *cells, "block", "node", "weight", "vector", "code", "factor", "keys")
+    node_type = nodes.schema["node"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bounds, table in whole_runs(batches, cells):
@@ -186,22 +188,24 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.95, id_col:
             for a, b in zip(cuts, cuts[1:], strict=False):
                 part = table.slice(bounds[a], bounds[b] - bounds[a])
                 count, label = _cell_links(bounds[a:b + 1] - bounds[a], part, threshold, epsilon)
-                ids, keep = part.column("id").combine_chunks(), np.flatnonzero(count)
+                names, keep = part.column("node").combine_chunks(), np.flatnonzero(count)
                 if len(keep):
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(label[keep])), ids.take(pa.array(keep)), pa.array(count[keep])], ["u", "v", "n"])
+                        [names.take(pa.array(label[keep])), names.take(pa.array(keep)), pa.array(count[keep])], ["u", "v", "n"])
 
     found = filled.repartition(*cells).sortWithinPartitions(*cells).mapInArrow(run, T.StructType([
-        T.StructField("u", id_type), T.StructField("v", id_type), T.StructField("n", T.LongType())]))
+        T.StructField("u", node_type), T.StructField("v", node_type), T.StructField("n", T.LongType())]))
     found = staged(found, "found")
     counts = found.groupBy("v").agg(F.sum("n").alias("linked")).withColumnRenamed("v", "node")
     named = components(found).withColumnRenamed("id", "node")
-    answers = staged(
-        groups.join(counts, "node", "left").join(named, "node", "left")
-        .select("set_a", "set_b", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-                F.coalesce("component", "node").alias("component")),
-        "answers",
+    linked = staged(
+        groups.select("set_a", "set_b", "id", "weight", node).join(counts, "node", "left").join(named, "node", "left")
+        .select("set_a", "set_b", "id", (F.coalesce("linked", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+                F.coalesce("component", "node").alias("named")),
+        "linked",
     )
+    smallest = staged(linked.groupBy("named").agg(F.min("id").alias("component")), "smallest")
+    answers = staged(linked.join(smallest, "named").select("set_a", "set_b", "n_links", "component"), "answers")
     alone = F.col("id").isNull() | F.col("set_a").isNull()
     component = F.when(alone, F.col("id")).otherwise(F.col("component"))
     return (

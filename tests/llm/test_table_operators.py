@@ -124,6 +124,23 @@ def test_vectors_equal_brute_force(spark, block):
     assert embeddings.near_duplicate_vectors(table.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("block", [2, 512])
+def test_one_id_on_different_vectors_counts_as_rows(spark, block):
+    rng = np.random.default_rng(9)
+    a, b, c, d = rng.standard_normal((4, 24))
+    near = lambda v: v + 0.01 * rng.standard_normal(24)
+    rows = [(1, a), (1, b), (2, a), (3, near(a)), (4, b), (5, near(b)), (6, near(b)), (7, c), (1, c), (8, d), (8, near(d)), (8, d), (2, near(d))]
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in rows], "vec_id long, embedding array<double>")
+    found = embeddings.near_duplicate_vectors(table, block=block, bands=200, bits=8).collect()
+    n = range(len(rows))
+    links = [(i, j) for i in n for j in n if i < j and rows[i][1] @ rows[j][1]
+             / np.linalg.norm(rows[i][1]) / np.linalg.norm(rows[j][1]) >= 0.95]
+    group = closure(n, links)
+    least = {i: min(rows[j][0] for j in n if group[j] == group[i]) for i in n}
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found) == sorted(
+        (rows[i][0], sum(i in pair for pair in links), least[i], rows[i][0] == least[i]) for i in n)
+
+
 def test_the_bounds_of_the_codes_hold():
     rng = np.random.default_rng(4)
     units = embeddings.unit(rng.standard_normal((300, 64)) + 0.7 * rng.standard_normal((1, 64)))
