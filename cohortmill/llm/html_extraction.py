@@ -1,8 +1,9 @@
 """HTML extraction by composite text density.
 
 A page is parsed into a tree (unclosed and stray tags are tolerated, raw text of scripts and styles is skipped, character
-references are decoded). Parts that are never article text are taken out by their element, role or class: menus, headers,
-footers, side bars, notices, adverts, forms, comments of readers. For every node left, with C characters, T tags, LC
+references are decoded). Parts that are never article text are taken out by their element or role: menus, headers, footers,
+side bars, dialogs. A class or id (adverts, notices, side bars, comments of readers) and a form only raise a doubt, since
+wrappers of the whole page bear such names too: see ``prune``. For every node left, with C characters, T tags, LC
 characters and LT tags inside links (NC = C - LC), and LB / CB link and all characters of the body, the composite density is
 
     C / T * log(C / LC * T / LT) to the base ln(C / NC * LC + LB / CB * C + e)
@@ -23,6 +24,7 @@ each.
 from __future__ import annotations
 
 import html
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -49,10 +51,10 @@ SIBLINGS = {
 }
 SCOPES = set("html body table td th ul ol dl div article section main aside nav header footer form select".split())
 NEVER = set(
-    "head nav header footer aside form script style noscript template button select textarea input iframe svg canvas "
+    "head nav header footer aside script style noscript template button select textarea input iframe svg canvas "
     "object embed dialog menu title".split()
 )
-NEVER_ROLES = set("navigation banner contentinfo complementary search form menu menubar alert alertdialog dialog".split())
+NEVER_ROLES = set("navigation banner contentinfo complementary search menu menubar alert alertdialog dialog".split())
 NEVER_NAMES = set(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation "
     "navigations menu menus submenu breadcrumb breadcrumbs header masthead topbar footer sidebar sidebars widget widgets "
@@ -61,8 +63,18 @@ NEVER_NAMES = set(
     "pagination pager toolbar skip".split()
 )
 
+# Of these names, those that say what the text is, not where it stands.
+OTHER_TEXT = set(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "newsletter subscribe signup login share sharing social related recommended recommendations comment comments commentlist "
+    "disqus replies respond".split()
+)
+LANDMARKS = {"article": 1, "main": 2, "h1": 2}
 ABOUT_PAGE = set("no has with without not hide is".split())
 
+# Doubts about an element, by strength.
+WEAK, STRONG, OTHER = 1, 2, 3
+
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|--!>|\Z)|<[!?](?P<other>[^>]*)(?:>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>\x00]*)"
     r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?P<done>>|\Z)|(?P<stray></[^a-zA-Z][^>]*(?:>|\Z))", re.S,
@@ -74,31 +86,38 @@ _NAME_PART = re.compile(r"[a-z]+")
 class Node:
     """An element: own pieces are strings and child nodes in page order."""
 
-    __slots__ = ("name", "parent", "pieces", "inline", "chars", "tags", "link_chars", "link_tags", "own", "density", "sum")
+    __slots__ = ("name", "parent", "pieces", "inline", "chars", "tags", "link_chars", "link_tags", "own", "density", "sum",
+                 "doubt", "marked", "gone")
 
     def __init__(self, name: str, parent: Node | None, inline: bool = False) -> None:
         self.name, self.parent, self.inline = name, parent, inline
         self.pieces: list[str | Node] = []
+        self.doubt, self.gone = 0, False
 
 
-def _unwanted(name: str, attrs: str) -> bool:
+def _unwanted(name: str, attrs: str) -> tuple[bool, int]:
+    """Whether an element is never article text, and the doubt that its name raises."""
     if name in NEVER:
-        return True
+        return True, 0
+    doubt = WEAK if name == "form" else 0
     for kind, a, b, c in _ATTR.findall(attrs):
         value = html.unescape(a or b or c).lower()
         if kind.lower() == "role":
             if value.strip() in NEVER_ROLES:
-                return True
+                return True, 0
+            if value.strip() == "form":
+                doubt = max(doubt, WEAK)
         elif name not in ("html", "body", "article", "main"):
             for parts in map(_NAME_PART.findall, value.split()):
-                # "no-sidebar" or "has-comments" says something about the page, not about this element.
-                if parts and parts[0] not in ABOUT_PAGE and NEVER_NAMES.intersection(parts):
-                    return True
-    return False
+                # "no-sidebar" or "content-with-comments": what follows says something about the page, not about this element.
+                own = set(itertools.takewhile(lambda part: part not in ABOUT_PAGE, parts))
+                if own & NEVER_NAMES:
+                    doubt = max(doubt, WEAK if own - NEVER_NAMES else OTHER if own & OTHER_TEXT else STRONG)
+    return False, doubt
 
 
 def parse(page: str) -> Node:
-    """The tree of a page without the parts that are never article text."""
+    """The tree of a page without the elements that are never article text."""
     root = Node("html", None)
     at, skip, stack = root, None, [root]  # skip: the stack depth at which an unwanted element began
     position, size = 0, len(page)
@@ -169,7 +188,8 @@ def parse(page: str) -> Node:
             continue
         node = Node(name, at, name in INLINE)
         if skip is None:
-            if _unwanted(name, found["attrs"]):
+            never, node.doubt = _unwanted(name, found["attrs"])
+            if never:
                 skip = len(stack)
             else:
                 at.pieces.append(node)
@@ -188,6 +208,67 @@ def _nodes(root: Node) -> list[Node]:
     return order
 
 
+def _doubted(node: Node, inside: bool) -> list[tuple[Node, bool]]:
+    """The outermost doubted nodes without a landmark below a node, and whether an article or main is around them."""
+    out, todo = [], [(node, inside)]
+    while todo:
+        node, inside = todo.pop()
+        inside = inside or node.name in ("article", "main")
+        for p in node.pieces:
+            if isinstance(p, Node):
+                if p.doubt and not p.marked:
+                    out.append((p, inside))
+                else:
+                    todo.append((p, inside))
+    return out
+
+
+def prune(root: Node) -> None:
+    """Takes out doubted subtrees: never one that holds an article, main or h1, and only where text is left without it. Articles
+    inside readers' comments and the like (``OTHER_TEXT``) do not count if the page has an article outside all doubted nodes.
+
+    A name of such words only goes if the page has a landmark, or a quarter of its text outside all doubted nodes; one that says
+    where a text stands, not what it is, must hold no more than half of the text too. Other names (one word among others) and
+    forms go if they stand outside the articles of the page and these hold a quarter of the text, or if they hold at most a
+    quarter of the text that is left then, and all of them at most half. What stays is looked into in the same way."""
+    order = _nodes(root)
+    if not any(node.doubt for node in order):
+        return
+    for node in reversed(order):
+        node.chars = sum(p.chars if isinstance(p, Node) else len("".join(p.split())) for p in node.pieces)
+    articles, free, todo = 0, False, [(root, False)]  # free: there is an article outside all doubted nodes
+    while todo:
+        node, inside = todo.pop()
+        if node.name in ("article", "main") and not inside:
+            articles, inside = articles + node.chars, True
+        free = free or node.name == "article"
+        todo.extend((p, inside) for p in node.pieces if isinstance(p, Node) and not p.doubt)
+    for node in reversed(order):
+        node.marked = max([LANDMARKS.get(node.name, 0), *(p.marked for p in node.pieces if isinstance(p, Node))])
+        if free and node.doubt == OTHER and node.marked == LANDMARKS["article"]:
+            node.marked = 0
+    total, found, parents = root.chars, _doubted(root, False), []
+    while found:
+        rest, left = total - sum(node.chars for node, _ in found), total
+        for node, _ in found:
+            if node.doubt > WEAK and (root.marked or 4 * rest >= total) and (node.doubt == OTHER or 2 * node.chars <= total):
+                node.gone, left = True, left - node.chars
+        weak = [(node, inside) for node, inside in found if node.doubt == WEAK]
+        for node, inside in weak:
+            if not inside and articles and 4 * articles >= total:
+                node.gone, left = True, left - node.chars
+        weak = [node for node, _ in weak if not node.gone]
+        total = left
+        if 2 * sum(node.chars for node in weak) <= left:
+            for node in weak:
+                if 4 * node.chars <= left:
+                    node.gone, total = True, total - node.chars
+        parents.extend(node.parent for node, _ in found if node.gone)
+        found = [below for node, inside in found if not node.gone for below in _doubted(node, inside)]
+    for parent in {id(p): p for p in parents}.values():
+        parent.pieces = [p for p in parent.pieces if isinstance(p, str) or not p.gone]
+
+
 def measure(root: Node) -> list[Node]:
     """Counts, densities and density sums of all block nodes; returns these, parents first."""
     order = _nodes(root)
@@ -290,6 +371,7 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    prune(root)
     node, threshold = article(root)
     return block_text(node, threshold)
 

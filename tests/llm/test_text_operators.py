@@ -115,6 +115,37 @@ def test_pages_cut_anywhere_give_a_prefix_of_the_words():
     assert whole.startswith(html_extraction.extract(page[:page.index("<form>")])[:60])
 
 
+STORY = [f"Paragraph {k} of the story tells at length what happened on that day, and why nobody saw it coming." for k in range(6)]
+BODY = "".join(f"<p>{p}</p>" for p in STORY)
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div id=page class='site left-sidebar'>{}</div>", "<div class='content-with-sidebar'>{}</div>", "<div class=widget>{}</div>",
+    "<div class='elementor-widget-container'>{}</div>", "<form id=aspnetForm>{}</form>", "<div class=has-header><form>{}</form></div>",
+    "<div class='layout sidebar'><div class='left-sidebar'>{}</div></div>", "<div role=form>{}</div>",
+])
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+def test_wrappers_do_not_take_the_article_with_them(wrapper, inner):
+    around = "<nav><a href=/>Home</a></nav><div class=ad>Buy this.</div>{}<div class='site-footer'>Imprint</div><footer>2024</footer>"
+    for story in (inner.format(BODY), inner.format("<h1>Head</h1>" + BODY)):
+        expected = ("Head " if "<h1>" in story else "") + " ".join(STORY)
+        assert html_extraction.extract(around.format(wrapper.format(story))) == expected
+        assert html_extraction.extract(wrapper.format(around.format(story))) == expected
+
+
+def test_an_article_of_many_widgets_is_whole_and_other_text_goes():
+    widgets = "".join(f"<div class='elementor-widget elementor-widget-text'>{p}</div>" for p in STORY)
+    for head in ("", "<h1>Head</h1>"):
+        assert html_extraction.extract(f"<body><div>{head}{widgets}</div>") == ("Head " if head else "") + " ".join(STORY)
+    reader = "<div id=comments class=comments-area><ol><li><article class=comment-body><p>I see it the other way.</article></ol></div>"
+    assert html_extraction.extract(f"<main><article><h1>Head</h1>{BODY}</article>{reader}</main>") == "Head " + " ".join(STORY)
+    long = "<p>I disagree with all that was said, and so does everybody else whom I know.</p>" * 12
+    for name in ("comments", "post-comments"):
+        page = f"<body><article><h1>Head</h1>{BODY}<form><p>Send this to a friend.</form></article><div class={name}>{long}</div>"
+        assert html_extraction.extract(page) == "Head " + " ".join(STORY)
+    assert html_extraction.extract("<div class=widget>" * 3000 + "deep") == "deep"
+
+
 def test_extraction_over_a_table(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x", "c"), (1, "u", "<p>x", "c"), (2, None, None, None)],
                                   "page_id long, url string, html string, text string")
