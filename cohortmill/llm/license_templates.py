@@ -4,6 +4,8 @@
 Words are compared without case and punctuation.
 """
 
+import itertools
+
 TEMPLATES = {
     "mit": """
         Permission is hereby granted, free of charge, to any person obtaining a copy of <<12>> and associated documentation
@@ -65,6 +67,55 @@ TEMPLATES = {
 # Labels of several templates of one licence family.
 LABELS = {"mit-notice": "mit", "apache-notice": "apache", "gpl-notice": "gpl", "gpl-notice-line": "gpl"}
 
+# Notices: what they name. They begin at "under", so any verb (released, licensed, distributed, available ...) or none may stand before.
+TERMS = "under [[the terms of]] [[the terms and conditions of]] [[the conditions of]] [[the]] [[a]] [[an]]"
+_GNU = "[[version <<2>> of the]] [[GNU]]"
+_CC_LICENSE = "[[Public]] [[International]] [[Unported]] [[Generic]] License"
+NOTICES = {
+    "mit": ["MIT License", "MIT/X11 License", "MIT (X11) License", "Expat License"],
+    "apache": ["Apache [[Software]] License", "Apache 2.0"],
+    "gpl": [f"{_GNU} General Public License", "GNU GPL", "GPL [[version]] [[v]] 2", "GPL [[version]] [[v]] 3", "GPLv2", "GPLv3"],
+    "lgpl": [f"{_GNU} Lesser General Public License", f"{_GNU} Library General Public License", "[[GNU]] LGPL"],
+    "agpl": [f"{_GNU} Affero General Public License", "[[GNU]] AGPL"],
+    "mpl": ["Mozilla Public License", "MPL"],
+    "epl": ["Eclipse Public License", "EPL"],
+    "cc0": ["[[Creative Commons]] CC0", "Creative Commons Zero"],
+}
+
+# Creative Commons: the parts of the name, short and spelled out; a version or the word "License" ends it, so that no name is
+# taken for a longer one.
+_CC_PARTS = {"by": ["Attribution"], "nc": ["NonCommercial", "Non-Commercial"], "sa": ["ShareAlike", "Share-Alike", "Share Alike"],
+             "nd": ["NoDerivatives", "NoDerivs", "No-Derivatives", "No-Derivs"]}
+_CC_VERSIONS = ["[[1]] [[2]] [[3]] [[4]] [[5]] 0", "2.1", "2.5"]
+_CC_DIGITS = "[[1]] [[2]] [[3]] [[4]] [[5]] [[0]] [[1]] [[5]]"
+for _kind in ("by", "by-sa", "by-nd", "by-nc", "by-nc-sa", "by-nc-nd"):
+    _spelled = list(itertools.product(*(_CC_PARTS[part] for part in _kind.split("-"))))
+    _names = [f"[[Creative Commons]] CC {_kind}", *(f"Creative Commons {' '.join(names)}" for names in _spelled)]
+    NOTICES["cc-" + _kind] = [f"{name} {end}" for name in _names for end in (*_CC_VERSIONS, f"{_CC_DIGITS} {_CC_LICENSE}")]
+
+# Headers of files.
+_FREE = "is free software [[: you]] [[you]] can redistribute it and/or modify it under the terms of the [[version <<2>> of the]] GNU"
+_FSF = "General Public License [[version <<2>>]] as published by the Free Software Foundation"
+HEADERS = {
+    "gpl": [f"{_FREE} {_FSF}"],
+    "lgpl": [f"{_FREE} Lesser {_FSF}", f"{_FREE} Library {_FSF}"],
+    "agpl": [f"{_FREE} Affero {_FSF}"],
+    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License",
+            "The contents of this file are subject to the Mozilla Public License"],
+    "epl": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License",
+            "The contents of this file are subject to the Eclipse Public License"],
+    "apache": ["Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements"],
+}
+
+for _label, _names in NOTICES.items():
+    for _n, _name in enumerate(_names):
+        TEMPLATES[f"{_label}/notice/{_n}"] = f"{TERMS} {_name}"
+        LABELS[f"{_label}/notice/{_n}"] = _label
+for _label, _texts in HEADERS.items():
+    for _n, _text in enumerate(_texts):
+        TEMPLATES[f"{_label}/header/{_n}"] = _text
+        LABELS[f"{_label}/header/{_n}"] = _label
+
 # Phrases and their labels, from the contract.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 

@@ -168,6 +168,27 @@ def test_every_template_accepts_itself_and_no_changed_word():
                 assert name not in {m[0] for m in scanner.scan(words)[1].get(0, [])}, (name, keep)
 
 
+@pytest.mark.parametrize("text, labels", [
+    *((f"It is {verb} under the MIT License.", {"mit"}) for verb in ("licensed", "distributed", "available", "released", "provided")),
+    ("Released under the Apache License", {"apache"}), ("distributed under the terms of the Apache Licence, Version 2.0", {"apache"}),
+    ("licensed under CC BY 3.0", {"cc-by"}), ("shared under a CC-BY-SA 2.5 licence", {"cc-by-sa"}), ("available under CC BY-NC-ND 4.0", {"cc-by-nc-nd"}),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", {"cc-by"}),
+    ("licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License", {"cc-by-nc-sa"}),
+    ("available under the Creative Commons Attribution-NoDerivatives License", {"cc-by-nd"}),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+     "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", {"lgpl"}),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+     "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", {"agpl"}),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mpl"}),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0", {"epl"}),
+    ("under the table, Creative Commons Attribution", set()), ("a Mozilla of the public", set()),
+])
+def test_notices_and_headers_of_the_families(text, labels):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.LABELS, licenses.BASE_PHRASES)
+    for _, _, words in word_chunks(pa.array(["Before. " + text + " After."]), ALNUM):
+        assert {m[0] for m in scanner.scan(words)[1].get(0, [])} == labels
+
+
 def test_base_places(spark):
     texts = ["MIT licence, mit-License mit license", "x Apache  License", "GNU General Public License", "mitlicense", *TEXTS]
     found = {r.doc_id: r for r in licenses.scan_licenses(docs_of(spark, texts, "matches")).collect()}
