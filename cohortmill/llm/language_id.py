@@ -2,9 +2,11 @@
 progressively shorter character n-grams.
 
 Training counts, per language, the words of labelled texts and the n-grams (5 to 1 letters, word ends marked) of these
-words. The counts are Spark aggregations over a bounded sample of the labelled rows: rows are taken by a hash of their
-key so that about ``TRAIN_DOCS`` are expected, however large the table is. The model keeps the ``WORDS`` most frequent
-words and ``GRAMS`` most frequent n-grams; these parameters bound what is broadcast. Prediction covers every whole text:
+words. The counts are Spark aggregations over a bounded sample of the labelled rows: of each language rows are taken by a
+hash of their key so that about ``TRAIN_DOCS`` are expected, and all rows of a smaller language. The model keeps what is
+most frequent in each language: ``WORDS`` words and ``GRAMS`` n-grams shared by up to ``SHARES`` languages; with more
+languages each still has one of ``SHARES`` shares, so what is broadcast grows with their number and no language loses its
+words to another. Prediction covers every whole text:
 
 * a word in the vocabulary adds its smoothed log frequency per language;
 * any other word adds the mean over its known n-grams of the longest length that has a known one;
@@ -25,15 +27,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cohortmill.llm.batches import mix, row_chunks
-from cohortmill.llm.staging import prepare
+from cohortmill.llm.staging import prepare, staged
 
 UNKNOWN = "und"
 TRAIN_DOCS = 20_000
 WORDS = 200_000
 GRAMS = 400_000
+SHARES = 4
 LONGEST = 5
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -184,26 +187,32 @@ def train(docs: DataFrame, labelled: Column | None = None, text_col: str = "text
     rows = docs if labelled is None else docs.where(labelled)
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(key_col).alias("key"))
     rows = rows.where("lang is not null and text is not null")
-    total = rows.count()
-    if total > train_docs:
-        space = 1 << 40
-        rows = rows.where(F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(space)) < F.lit(space * train_docs // total))
-    counts = _counted(rows.select("lang", "text"))
-    whole = counts.groupBy("kind", "hash").agg(F.sum("n").alias("n"), F.map_from_entries(
-        F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-    words = whole.where("kind = 0").orderBy(F.desc("n"), "hash").limit(n_words)
-    grams = whole.where("kind > 0").orderBy(F.desc("n"), "kind", "hash").limit(n_grams)
-    table = words.union(grams).select("kind", "hash", F.map_keys("by_lang").alias("langs"),
-                                      F.map_values("by_lang").alias("counts")).toArrow()
-    kind = table.column("kind").to_numpy()
-    hashes = table.column("hash").to_numpy().view(np.uint64)
-    langs, counts_list = table.column("langs").combine_chunks(), table.column("counts").combine_chunks()
-    languages = sorted(set(langs.flatten().to_pylist()))
+    totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    space = 1 << 40
+    bounds = {lang: space * train_docs // n for lang, n in totals.items() if n > train_docs}
+    if bounds:
+        bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])[F.col("lang")]
+        rows = rows.where(F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(space)) < F.coalesce(bound, F.lit(space)))
+    counts = staged(_counted(rows.select("lang", "text")), "counts")
+    shares = min(max(len(totals), 1), SHARES)
+
+    def frequent(those: str, most: int) -> DataFrame:
+        by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "kind", "hash")
+        return counts.where(those).withColumn("nth", F.row_number().over(by_count)).where(F.col("nth") <= most).select("kind", "hash")
+
+    chosen = frequent("kind = 0", n_words // shares).union(frequent("kind > 0", n_grams // shares)).distinct()
+    table = counts.join(chosen, ["kind", "hash"], "left_semi").toArrow()
+    langs = table.column("lang").combine_chunks().dictionary_encode()
+    languages = sorted(langs.dictionary.to_pylist())
     place = {lang: k for k, lang in enumerate(languages)}
+    columns = np.array([place[x] for x in langs.dictionary.to_pylist()], np.int64)[langs.indices.to_numpy()]
+    kinds, marks = table.column("kind").to_numpy(), table.column("hash").to_numpy()
+    order = np.lexsort((marks, kinds))
+    starts = np.ones(len(order), bool)
+    starts[1:] = (np.diff(kinds[order]) != 0) | (np.diff(marks[order].view(np.uint64)) != 0)
+    kind, hashes = kinds[order][starts], marks[order][starts].view(np.uint64)
     matrix = np.zeros((len(kind), len(languages)))
-    row = np.repeat(np.arange(len(kind)), np.diff(langs.offsets.to_numpy()))
-    column = np.array([place[x] for x in langs.flatten().to_pylist()], np.int64)
-    matrix[row, column] = counts_list.flatten().to_numpy()
+    matrix[np.cumsum(starts) - 1, columns[order]] = table.column("n").to_numpy()[order]
 
     def logs(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.flatnonzero(own)[np.argsort(hashes[own], kind="stable")]

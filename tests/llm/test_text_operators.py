@@ -252,6 +252,18 @@ def test_language_id_equals_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 7]
 
 
+def test_small_languages_keep_their_rows_words_and_grams(spark):
+    rng = random.Random(6)
+    say = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(8))
+    rows = [("en", say("abcdefgh")) for _ in range(400)] + [("fi", "xu yv xu yv"), ("se", "qo wp qo")]
+    docs = spark.createDataFrame([(k, t, x) for k, (x, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language_id.train(docs, train_docs=40, n_words=60, n_grams=120)
+    assert model.languages == ["en", "fi", "se"]
+    assert len(model.words[0]) == 24 and sum(len(h) for h, _ in model.grams.values()) > 40
+    found = language_id.predict(docs_of(spark, ["xu yv", "qo wp", rows[0][1]]), model).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in found] == ["fi", "se", "en"]
+
+
 def test_without_labels_everything_is_undetermined(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert language_id.predict(docs, language_id.train(docs)).first()[1:] == ("und", 0.0)
