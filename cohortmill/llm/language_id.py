@@ -249,8 +249,8 @@ def predicted(model: Model, column: pa.Array) -> Iterator[tuple[int, int, list[s
         yield low, high, labels, shares
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, whose language is known with at least ``least``."""
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.0, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, whose language is known with at least ``least`` (default: all that are not ``und``)."""
     spark = docs.sparkSession
     prepare(spark)
     shared, place = spark.sparkContext.broadcast(model), docs.columns.index(text_col)

@@ -15,8 +15,8 @@ from cohortmill.llm.staging import staged
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known (9); text without letters goes."""
-    return language_id.keep_identified(docs, language_id.train(docs, ~queries.held_out()))
+    """Documents whose language is known (9), with whatever share; only text without letters goes."""
+    return language_id.keep_identified(docs, language_id.train(docs, ~queries.held_out()), least=0.0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

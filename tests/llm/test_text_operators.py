@@ -264,6 +264,16 @@ def test_small_languages_keep_their_rows_words_and_grams(spark):
     assert [r.lang_pred for r in found] == ["fi", "se", "en"]
 
 
+def test_the_pipeline_keeps_short_clean_texts_of_any_share(spark):
+    import corpus_pipeline
+    rows = [(k, f"{x} {x}x menu", f"l{x}") for k, x in enumerate("abcdefgh") for _ in range(6)]
+    ids = spark.range(1000, 1000 + len(rows)).collect()
+    rows = [(i.id, t, x) for i, (_, t, x) in zip(ids, rows, strict=True)] + [(1, "menu", None), (2, "Ωψ", None), (3, "12!", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()}
+    assert kept == {k for k, t, _ in rows if k != 3}
+
+
 def test_without_labels_everything_is_undetermined(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert language_id.predict(docs, language_id.train(docs)).first()[1:] == ("und", 0.0)
