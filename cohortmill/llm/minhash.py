@@ -169,6 +169,12 @@ def intersections(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
     return total
 
 
+def similar(both: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``n`` shingles with ``both`` in common (whole numbers of any type) are linked, in whole numbers."""
+    both, n = both.astype(np.int64), n.astype(np.int64)
+    return (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (both > 0)
+
+
 def open_pairs(open_rows: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (u, v) that connect what is linked between different components inside the buckets of ``open_rows``
     (bucket, id, n, component)."""
@@ -192,9 +198,9 @@ def open_pairs(open_rows: DataFrame, texts: DataFrame, size: int, percent: int)
             for _, _, words in word_chunks(table.column("text").combine_chunks(), NOT_SPACE):
                 sets.extend(shingle_sets(words, size))
             both = intersections(sets)
-            n = np.array([len(s) for s in sets], np.float32)
+            n = np.array([len(s) for s in sets], np.int64)
             of = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
-            pairs = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (both > 0) & (of[:, None] != of[None, :])
+            pairs = similar(both, n, percent) & (of[:, None] != of[None, :])
             if low != high:
                 block = table.column("block").to_numpy()
                 pairs &= block[:, None] != block[None, :]

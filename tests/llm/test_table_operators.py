@@ -104,6 +104,14 @@ def test_densified_bins_agree_as_often_as_the_sets_are_similar():
     assert abs(np.mean(agree) - 0.8) < 0.03
 
 
+def test_large_sets_are_compared_in_whole_numbers():
+    # Of the rule's two sides, 20 apart here, 32-bit floats make equal numbers.
+    for common, union in ((3_200_007, 4_000_009), (800_000, 1_000_000), (799_999, 1_000_000)):
+        n = np.array([common, union], np.float32)
+        found = minhash.similar(np.array([[common, common], [common, union]], np.float32), n, 80)
+        assert found[0, 1] == found[1, 0] == (100 * common >= 80 * union)
+
+
 # Vectors
 
 @pytest.mark.parametrize("block", [4, 512])
