@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortmill.llm import (
-    byte_bpe, decontamination, embeddings, html_extraction, language_id, licenses, minhash, oracles, quotation, sharding, warc,
+    byte_bpe, decontamination, embeddings, html_extraction, language_id, licenses, merkle, minhash, oracles, quotation,
+    sharding, warc,
 )
 from cohortmill.llm.staging import staged
 
@@ -85,9 +86,17 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks())
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_even = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    tampered = {"text": F.when(is_even, F.translate("text", "\n", "")).otherwise(F.col("text"))}
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed=tampered).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof().alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_benchmark_decontamination, op3_license_scans, op4_quotation_linking, op5_warc_transactions,
     op6_minhash_near_dedup, op7_embedding_near_dedup, op8_byte_sharding, op9_language_id, op10_byte_bpe,
+    op13_merkle_manifest,
 )}
 ORACLES = {
     "op2_benchmark_decontamination": oracles.DECONTAMINATION,
@@ -95,4 +104,5 @@ ORACLES = {
     "op5_warc_transactions": oracles.WARC,
     "op6_minhash_near_dedup": oracles.NEAR_DUPLICATES,
     "op7_embedding_near_dedup": oracles.VECTORS,
+    "op13_merkle_manifest": oracles.MERKLE,
 }
