@@ -7,7 +7,7 @@ rows, so the arrays stay small; a text longer than a chunk is a chunk of its own
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -191,3 +191,37 @@ def pairs_of_runs(bounds: np.ndarray, limit: int = 1 << 15) -> Iterator[tuple[np
         u = np.repeat(np.arange(low, high), own)
         before = np.concatenate([[0], np.cumsum(own)])[:-1]
         yield u, u + 1 + np.arange(len(u)) - np.repeat(before, own)
+
+
+def started_runs(batches: Iterator[pa.RecordBatch], starts: Callable[[pa.RecordBatch], np.ndarray]) -> Iterator[pa.Table]:
+    """The runs of rows of a sorted partition, each from a starting row to the next; one run at a time is held."""
+    parts: list[pa.RecordBatch] = []
+    for batch in batches:
+        low = 0
+        for edge in np.flatnonzero(starts(batch)).tolist():
+            if edge > low:
+                parts.append(batch.slice(low, edge - low))
+            if parts:
+                yield pa.Table.from_batches(parts)
+            parts, low = [], edge
+        if low < batch.num_rows:
+            parts.append(batch.slice(low))
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
+def row_batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], size: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of at most ``size``."""
+    held: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column, kind) for column, kind in zip(zip(*held, strict=True), types, strict=True)], names)
+
+    for row in rows:
+        held.append(row)
+        if len(held) == size:
+            yield batch()
+            held.clear()
+    if held:
+        yield batch()

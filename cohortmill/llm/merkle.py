@@ -24,18 +24,17 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortmill.llm.ranks import placed
+from cohortmill.llm.batches import row_batches, started_runs
+from cohortmill.llm.ranks import in_blocks, placed
 from cohortmill.llm.staging import prepare, staged
 
 FAN = 3
 LAYER = 7
-_ROWS = 4096
 
 
 def digest(text: str) -> str:
@@ -103,59 +102,22 @@ def leaf(*values: Column) -> Column:
     return F.sha2(F.concat(*[field(v) for v in values]).cast("binary"), 256)
 
 
-def _cut(batches: Iterator[pa.RecordBatch], starts: Callable[[pa.RecordBatch], np.ndarray]) -> Iterator[pa.Table]:
-    """The runs of rows of a sorted partition, each from a starting row to the next; one run at a time is held."""
-    parts: list[pa.RecordBatch] = []
-    for batch in batches:
-        low = 0
-        for edge in np.flatnonzero(starts(batch)).tolist():
-            if edge > low:
-                parts.append(batch.slice(low, edge - low))
-            if parts:
-                yield pa.Table.from_batches(parts)
-            parts, low = [], edge
-        if low < batch.num_rows:
-            parts.append(batch.slice(low))
-    if parts:
-        yield pa.Table.from_batches(parts)
-
-
-def _in_blocks(nodes: DataFrame, layer: int, *first: str) -> DataFrame:
-    block = F.expr(f"place div {FAN ** layer}")
-    return nodes.withColumn("block", block).repartition("group", "block").sortWithinPartitions("group", "block", *first, "place")
-
-
-def _gathered(rows: Iterator[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-
-    def batch() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(zip(*held, strict=True), types, strict=True)], names)
-
-    for row in rows:
-        held.append(row)
-        if len(held) == _ROWS:
-            yield batch()
-            held.clear()
-    if held:
-        yield batch()
-
-
 def layer_above(nodes: DataFrame, layer: int = LAYER) -> DataFrame:
     """The roots of all blocks of ``nodes`` (group, place, n, digest), in the same shape: ``n`` of them in the group."""
     span = FAN ** layer
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for run in _cut(batches, lambda b: b.column("place").to_numpy() % span == 0):
+            for run in started_runs(batches, lambda b: b.column("place").to_numpy() % span == 0):
                 n = run.column("n")[0].as_py()
                 block = Block(run.column("digest").to_pylist(), n, layer)
                 yield run.column("group")[0].as_py(), run.column("place")[0].as_py() // span, -(-n // span), block.root
 
-        yield from _gathered(rows(), ["group", "place", "n", "digest"], [pa.string(), pa.int64(), pa.int64(), pa.string()])
+        yield from row_batches(rows(), ["group", "place", "n", "digest"], [pa.string(), pa.int64(), pa.int64(), pa.string()])
 
     shape = "group string, place long, n long, digest string"
-    return _in_blocks(nodes.select("group", "place", "n", "digest"), layer).mapInArrow(build, shape)
+    nodes = in_blocks(nodes.select("group", "place", "n", "digest"), "group", span, "place")
+    return nodes.mapInArrow(build, shape)
 
 
 def layers(nodes: DataFrame, layer: int, name: str) -> list[DataFrame]:
@@ -169,13 +131,14 @@ def layers(nodes: DataFrame, layer: int, name: str) -> list[DataFrame]:
 def _with_paths(nodes: DataFrame, above: DataFrame, layer: int) -> DataFrame:
     """``nodes`` by blocks, each block behind a row with the path above its root (``above``: group, place, path ...)."""
     marks = above.withColumn("place", F.col("place") * FAN ** layer).withColumn("marked", F.lit(0))
-    return _in_blocks(nodes.withColumn("marked", F.lit(1)).unionByName(marks, allowMissingColumns=True), layer, "marked")
+    marked = nodes.withColumn("marked", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    return in_blocks(marked, "group", FAN ** layer, "marked", "place")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], layer: int) -> Iterator[
         tuple[pa.Table, pa.Table, Block, list[tuple[str, str]]]]:
     """(row with the path, rows of the nodes, tree, path above the tree) of each block of a partition."""
-    for run in _cut(batches, lambda b: b.column("path").is_valid().to_numpy(zero_copy_only=False)):
+    for run in started_runs(batches, lambda b: b.column("path").is_valid().to_numpy(zero_copy_only=False)):
         mark, nodes = run.slice(0, 1), run.slice(1)
         block = Block(nodes.column("digest").to_pylist(), nodes.column("n")[0].as_py(), layer)
         yield mark, nodes, block, from_text(mark.column("path")[0].as_py())
@@ -190,7 +153,7 @@ def paths_below(nodes: DataFrame, above: DataFrame, layer: int = LAYER) -> DataF
                 for k, place in enumerate(nodes.column("place").to_pylist()):
                     yield group, place, as_text(block.siblings(k) + path)
 
-        yield from _gathered(rows(), ["group", "place", "path"], [pa.string(), pa.int64(), pa.string()])
+        yield from row_batches(rows(), ["group", "place", "path"], [pa.string(), pa.int64(), pa.string()])
 
     return _with_paths(nodes, above, layer).mapInArrow(descend, "group string, place long, path string")
 

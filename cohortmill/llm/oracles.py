@@ -194,3 +194,79 @@ SELECT doc_id, leaf, s.digest AS subroot, root, coalesce(proof_sha256, sha256(''
        folded_root = root AS verified
 FROM start d JOIN subroot s USING (grp) CROSS JOIN whole LEFT JOIN proof USING (r) JOIN folded USING (r)
 """
+
+
+def _least_edits() -> str:
+    """Cheapest repair from one row on, for each state: (cost, letters, repaired rows), from those behind the row (b0 to b3)."""
+    pen = "CASE WHEN truncated THEN 5 ELSE 0 END"
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+    names = {2: "user", 3: "assistant"}
+    kept = "concat(role, ':', text)"
+
+    def edit(letter: str, cost: str, state: int, row: str | None) -> str:
+        rows = f"b{state}.r" if row is None else f"list_prepend({row}, b{state}.r)"
+        return f"{{'c': b{state}.c + {cost}, 's': '{letter}' || b{state}.s, 'r': {rows}}}"
+
+    def base(state: int) -> str:
+        to = after[state]
+        renamed = f"concat('{names[to]}:', text)"
+        options = [edit("D", "2", state, None), f"CASE WHEN NOT gone THEN {edit('R', f'1 + {pen}', to, renamed)} END",
+                   f"CASE WHEN NOT gone AND left(role, 1) = '{names[to][0]}' THEN {edit('K', pen, to, kept)} END"]
+        if state == 0:
+            options.append(f"CASE WHEN NOT gone AND left(role, 1) = 's' THEN {edit('K', pen, 1, kept)} END")
+        return f"list_min(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))"
+
+    def inserted(state: int) -> str:
+        one, two = after[state], after[after[state]]
+        return (f"list_min([e{state}, {{'c': e{one}.c + 5, 's': 'I' || e{one}.s, 'r': list_prepend('{names[one]}:', e{one}.r)}}, "
+                f"{{'c': e{two}.c + 10, 's': 'II' || e{two}.s, 'r': list_concat(['{names[one]}:', '{names[two]}:'], e{two}.r)}}])")
+
+    bases = ", ".join(f"{base(k)} AS e{k}" for k in range(4))
+    return f"SELECT k, pos - 1 AS pos, {', '.join(f'{inserted(k)} AS b{k}' for k in range(4))} FROM (SELECT k, pos, {bases} FROM joined)"
+
+
+CONVERSATIONS = f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+  FROM conversations
+),
+conv AS (SELECT conv_id, row_number() OVER () AS k FROM (SELECT DISTINCT conv_id FROM conversations)),
+damaged AS (
+  SELECT k, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, text, copy FROM (
+    SELECT conv_id, turn, kind, role, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM raw WHERE kind <> 0) d JOIN conv c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+),
+placed AS (
+  SELECT k, turn, role, text, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending,
+         regexp_matches(text, '[^\x20\x09-\x0D]') AS has_text
+  FROM damaged
+),
+seen AS (SELECT *, row_number() OVER (PARTITION BY k, role, text ORDER BY pos) > 1 AS again FROM placed),
+turns AS (
+  SELECT k, turn, role, text, pos, NOT has_text AS blank, has_text AND again AS duplicate, NOT has_text OR again AS gone,
+         has_text AND NOT again AND ending NOT IN ('.', '!', '?') AS truncated,
+         lag(left(role, 1)) OVER (PARTITION BY k ORDER BY pos) || left(role, 1) AS neighbours
+  FROM seen
+),
+dp AS (
+  SELECT k, count(*) AS pos, {{'c': 0::BIGINT, 's': '', 'r': []::VARCHAR[]}} AS b0,
+         {{'c': 10::BIGINT, 's': 'II', 'r': ['user:', 'assistant:']}} AS b1, {{'c': 5::BIGINT, 's': 'I', 'r': ['assistant:']}} AS b2,
+         {{'c': 0::BIGINT, 's': '', 'r': []::VARCHAR[]}} AS b3
+  FROM turns GROUP BY k
+  UNION ALL
+  (WITH joined AS (SELECT dp.*, role, text, gone, truncated FROM dp JOIN turns USING (k, pos)) {_least_edits()})
+),
+faults AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (neighbours NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY k
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b0.c, 0) AS cost, coalesce(b0.s, '') AS audit,
+       sha256(coalesce(array_to_string(b0.r, chr(10)), '')) AS repaired_sha256
+FROM conv LEFT JOIN faults USING (k) LEFT JOIN (SELECT k, b0 FROM dp WHERE pos = 0) USING (k)
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortmill.llm import (
-    byte_bpe, decontamination, embeddings, html_extraction, language_id, licenses, merkle, minhash, oracles, quotation,
+    byte_bpe, conversation_repair, decontamination, embeddings, html_extraction, language_id, licenses, merkle, minhash, oracles, quotation,
     sharding, warc,
 )
 from cohortmill.llm.staging import staged
@@ -86,6 +86,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks())
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(*damaged(table(spark, sf_dir, "conversations")))[0]
+
+
+def damaged(turns: DataFrame) -> tuple[DataFrame, Column]:
+    """The turns with the faults of the contract, and how often each row counts."""
+    def known(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(known("text"), ".!?", "")).otherwise(known("text"))
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    role = F.when(kind == 4, "user").otherwise(known("role"))
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copies")), F.col("copies")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_even = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
     tampered = {"text": F.when(is_even, F.translate("text", "\n", "")).otherwise(F.col("text"))}
@@ -96,7 +112,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_benchmark_decontamination, op3_license_scans, op4_quotation_linking, op5_warc_transactions,
     op6_minhash_near_dedup, op7_embedding_near_dedup, op8_byte_sharding, op9_language_id, op10_byte_bpe,
-    op13_merkle_manifest,
+    op12_conversation_repair, op13_merkle_manifest,
 )}
 ORACLES = {
     "op2_benchmark_decontamination": oracles.DECONTAMINATION,
@@ -104,5 +120,6 @@ ORACLES = {
     "op5_warc_transactions": oracles.WARC,
     "op6_minhash_near_dedup": oracles.NEAR_DUPLICATES,
     "op7_embedding_near_dedup": oracles.VECTORS,
+    "op12_conversation_repair": oracles.CONVERSATIONS,
     "op13_merkle_manifest": oracles.MERKLE,
 }

@@ -30,3 +30,9 @@ def placed(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
         .withColumn("place", F.col("__at") - F.col("__first") + F.col("__before"))
         .drop("__at", "__part", "__first", "__before")
     )
+
+
+def in_blocks(rows: DataFrame, group: str, span: int, *order: str) -> DataFrame:
+    """``rows`` with ``block`` (``place`` in units of ``span``), each block of a group whole and in order in one partition."""
+    blocks = rows.withColumn("block", F.expr(f"place div {span}"))
+    return blocks.repartition(group, "block").sortWithinPartitions(group, "block", *order)
