@@ -109,7 +109,7 @@ def test_long_conversations_in_blocks_equal_one_block(spark):
         own = by_conv.get(conv, [])
         assert WHOLE.match("".join(role[0] for role, _ in own))
         assert found[-1] == hashlib.sha256("\n".join(f"{a}:{b}" for a, b in own).encode()).hexdigest()
-    assert report_of(one)[2][-2] == "K" + "D" * 199 + "I" and report_of(one)[4][-2] == "K" * 3000
+    assert report_of(one)[2][-2] == "D" * 200 and report_of(one)[4][-2] == "K" * 3000
 
 
 def test_runs_by_powers_equal_single_steps():
