@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortmill.llm import (
-    byte_bpe, conversation_repair, decontamination, embeddings, html_extraction, language_id, licenses, merkle, minhash, oracles, quotation,
-    sharding, warc,
+    byte_bpe, conversation_repair, decontamination, embeddings, html_extraction, interpolated_lm, language_id, licenses, merkle,
+    minhash, oracles, quotation, sharding, warc,
 )
 from cohortmill.llm.staging import staged
 
@@ -86,6 +86,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), ranks())
 
 
+def op11_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    part = F.when(remainder == 0, interpolated_lm.SCORED).when(remainder == 9, interpolated_lm.DELETED).otherwise(interpolated_lm.KEPT)
+    scores, totals, _ = interpolated_lm.score(table(spark, sf_dir, "documents"), part)
+    return scores.select("doc_id", (F.col("part") == interpolated_lm.SCORED).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(totals.tokens[1]).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(*damaged(table(spark, sf_dir, "conversations")))[0]
 
@@ -112,7 +120,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_benchmark_decontamination, op3_license_scans, op4_quotation_linking, op5_warc_transactions,
     op6_minhash_near_dedup, op7_embedding_near_dedup, op8_byte_sharding, op9_language_id, op10_byte_bpe,
-    op12_conversation_repair, op13_merkle_manifest,
+    op11_interpolated_lm, op12_conversation_repair, op13_merkle_manifest,
 )}
 ORACLES = {
     "op2_benchmark_decontamination": oracles.DECONTAMINATION,
