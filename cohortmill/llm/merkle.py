@@ -181,7 +181,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
         leaf(*[F.col(c) for c in field_cols]).alias("digest"),
         leaf(*[changed.get(c, F.col(c)) for c in field_cols]).alias("now"),
     )
-    leaves = staged(placed(rows, "group", ["id", "digest"], "leaves"), "placed-leaves")
+    leaves = staged(placed(staged(rows, "digests"), "group", ["id", "digest"], "leaves"), "placed-leaves")
     shape = T.StructType([T.StructField(id_col, leaves.schema["id"].dataType)] + [
         T.StructField(c, T.StringType()) for c in ("leaf", "subroot", "root", "path", "folded_root")
     ] + [T.StructField("verified", T.BooleanType())])
