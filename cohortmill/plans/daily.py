@@ -72,17 +72,31 @@ def active_tasks(bronze: Bronze, lo, hi) -> DataFrame:
     return touching_window(bronze.taskinst, *bounds).select(*TASK_KEYS).distinct()
 
 
+def touched_processes(bronze: Bronze, lo, hi) -> DataFrame:
+    """Processes that got a variable or an instance row in ``[lo, hi)``.
+
+    An instance row counts in the window of its own time, which the log is laid out by, and in that of its load: one that
+    lands late, after its tasks, is found by the load. The second reads other months too, but Spark skips files by the
+    time of their load, which is one value in each.
+    """
+    found = in_load_months(bronze.varinst, "CREATE_TIME_", lo, hi).select("PROC_INST_ID_")
+    instance = F.col("ID_").alias("PROC_INST_ID_")
+    if "START_TIME_" in bronze.procinst.columns:
+        found = found.union(in_load_months(bronze.procinst, "START_TIME_", lo, hi).select(instance))
+    landed = in_window(bronze.procinst, "_extracted_at", str(lo), str(hi))
+    return found.union(landed.select(instance)).distinct()
+
+
 def changed_tasks(bronze: Bronze, lo, hi) -> DataFrame:
-    """Keys of tasks whose fact row may differ after the changes of ``[lo, hi)``.
+    """Keys of tasks whose fact row may differ after the rows of ``[lo, hi)``.
 
-    These are tasks updated in the window and tasks of processes that got a variable in it. Both conditions are on the
-    column the log is loaded by, so a window opens only its months of the logs. The second needs a join of the task
-    keys with the processes touched.
+    These are tasks updated in the window and tasks of processes that got a variable or an instance row in it. The
+    conditions are on the columns the logs are loaded by, so a window opens only its months of the logs. The second needs a
+    join of the task keys with the processes touched. Changed master data is found by ``plans.feed``.
     """
     updated = in_load_months(bronze.taskinst, "LAST_UPDATED_TIME_", lo, hi).select(*TASK_KEYS)
-    described = in_load_months(bronze.varinst, "CREATE_TIME_", lo, hi).select("PROC_INST_ID_").distinct()
-    of_described = bronze.taskinst.select(*TASK_KEYS).join(described, "PROC_INST_ID_", "left_semi")
-    return updated.union(of_described.select(*TASK_KEYS)).distinct()
+    of_touched = bronze.taskinst.select(*TASK_KEYS).join(touched_processes(bronze, lo, hi), "PROC_INST_ID_", "left_semi")
+    return updated.union(of_touched.select(*TASK_KEYS)).distinct()
 
 
 def task_fact(bronze: Bronze, updated_at, lo=None, hi=None, levels: DataFrame | None = None,

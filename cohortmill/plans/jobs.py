@@ -6,6 +6,7 @@ Tables of a store:
     <root>/five_level           stored organisation levels, rebuilt after each load of the master data
     <root>/fact, <root>/summary and the summary's journal
     <root>/watermarks, <root>/checkpoints
+    <root>/feed/<name>          hashes of the master data the fact was built from, and <root>/feed/versions: which versions
 
 The clock is an argument, so a run can be repeated. One writer per store.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortmill.functions.dates import DateLike
-from cohortmill.plans import daily
+from cohortmill.plans import daily, feed
 from cohortmill.plans.runs import (
     CHECKPOINT_DDL, PHASES, SUCCESS, catchup_range, etl_windows, latest_checkpoints, mask_secrets, pending_windows, run_phase,
 )
@@ -144,17 +145,73 @@ def sync_all(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]]
     return {name: loaded[name][1] if name in loaded else 0 for name in sources}
 
 
-def _activity(bronze: daily.Bronze) -> DataFrame:
-    """Days on which tasks were updated or variables came."""
-    days = bronze.taskinst.select(F.to_date("LAST_UPDATED_TIME_").alias("day")).union(
-        bronze.varinst.select(F.to_date("CREATE_TIME_").alias("day")))
-    return days.distinct()
+def _activity(bronze: daily.Bronze, lo: dt.datetime, hi: dt.datetime) -> DataFrame:
+    """Days of ``[lo, hi)`` on which tasks were updated, or variables or processes came; other months are not opened."""
+    logs = {"taskinst": "LAST_UPDATED_TIME_", "varinst": "CREATE_TIME_", "procinst": "START_TIME_"}
+    days = [daily.in_load_months(getattr(bronze, log), column, lo, hi).select(F.to_date(column).alias("day"))
+            for log, column in logs.items()]
+    return days[0].union(days[1]).union(days[2]).distinct()
+
+
+VERSIONS_DDL = "sequence bigint, name string, version string"
+# Stored table -> the feeds that come from it.
+FEEDS = {"procdef": ("definitions",), "hr_employee": ("people",), "five_level": ("lines", "plants")}
+
+
+def open_feeds(spark: SparkSession, store: Store, specs: Mapping[str, TableSpec] = SOURCE_TABLES) -> dict[str, str]:
+    """Stored tables, with their current version, that were replaced since the fact took them over."""
+    paths = {name: store.bronze(specs[name]) if name in specs else store.path(name) for name in FEEDS}
+    current = {name: tables.current_version(spark, path) for name, path in paths.items()}
+    log = _read_log(spark, store.path("feed/versions"), VERSIONS_DDL)
+    taken = {r["name"]: r["version"] for r in log.groupBy("name").agg(F.max_by("version", "sequence").alias("version")).collect()}
+    return {name: version for name, version in current.items() if version is not None and taken.get(name) != version}
+
+
+def take_over(spark: SparkSession, store: Store, states: Mapping[str, DataFrame], versions: Mapping[str, str]) -> None:
+    """Record that the fact holds these versions: first the hashes, then the versions, so a failure in between repeats."""
+    for name in versions:
+        for part in FEEDS[name]:
+            tables.replace_snapshot(states[part], store.path(f"feed/{part}"), allow_empty=True, keep=KEEP)
+    log = _read_log(spark, store.path("feed/versions"), VERSIONS_DDL)
+    following = (log.agg(F.max("sequence")).first()[0] or 0) + 1
+    rows = spark.createDataFrame([(following, name, version) for name, version in versions.items()], VERSIONS_DDL)
+    tables.append_rows(rows.coalesce(1), store.path("feed/versions"))
+
+
+def apply_feed(spark: SparkSession, store: Store, bronze: daily.Bronze, levels: DataFrame, versions: Mapping[str, str], *,
+               cutoff: str | dt.date, updated_at: str) -> int:
+    """Rebuild the tasks that changed master data reaches; returns their number.
+
+    The summary partitions are in the journal when it returns. A store that never recorded its master data compares with
+    nothing, so all its tasks are built anew.
+    """
+    fact, summary = store.path("fact"), store.path("summary")
+    with tables.stages(spark) as stage:
+        now = feed.states(bronze, levels)
+        parts = [part for name in versions for part in FEEDS[name]]
+        states = {part: stage(now[part]) for part in parts}
+
+        def before(part: str) -> DataFrame:
+            root = store.path(f"feed/{part}")
+            known = tables.current_version(spark, root) is not None
+            return tables.read_snapshot(spark, root) if known else spark.createDataFrame([], feed.STATE_DDL[part])
+
+        changed = {part: stage(feed.changed_keys(before(part), states[part], feed.KEYS[part])) for part in parts}
+        changed = {part: keys for part, keys in changed.items() if not keys.isEmpty()}
+        built = 0
+        if changed:
+            only = stage(feed.reached_tasks(changed, daily.read_fact(spark, fact), bronze.taskinst))
+            rows = daily.task_fact(bronze, updated_at, levels=levels, only=only)
+            built = daily.merge_changes(spark, rows, fact, summary, cutoff)
+        take_over(spark, store, states, versions)
+    return built
 
 
 def run_windows(spark: SparkSession, store: Store, windows: DataFrame, *, cutoff: str | dt.date, as_of: DateLike,
                 updated_at: str, now: Clock, specs: Mapping[str, TableSpec] = SOURCE_TABLES) -> dict[str, int]:
     """Run both phases for the windows that have input and no successful checkpoint; returns windows run per phase.
 
+    Master data that was replaced since the last run comes first and reaches all tasks it concerns, whatever their age.
     Facts are merged window by window. The summary is then refreshed once over what all of them reached, and a failure
     in between leaves the journal that the next run starts from. Windows are a short list of calendar ranges.
     """
@@ -176,17 +233,30 @@ def run_windows(spark: SparkSession, store: Store, windows: DataFrame, *, cutoff
         return daily.refresh_open(spark, fact, summary, cutoff, as_of)
 
     facts, totals = PHASES
-    with tables.stages(spark) as stage:
-        activity = stage(_activity(bronze))
-        todo = {phase: pending(phase, activity) for phase in PHASES}
+    bounds = windows.agg(F.min("window_start").alias("lo"), F.max("window_end").alias("hi")).first()
+    todo = {phase: [] for phase in PHASES}
+    if bounds["lo"] is not None:
+        with tables.stages(spark) as stage:
+            activity = stage(_activity(bronze, bounds["lo"], bounds["hi"]))
+            todo = {phase: pending(phase, activity) for phase in PHASES}
     # A store's first build takes everything loaded so far, which covers the other windows of its run.
     first = checkpoints(spark, store).where((F.col("phase") == facts) & (F.col("status") == SUCCESS)).isEmpty()
+    versions = open_feeds(spark, store, specs)
+    if versions and not first:
+        apply_feed(spark, store, bronze, levels, versions, cutoff=cutoff, updated_at=updated_at)
     for number, (lo, hi) in enumerate(todo[facts]):
         covered = first and number > 0
         run_phase(spark, log, facts, (lo, hi),
                   lambda lo=lo, hi=hi, covered=covered: 0 if covered else build(lo, hi, first), now)
+    if versions and first and todo[facts]:
+        with tables.stages(spark) as stage:
+            states = {part: stage(state) for part, state in feed.states(bronze, levels).items()}
+            take_over(spark, store, states, versions)
     for window in todo[totals]:
         run_phase(spark, log, totals, window, refresh, now)
+    if not todo[totals]:
+        # Master data may change tasks on days without any other input.
+        refresh()
     return {phase: len(windows) for phase, windows in todo.items()}
 
 
@@ -195,13 +265,13 @@ def run_daily(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]
               step_days: int = 10, specs: Mapping[str, TableSpec] = SOURCE_TABLES) -> dict[str, int]:
     """Load all tables up to ``until``, then run the windows of the catch-up range, or those from ``start`` on.
 
-    Changed master data reaches tasks when they change; rebuild the fact to apply it to all of them at once.
+    Replaced master data reaches all tasks it concerns, by the change feed.
     """
     loaded = sync_all(spark, sources, store, until, now, specs)
     idle = {**{f"rows:{name}": rows for name, rows in loaded.items()}, **{phase: 0 for phase in PHASES}}
     last = latest_checkpoints(checkpoints(spark, store)).where((F.col("phase") == PHASES[-1]) & (F.col("status") == SUCCESS))
     finished = last.agg(F.max("window_end") >= F.lit(until).cast("timestamp_ntz")).first()[0]
-    if finished and not any(loaded.values()):
+    if finished and not any(loaded.values()) and not open_feeds(spark, store, specs):
         return idle
     if start is None:
         bounds = catchup_range(watermarks(spark, store), checkpoints(spark, store), as_of=as_of)

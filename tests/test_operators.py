@@ -73,7 +73,9 @@ def test_variable_pivot_and_empty_row_guard(spark):
     assert wide["p1"].varinst_plant == "B" and wide["p1"].varinst_autoComplete == "true" and wide["p1"].varinst_region == ""
     assert "p2" not in wide and "p3" in wide
     active = spark.createDataFrame([("p1",), ("p1",), ("p3",)], "PROC_INST_ID_ string")
-    windowed = variables.pivot_variables(raw, active, "2025-06-01", "2025-07-01")
+    every_age = variables.pivot_variables(raw, active, "2025-06-01", "2025-07-01")
+    assert sorted(r.PROC_INST_ID_ for r in every_age.collect()) == ["p1", "p3"]
+    windowed = variables.pivot_variables(raw, active, "2025-06-01", "2025-07-01", lookback_days=365)
     assert [r.PROC_INST_ID_ for r in windowed.collect()] == ["p1"]
 
 
