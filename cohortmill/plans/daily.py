@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,9 +123,44 @@ def with_start_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn(FACT_PARTITION, F.coalesce(year_month("task_start_date"), F.lit("none")))
 
 
+# The index of event months: which opening months hold tasks claimed or ended in a month. One row per pair of calendar
+# months and write, never removed, so it may name too many months but not too few.
+EVENT_MONTHS_DDL = f"run string, event_month string, {FACT_PARTITION} string"
+OPENED, CLOSED = "opened", "closed"
+
+
 def write_fact(fact: DataFrame, path: str) -> None:
-    """Partitioned by the month of the opening date."""
+    """Partitioned by the month of the opening date; the index of event months is written with it."""
+    spark, run = fact.sparkSession, uuid.uuid4().hex
+    opened = spark.createDataFrame([(run, OPENED, None)], EVENT_MONTHS_DDL)
+    append_rows(opened.coalesce(1), event_months_path(path))
     overwrite_periods(with_start_month(fact), path, [FACT_PARTITION])
+    pairs = event_months(read_fact(spark, path)).select(F.lit(run).alias("run"), "event_month", FACT_PARTITION)
+    closed = spark.createDataFrame([(run, CLOSED, None)], EVENT_MONTHS_DDL)
+    append_rows(pairs.unionByName(closed).coalesce(1), event_months_path(path))
+
+
+def event_months_path(fact_path: str) -> str:
+    return fact_path.rstrip("/") + "_event_months"
+
+
+def event_months(fact: DataFrame) -> DataFrame:
+    """Distinct (event_month, start_month) of the claim and end dates of fact rows."""
+    days = F.explode(F.array("task_claim_date", "task_end_date")).alias("day")
+    return fact.select(days, FACT_PARTITION).where("day is not null").select(
+        year_month("day").alias("event_month"), FACT_PARTITION).distinct()
+
+
+def opening_months_of(spark: SparkSession, fact_path: str, months: Sequence[str]) -> list[str] | None:
+    """Opening months that may hold tasks with an event in ``months``; None if the index does not say (a table without one,
+    or a write of the whole fact that broke off)."""
+    path = event_months_path(fact_path)
+    if not path_exists(spark, path):
+        return None
+    index = spark.read.schema(EVENT_MONTHS_DDL).parquet(path)
+    rows = index.where(F.col("event_month").isin(OPENED, CLOSED, *months)).distinct().collect()
+    begun, ended = ({row["run"] for row in rows if row["event_month"] == state} for state in (OPENED, CLOSED))
+    return None if begun - ended else sorted({row[FACT_PARTITION] for row in rows if row[FACT_PARTITION] is not None})
 
 
 def period_month(period_type: Column, day: Column) -> Column:
@@ -159,17 +194,21 @@ class Merge:
     months: list[str]
 
 
-def merge_fact(path: str, changes: DataFrame, version_cols: Sequence[str], stage: Callable[[DataFrame], DataFrame]) -> Merge:
+def merge_fact(path: str, new: DataFrame, version_cols: Sequence[str], stage: Callable[[DataFrame], DataFrame],
+               homes: Sequence[str] | None = None) -> Merge:
     """Decide, per task, between the stored and the changed version; the newer one wins, the change on a tie.
 
-    Months are those the changed tasks are in now and those they were in before, found by reading the task key alone.
-    Nothing is written to the fact table; ``stage`` holds the rows until they are.
+    ``new`` has one row per task, staged, with its month. Months are those the changed tasks are in now and those they may
+    be stored in: ``homes`` if given, else found by reading the task key of all months. Nothing is written to the fact
+    table; ``stage`` holds the rows until they are.
     """
-    new = stage(with_start_month(changes))
     stored = read_fact(new.sparkSession, path)
     keys = new.select("task_id").distinct()
-    homes = stored.select("task_id", FACT_PARTITION).join(keys, "task_id", "left_semi")
-    months = calendar_months(new.select(FACT_PARTITION).union(homes.select(FACT_PARTITION)))
+    if homes is None:
+        found = stored.select("task_id", FACT_PARTITION).join(keys, "task_id", "left_semi")
+        months = calendar_months(new.select(FACT_PARTITION).union(found.select(FACT_PARTITION)))
+    else:
+        months = sorted({*calendar_months(new.select(FACT_PARTITION)), *homes})
     touched = in_months(stored, months)
     old = touched.join(keys, "task_id", "left_semi")
     versions = stage(old.withColumn("_changed", F.lit(0)).unionByName(new.withColumn("_changed", F.lit(1)), True))
@@ -206,8 +245,11 @@ def affected_partitions(changed: DataFrame, cutoff: str | dt.date) -> DataFrame:
     return periods.select("period_type", year_month("period_start").alias("period_month")).distinct()
 
 
-def _needed_tasks(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date) -> DataFrame:
-    """Tasks those partitions are computed from: openings of the months and a week around, and earlier event days."""
+def _needed_tasks(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date, fact_path: str | None = None) -> DataFrame:
+    """Tasks those partitions are computed from: openings of the months and a week around, and earlier event days.
+
+    With ``fact_path`` the months to open for event days come from the index of event months.
+    """
     first = F.to_date(F.concat("period_month", F.lit("01")), "yyyyMMdd")
     earliest, latest = F.date_sub(first, BACKLOG_DAYS - 1), F.date_add(F.last_day(first), 6)
     opening_months = calendar_months(partitions.select(
@@ -216,12 +258,15 @@ def _needed_tasks(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date)
     opened = F.col(FACT_PARTITION).isin(opening_months)
 
     first_current = F.date_format(F.lit(cutoff).cast("date"), "yyyyMM")
-    event_months = calendar_months(partitions.where(
+    of_events = calendar_months(partitions.where(
         (F.col("period_type") == "Day") & (F.col("period_month") < first_current)
     ).select("period_month"))
-    if not event_months:
+    if not of_events:
         return fact.where(opened)
-    acted = [F.coalesce(year_month(c).isin(event_months), F.lit(False)) for c in ("task_claim_date", "task_end_date")]
+    acted = [F.coalesce(year_month(c).isin(of_events), F.lit(False)) for c in ("task_claim_date", "task_end_date")]
+    indexed = None if fact_path is None else opening_months_of(fact.sparkSession, fact_path, of_events)
+    if indexed is not None:
+        fact = in_months(fact, sorted({*opening_months, *indexed}))
     return fact.where(opened | acted[0] | acted[1])
 
 
@@ -241,9 +286,10 @@ def summary_of(fact: DataFrame, cutoff: str | dt.date, as_of: DateLike) -> DataF
     return task_summary(fact, cutoff, as_of)
 
 
-def refresh_summary(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date, as_of: DateLike) -> DataFrame:
+def refresh_summary(fact: DataFrame, partitions: DataFrame, cutoff: str | dt.date, as_of: DateLike,
+                    fact_path: str | None = None) -> DataFrame:
     """Recompute exactly the given summary partitions."""
-    recomputed = summary_of(_needed_tasks(fact, partitions, cutoff), cutoff, as_of)
+    recomputed = summary_of(_needed_tasks(fact, partitions, cutoff, fact_path), cutoff, as_of)
     months = period_month(F.col("period_type"), F.col("snapshot_date"))
     return recomputed.withColumn("period_month", months).join(partitions, [*SUMMARY_PARTITIONS], "left_semi")
 
@@ -256,50 +302,75 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("period_month", F.col("period_month").cast("string"))
 
 
-def merge_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str,
-                  cutoff: str | dt.date, version_cols: Sequence[str] = ("_mview_update_time",)) -> int:
+def merge_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str, cutoff: str | dt.date,
+                  version_cols: Sequence[str] = ("_mview_update_time",), homes: Sequence[str] | None = None) -> int:
     """Put changed tasks into the fact table; returns their number.
 
     Of several versions of a task in the changes the newest counts, and an older change than the stored row changes
-    nothing (by those of ``version_cols`` that the changes have). The summary partitions to recompute are written to
-    the journal before the fact is touched; ``refresh_open`` works them off. The first call creates the fact table.
+    nothing (by those of ``version_cols`` that the changes have). ``homes`` as in ``merge_fact``. The summary partitions to
+    recompute are written to the journal before the fact is touched; ``refresh_open`` works them off. The first call creates
+    the fact table.
     """
     version_cols = [c for c in version_cols if c in changes.columns]
     with stages(spark) as stage:
-        changes = stage(latest_by_key(changes, ["task_id"], version_cols))
+        new = stage(with_start_month(latest_by_key(changes, ["task_id"], version_cols)))
         exists = path_exists(spark, fact_path)
-        merge = merge_fact(fact_path, changes, version_cols, stage) if exists else None
-        journal = affected_partitions(merge.versions if exists else changes, cutoff)
+        merge = merge_fact(fact_path, new, version_cols, stage, homes) if exists else None
+        journal = affected_partitions(merge.versions if exists else new, cutoff)
         entries = journal.select(F.lit(uuid.uuid4().hex).alias("run"), *SUMMARY_PARTITIONS)
         append_rows(entries.coalesce(1), journal_path(summary_path))
         if exists:
+            # In front of the rows: the index may name too many months, not too few.
+            if path_exists(spark, event_months_path(fact_path)):
+                pairs = event_months(new).select(F.lit(None).cast("string").alias("run"), "event_month", FACT_PARTITION)
+                append_rows(pairs.coalesce(1), event_months_path(fact_path))
             write_merge(merge, fact_path)
         else:
-            write_fact(changes, fact_path)
-        return changes.count()
+            write_fact(new.drop(FACT_PARTITION), fact_path)
+        return new.count()
+
+
+def merge_tasks(bronze: Bronze, only: DataFrame, fact_path: str, summary_path: str, cutoff: str | dt.date, updated_at,
+                levels: DataFrame | None = None) -> int:
+    """Build the tasks ``only`` (staged keys) from bronze and put them into the fact table; returns their number.
+
+    The task log is read once, for all versions of these tasks. Each stored row came from one of them, so their opening
+    months are the only ones the tasks can be stored in, and no other month of the fact is read. The log must hold all
+    versions a stored row was ever built from.
+    """
+    spark = only.sparkSession
+    with stages(spark) as stage:
+        versions = stage(bronze.taskinst.join(only, list(TASK_KEYS), "left_semi"))
+        opened = versions.select(F.to_date("START_TIME_").alias("task_start_date"))
+        homes = calendar_months(with_start_month(opened).select(FACT_PARTITION))
+        rows = task_fact(replace(bronze, taskinst=versions), updated_at, levels=levels, only=only)
+        return merge_changes(spark, rows, fact_path, summary_path, cutoff, homes=homes)
 
 
 def refresh_open(spark: SparkSession, fact_path: str, summary_path: str, cutoff: str | dt.date, as_of: DateLike) -> int:
     """Recompute the summary partitions of all runs that have not finished, once each; returns the number of runs.
 
-    A partition that no longer has any row is emptied, not left with its old numbers.
+    A partition that no longer has any row is emptied, not left with its old numbers. What is open is a short list: per run
+    three partitions for each calendar month it reached.
     """
     found = open_partitions(spark, summary_path)
-    if found is None:
+    entries = [] if found is None else found.distinct().collect()
+    if not entries:
         return 0
+    shape = ", ".join(f"{c} string" for c in SUMMARY_PARTITIONS)
+    wanted = sorted({tuple(row[c] for c in SUMMARY_PARTITIONS) for row in entries})
+    runs = sorted({row["run"] for row in entries})
     with stages(spark) as stage:
-        entries = stage(found)
-        runs = entries.select("run").distinct().count()
-        if runs == 0:
-            return 0
-        partitions = entries.select(*SUMMARY_PARTITIONS).distinct()
-        rows = stage(refresh_summary(read_fact(spark, fact_path), partitions, cutoff, as_of))
+        partitions = spark.createDataFrame(wanted, shape)
+        rows = stage(refresh_summary(read_fact(spark, fact_path), partitions, cutoff, as_of, fact_path))
         write_summary(rows, summary_path)
-        emptied = partitions.join(rows.select(*SUMMARY_PARTITIONS).distinct(), [*SUMMARY_PARTITIONS], "left_anti")
-        remove_partitions(emptied, summary_path, SUMMARY_PARTITIONS)
-        finished = entries.select("run", *[F.lit(None).cast("string").alias(c) for c in SUMMARY_PARTITIONS]).distinct()
+        filled = {tuple(row) for row in rows.select(*SUMMARY_PARTITIONS).distinct().collect()}
+        emptied = [partition for partition in wanted if partition not in filled]
+        if emptied:
+            remove_partitions(spark.createDataFrame(emptied, shape), summary_path, SUMMARY_PARTITIONS)
+        finished = spark.createDataFrame([(run, None, None) for run in runs], "run string, " + shape)
         append_rows(finished.coalesce(1), journal_path(summary_path))
-        return runs
+    return len(runs)
 
 
 def apply_changes(spark: SparkSession, changes: DataFrame, fact_path: str, summary_path: str,
@@ -322,4 +393,6 @@ def incremental_build(bronze: Bronze, fact_path: str, summary_path: str, lo, hi,
                       updated_at) -> None:
     """Rebuild tasks active in ``[lo, hi)`` and every summary period they reach."""
     spark = bronze.taskinst.sparkSession
-    apply_changes(spark, task_fact(bronze, updated_at, lo, hi), fact_path, summary_path, cutoff, as_of)
+    with stages(spark) as stage:
+        merge_tasks(bronze, stage(active_tasks(bronze, lo, hi)), fact_path, summary_path, cutoff, updated_at)
+    refresh_open(spark, fact_path, summary_path, cutoff, as_of)

@@ -201,8 +201,7 @@ def apply_feed(spark: SparkSession, store: Store, bronze: daily.Bronze, levels:
         built = 0
         if changed:
             only = stage(feed.reached_tasks(changed, daily.read_fact(spark, fact), bronze.taskinst))
-            rows = daily.task_fact(bronze, updated_at, levels=levels, only=only)
-            built = daily.merge_changes(spark, rows, fact, summary, cutoff)
+            built = daily.merge_tasks(bronze, only, fact, summary, cutoff, updated_at, levels)
         take_over(spark, store, states, versions)
     return built
 
@@ -225,9 +224,10 @@ def run_windows(spark: SparkSession, store: Store, windows: DataFrame, *, cutoff
 
     def build(lo: dt.datetime, hi: dt.datetime, first: bool) -> int:
         with tables.stages(spark) as stage:
-            only = None if first else stage(daily.changed_tasks(bronze, lo, hi))
-            rows = daily.task_fact(bronze, updated_at, levels=levels, only=only)
-            return daily.merge_changes(spark, rows, fact, summary, cutoff)
+            if first:
+                return daily.merge_changes(spark, daily.task_fact(bronze, updated_at, levels=levels), fact, summary, cutoff)
+            only = stage(daily.changed_tasks(bronze, lo, hi))
+            return daily.merge_tasks(bronze, only, fact, summary, cutoff, updated_at, levels)
 
     def refresh() -> int:
         return daily.refresh_open(spark, fact, summary, cutoff, as_of)

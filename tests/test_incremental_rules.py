@@ -110,3 +110,44 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+def test_a_window_opens_only_the_months_of_its_tasks(spark, tmp_path):
+    """Files of all other months are damaged: whoever opens one fails."""
+    def task(key, month, *later):
+        start = dt.datetime(2026, month, 5, 8)
+        return (key, 1, "d1", "V3_a", "p1", "Weld", "E1", start, EPOCH, EPOCH, 1, start, *later)
+
+    fact, summary = str(tmp_path / "f"), str(tmp_path / "s")
+    tasks = [task("a", 1), task("b", 2), task("c", 3), task("z", 9)]
+    daily.full_build(bronze(spark, tasks), fact, summary, CUTOFF, "2026-10-01", T0)
+    for file in (tmp_path / "f" / "start_month=202609").glob("*.parquet"):
+        file.write_bytes(b"PAR1 damaged PAR1")
+    # Task b moves from February to March; it ended in January, so history is computed anew as well.
+    moved = ("b", 2, "d1", "V3_a", "p1", "Weld", "E1", dt.datetime(2026, 3, 6, 8), EPOCH, dt.datetime(2026, 1, 20), 1, dt.datetime(2026, 3, 7))
+    now = bronze(spark, [*tasks, moved])
+    only = spark.createDataFrame([("p1", "b")], "PROC_INST_ID_ string, ID_ string")
+    stored = spark.read.schema(daily.with_start_month(daily.task_fact(now, T0)).schema).parquet(fact)
+    with pytest.raises(Exception, match="Parquet|parquet|PARQUET"):
+        stored.where("start_month = '202609'").collect()
+    assert daily.merge_tasks(now, only, fact, summary, CUTOFF, T0) == 1
+    assert daily.refresh_open(spark, fact, summary, CUTOFF, "2026-10-01") == 1
+    kept = daily.in_months(daily.read_fact(spark, fact), ["202601", "202602", "202603"])
+    assert sorted((r.task_id, r.start_month) for r in kept.collect()) == [("a", "202601"), ("b", "202603"), ("c", "202603")]
+    ended = daily.read_summary(spark, summary).where("period_type = 'Day' and snapshot_date = '2026-01-20'").collect()
+    assert [r.done_qty for r in ended] == [1]
+
+
+def test_the_index_of_event_months_names_all_of_them(spark, make_tasks, tmp_path):
+    path = str(tmp_path / "f")
+    tasks = make_tasks(("a", "2026-01-05", "2026-01-06", "2026-03-02"), ("b", "2026-02-05", None, "2026-03-09"), ("c", "2026-03-01", None, None))
+    daily.write_fact(tasks, path)
+    assert daily.opening_months_of(spark, path, ["202603"]) == ["202601", "202602"]
+    assert daily.opening_months_of(spark, path, ["202601", "202609"]) == ["202601"]
+    daily.merge_changes(spark, make_tasks(("c", "2026-03-01", None, "2026-09-02")), path, str(tmp_path / "s"), CUTOFF)
+    assert daily.opening_months_of(spark, path, ["202609"]) == ["202603"]
+    # A write of the whole fact that broke off: the index no longer says.
+    open_row = spark.createDataFrame([("r", daily.OPENED, None)], daily.EVENT_MONTHS_DDL)
+    open_row.coalesce(1).write.mode("append").parquet(daily.event_months_path(path))
+    assert daily.opening_months_of(spark, path, ["202609"]) is None
+    assert daily.opening_months_of(spark, str(tmp_path / "none"), ["202609"]) is None
