@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortmill.plans import recon, reports
+from cohortmill.plans import digests, recon, reports
 from cohortmill.sources.catalog import BATCH, FULL, TableSpec
 from cohortmill.operators.summary import day_summary
 from checks import adapter as a
@@ -55,6 +55,35 @@ def _counts_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def by_digest(spark, sf):
+    """All pairs reconciled by digests, without the figures of the method."""
+    out = None
+    for name in PAIRS:
+        source, target, keys, _ = _pair(spark, sf, name)
+        row = digests.reconcile_by_digest(source, target, keys, name).drop("levels", "ranges", "compared_rows")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def missing_by_digest(spark, sf):
+    """Missing keys of all pairs, found by digests."""
+    out = None
+    for name in PAIRS:
+        source, target, keys, _ = _pair(spark, sf, name)
+        rows = digests.missing_by_digest(source, target, keys).select(
+            F.lit(name).alias("table"), F.col(keys[0]).cast("bigint").alias("key"), "src_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+_DIGEST_SQL = " UNION ALL ".join(f"""
+    SELECT '{name}' AS "table", (SELECT count(*) FROM {s}) AS source_rows, (SELECT count(*) FROM {t}) AS target_rows,
+           (SELECT count(*) FROM (SELECT {sk[0]} FROM {s} EXCEPT SELECT {tk[0]} FROM {t})) AS keys_not_in_target,
+           (SELECT count(*) FROM (SELECT {tk[0]} FROM {t} EXCEPT SELECT {sk[0]} FROM {s})) AS keys_not_in_source"""
+    for name, (s, t, sk, tk, _) in PAIRS.items())
+_MISSING_SQL = " UNION ALL ".join(f"""
+    SELECT '{name}' AS "table", {sk[0]} AS key, count(*) AS src_rows FROM {s}
+    WHERE {sk[0]} NOT IN (SELECT {tk[0]} FROM {t}) GROUP BY {sk[0]}""" for name, (s, t, sk, tk, _) in PAIRS.items())
 ctes.add("pair_counts", _counts_sql())
 _STALE = "\"table\" = 'hr_employee'"
 ctes.add("verdicts", f"""
@@ -165,6 +194,8 @@ FROM (SELECT e.*, c.task_start_date AS s FROM event_rows e JOIN counted c ON e.t
 WHERE snapshot_date < DATE '{a.CUTOFF}' GROUP BY 1, 2
 """
 CHECKS = [
+    Check("digest_reconciliation", by_digest, _DIGEST_SQL),
+    Check("digest_missing_keys", missing_by_digest, _MISSING_SQL),
     Check("reconcile_counts", counts, ctes.sql("SELECT * FROM pair_counts")),
     Check("gap_verdicts", verdicts, ctes.sql("SELECT * FROM verdicts")),
     Check("reconciliation_report", lambda s, d: recon.reconciliation_report(verdicts(s, d)), ctes.sql("""
