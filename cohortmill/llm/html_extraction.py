@@ -77,7 +77,8 @@ WEAK, STRONG, OTHER = 1, 2, 3
 
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|--!>|\Z)|<[!?](?P<other>[^>]*)(?:>|\Z)|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>\x00]*)"
-    r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?P<done>>|\Z)|(?P<stray></[^a-zA-Z][^>]*(?:>|\Z))", re.S,
+    # A quote opens a value only behind an equals sign.
+    r"(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?P<done>>|\Z)|(?P<stray></[^a-zA-Z][^>]*(?:>|\Z))", re.S,
 )
 _ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_PART = re.compile(r"[a-z]+")
@@ -294,14 +295,9 @@ def measure(root: Node) -> list[Node]:
         base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + body_share * c + math.e)
         node.density = c / t * max(math.log(c / lc * t / lt), 0.0) / math.log(base) if base > 1.0000001 else c / t
     for node in reversed(order):
-        node.sum = float(node.own)
-        todo = [p for p in node.pieces if isinstance(p, Node)]
-        while todo:
-            p = todo.pop()
-            if p.inline:
-                todo.extend(q for q in p.pieces if isinstance(q, Node))
-            else:
-                node.sum += p.density
+        # An inline node passes on what the blocks inside it add to the block around it.
+        below = sum(p.sum if p.inline else p.density for p in node.pieces if isinstance(p, Node))
+        node.sum = below if node.inline else node.own + below
     return [n for n in order if not n.inline]
 
 
@@ -332,21 +328,19 @@ def article(root: Node) -> tuple[Node, float]:
         if node is not top:
             todo.extend(p for p in node.pieces if isinstance(p, Node))
 
-    def path(node: Node) -> list[Node]:
-        out = []
-        while node is not None:
-            out.append(node)
+    # What all paths from the root to these nodes share: each ancestor is looked at once.
+    ends, below = {id(n) for n in (top, *content)}, {}
+    for node in (top, *content):
+        while node.parent is not None and id(node) not in below:
+            below[id(node)] = node
             node = node.parent
-        return out[::-1]
-
-    shared = path(top)
-    for node in content:
-        other = path(node)
-        k = 0
-        while k < min(len(shared), len(other)) and shared[k] is other[k]:
-            k += 1
-        shared = shared[:k]
-    return shared[-1], threshold
+    children: dict[int, list[Node]] = {}
+    for node in below.values():
+        children.setdefault(id(node.parent), []).append(node)
+    shared = root
+    while id(shared) not in ends and len(children[id(shared)]) == 1:
+        shared = children[id(shared)][0]
+    return shared, threshold
 
 
 def block_text(node: Node, threshold: float) -> str:

@@ -43,7 +43,7 @@ from cohortmill.llm.staging import prepare, staged
 
 ORDER = 2
 CHUNK = 1 << 20
-BUCKET = 1 << 22
+BUCKET = 1 << 21
 ROUNDS = 20
 GAIN = 1e-5
 SCORED, KEPT, DELETED = range(3)
@@ -285,7 +285,7 @@ def learned(chunks: DataFrame, answers: DataFrame, totals: Totals, order: int) -
         rows = ((np.ascontiguousarray(b.astype(np.int8)).tobytes(), e.tobytes())
                 for _, _, tokens, found, which in _answered(batches, order, "kept")
                 for b, e in [estimates(tokens, found, which, totals, 0)])
-        yield from row_batches(rows, ["bucket", "estimate"], [pa.binary(), pa.binary()], 16)
+        yield from row_batches(rows, ["bucket", "estimate"], [pa.binary(), pa.binary()], 2)
 
     rows = staged(_with_answers(chunks.where("deleted"), answers.where("deleted")).mapInArrow(
         estimated, "bucket binary, estimate binary"), "estimates")

@@ -3,10 +3,9 @@ progressively shorter character n-grams.
 
 Training counts, per language, the words of labelled texts and the n-grams (5 to 1 letters, word ends marked) of these
 words. The counts are Spark aggregations over a bounded sample of the labelled rows: of each language rows are taken by a
-hash of their key so that about ``TRAIN_DOCS`` are expected, and all rows of a smaller language. The model keeps what is
-most frequent in each language: ``WORDS`` words and ``GRAMS`` n-grams shared by up to ``SHARES`` languages; with more
-languages each still has one of ``SHARES`` shares, so what is broadcast grows with their number and no language loses its
-words to another. Prediction covers every whole text:
+hash of their key so that about ``TRAIN_DOCS`` are expected, and all rows of a smaller language. The sample is the only
+bound: the model keeps every count of it, one entry per word or n-gram and language that has it, so what is broadcast grows
+with the entries of the sample, not with languages times words. Prediction covers every whole text:
 
 * a word in the vocabulary adds its smoothed log frequency per language;
 * any other word adds the mean over its known n-grams of the longest length that has a known one;
@@ -27,16 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cohortmill.llm.batches import mix, row_chunks
+from cohortmill.llm.batches import gather, mix, row_chunks
 from cohortmill.llm.staging import prepare, staged
 
 UNKNOWN = "und"
-TRAIN_DOCS = 20_000
-WORDS = 200_000
-GRAMS = 400_000
-SHARES = 4
+TRAIN_DOCS = 5_000
 LONGEST = 5
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -99,38 +95,60 @@ def _gram_hashes(points: np.ndarray, starts: np.ndarray, lengths: np.ndarray, n:
     return word, total
 
 
-class Model:
-    """Sorted hashes with a log frequency per language, for words and for n-grams of each length."""
+class Table:
+    """Sorted hashes, and for each the languages that have it: how much more likely it is there than an unseen one.
 
-    def __init__(self, languages: list[str], words: tuple[np.ndarray, np.ndarray],
-                 grams: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
-        self.languages, self.words, self.grams = languages, words, grams
+    With add-half smoothing an entry counted n times in a language of T occurrences has log frequency
+    log((n + 0.5) / (T + 0.5 * entries)): that of an unseen one there (``absent``) and log(2 n + 1).
+    """
+
+    def __init__(self, hashes: np.ndarray, langs: np.ndarray, counts: np.ndarray, languages: int) -> None:
+        order = np.lexsort((langs, hashes))
+        hashes, self.langs, counts = hashes[order], langs[order].astype(np.int32), counts[order]
+        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+        self.hashes, self.bounds = hashes[starts], np.concatenate([starts, [len(hashes)]])
+        self.gains = np.log(2 * counts + 1.0)
+        totals = np.bincount(self.langs, counts, minlength=languages) + 0.5 * len(starts)
+        self.absent = np.log(0.5 / totals) if len(starts) else np.zeros(languages)
 
-    @staticmethod
-    def _find(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row of each hash, and whether it is there."""
-        if not len(table[0]):
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash, and whether it is there."""
+        if not len(self.hashes):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(table[0], hashes), len(table[0]) - 1)
-        return at, table[0][at] == hashes
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return at, self.hashes[at] == hashes
+
+    def sums(self, at: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+        """Per row and language the sum of the log frequencies of the entries at ``at``, each for its row."""
+        out = np.bincount(row, minlength=rows)[:, None] * self.absent
+        langs, bounds = gather(self.langs, self.bounds, at)
+        gains, _ = gather(self.gains, self.bounds, at)
+        np.add.at(out, (np.repeat(row, np.diff(bounds)), langs), gains)
+        return out
+
+
+class Model:
+    """A table of words, and one of the n-grams of each length."""
+
+    def __init__(self, languages: list[str], words: Table, grams: dict[int, Table]) -> None:
+        self.languages, self.words, self.grams = languages, words, grams
 
     def word_scores(self, text: LetterWords, pick: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Score of the words at ``pick`` per language."""
         scores = np.zeros((len(pick), len(self.languages)))
-        at, known = self._find(self.words, hashes)
-        scores[known] = self.words[1][at[known]]
+        at, known = self.words.find(hashes)
+        own = np.flatnonzero(known)
+        scores[own] = self.words.sums(at[own], np.arange(len(own)), len(own))
         rest = np.flatnonzero(~known)
         for n in range(LONGEST, 0, -1):
             if not len(rest):
                 break
             starts = text.starts[pick[rest]]
             word, grams = _gram_hashes(text.points, starts, text.ends[pick[rest]] - starts, n)
-            at, seen = self._find(self.grams[n], grams)
+            at, seen = self.grams[n].find(grams)
             count = np.bincount(word[seen], minlength=len(rest))
-            sums = np.zeros((len(rest), len(self.languages)))
-            np.add.at(sums, word[seen], self.grams[n][1][at[seen]])
             found = count > 0
-            scores[rest[found]] = sums[found] / count[found][:, None]
+            scores[rest[found]] = self.grams[n].sums(at[seen], word[seen], len(rest))[found] / count[found][:, None]
             rest = rest[~found]
         return scores
 
@@ -181,7 +199,7 @@ def _counted(train: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labelled: Column | None = None, text_col: str = "text", lang_col: str = "lang",
-          key_col: str = "doc_id", train_docs: int = TRAIN_DOCS, n_words: int = WORDS, n_grams: int = GRAMS) -> Model:
+          key_col: str = "doc_id", train_docs: int = TRAIN_DOCS) -> Model:
     """The model of the rows where ``labelled`` holds (default: all) and text and label are not null."""
     prepare(docs.sparkSession)
     rows = docs if labelled is None else docs.where(labelled)
@@ -194,32 +212,16 @@ def train(docs: DataFrame, labelled: Column | None = None, text_col: str = "text
         bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])[F.col("lang")]
         rows = rows.where(F.pmod(F.xxhash64("key", F.xxhash64("text")), F.lit(space)) < F.coalesce(bound, F.lit(space)))
     counts = staged(_counted(rows.select("lang", "text")), "counts")
-    shares = min(max(len(totals), 1), SHARES)
+    languages = sorted(totals)
+    place = {lang: k for k, lang in enumerate(languages)}
 
-    def frequent(those: str, most: int) -> DataFrame:
-        by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "kind", "hash")
-        return counts.where(those).withColumn("nth", F.row_number().over(by_count)).where(F.col("nth") <= most).select("kind", "hash")
+    def table(kind: int) -> Table:
+        rows = counts.where(F.col("kind") == kind).select("lang", "hash", "n").toArrow()
+        langs = rows.column("lang").combine_chunks().dictionary_encode()
+        numbers = np.array([place[x] for x in langs.dictionary.to_pylist()], np.int64)[langs.indices.to_numpy()]
+        return Table(rows.column("hash").to_numpy().view(np.uint64), numbers, rows.column("n").to_numpy(), len(languages))
 
-    chosen = frequent("kind = 0", n_words // shares).union(frequent("kind > 0", n_grams // shares)).distinct()
-    table = counts.join(chosen, ["kind", "hash"], "left_semi").toArrow()
-    langs = table.column("lang").combine_chunks().dictionary_encode()
-    languages = sorted(langs.dictionary.to_pylist())
-    place = {lang: k for k, lang in enumerate(languages)}
-    columns = np.array([place[x] for x in langs.dictionary.to_pylist()], np.int64)[langs.indices.to_numpy()]
-    kinds, marks = table.column("kind").to_numpy(), table.column("hash").to_numpy()
-    order = np.lexsort((marks, kinds))
-    starts = np.ones(len(order), bool)
-    starts[1:] = (np.diff(kinds[order]) != 0) | (np.diff(marks[order].view(np.uint64)) != 0)
-    kind, hashes = kinds[order][starts], marks[order][starts].view(np.uint64)
-    matrix = np.zeros((len(kind), len(languages)))
-    matrix[np.cumsum(starts) - 1, columns[order]] = table.column("n").to_numpy()[order]
-
-    def logs(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.flatnonzero(own)[np.argsort(hashes[own], kind="stable")]
-        counts = matrix[order]
-        return hashes[order], np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(order))) if len(order) else counts
-
-    return Model(languages, logs(kind == 0), {n: logs(kind == n) for n in range(1, LONGEST + 1)})
+    return Model(languages, table(0), {n: table(n) for n in range(1, LONGEST + 1)})
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -243,7 +243,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     )
     nodes = staged(
         signed.join(copies, ["set_a", "set_b"], "left")
-        .withColumn("node", F.coalesce("node", "id"))
+        .withColumn("node", F.when(F.col("id").isNotNull(), F.coalesce("node", "id")))
         .select("id", "n", "node", F.when(F.col("id") == F.col("node"), F.col("keys")).alias("keys")),
         "nodes",
     )
@@ -299,12 +299,15 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, i
                             text_col: str = "text") -> DataFrame:
     """One document of each group, with all columns: that of the smallest id. Of rows that repeat an id one stays; rows
     with a null id stay."""
+    # Names that no column of the documents has.
+    longest = max(map(len, docs.columns))
+    own_id, rows = "i" * (longest + 1), "r" * (longest + 1)
     kept = staged(
         near_duplicates(docs, size, percent, id_col, text_col).where("kept").where(F.col(id_col).isNotNull())
-        .groupBy(F.col(id_col).alias("__kept_id")).agg(F.count("*").alias("__rows")),
+        .groupBy(F.col(id_col).alias(own_id)).agg(F.count("*").alias(rows)),
         "kept",
     )
-    same = F.col(id_col) == F.col("__kept_id")
-    once = docs.join(kept.where("__rows = 1"), same, "left_semi")
-    again = docs.join(kept.where("__rows > 1"), same, "left_semi").dropDuplicates([id_col])
+    same = F.col(id_col) == F.col(own_id)
+    once = docs.join(kept.where(F.col(rows) == 1), same, "left_semi")
+    again = docs.join(kept.where(F.col(rows) > 1), same, "left_semi").dropDuplicates([id_col])
     return once.union(again).union(docs.where(F.col(id_col).isNull()))

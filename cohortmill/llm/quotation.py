@@ -2,16 +2,19 @@
 
 Only DataFrame functions are used. A line's quote level is the number of ``>`` at its start (spaces in between allowed).
 Consecutive lines of one level without a blank line are a passage; its normal form is in lower case with white space
-collapsed, so re-wrapping does not matter, and its key is the SHA-256 of that. Own passages (level 0) of all messages are
-reduced to the earliest message of the conversation that holds them; quoted passages join on conversation and key.
+collapsed, so re-wrapping does not matter, and its key is the SHA-256 of that. Own passages (level 0) of all messages and
+their lines are reduced to the earliest message of the conversation that holds them; quoted passages join on conversation
+and key. A quoted passage without an original as a whole, a part of one or several put together, is linked by its lines:
+its original is the earlier message that holds its longest line (ties: the earliest).
 
 A message replies to the message that the first linked passage of its lowest quote level comes from. Its thread path is the
 turns from the root of that reply chain down to itself, found by doubling (each round joins the paths so far to
 themselves). Sorting a conversation by path puts replies below what they answer, in order of turns; ``position`` is the
 place in that order from 0, from global ranks, without gathering a conversation in one task.
 
-A line that introduces a quote ("... wrote:") right above it is dropped with it, quoted lines are dropped, and the rest of
-the text stays as it is but for white space at its ends.
+A line that introduces a quote ("... wrote:", of any length) above it is dropped with it, a blank line in between or not; so
+is the line before, where the introduction wraps ("On Monday, Bob" / "wrote:"). Quoted lines are dropped, and the rest of the
+text stays as it is but for white space at its ends.
 
 Defined cases: a null text is an empty message; a message whose conversation or turn is null is answered as a root of its own,
 links with nothing and has no position; only earlier turns of the same conversation can be originals; rows that repeat
@@ -26,7 +29,8 @@ from cohortmill.llm.sharding import ranked
 from cohortmill.llm.staging import staged
 
 _QUOTE = r"^[ \t]*(?:>[ \t]?)+"
-_WROTE = r"(?i)^\s*\S.*\b(?:wrote|writes|schrieb|escribi\x{f3}|a \x{e9}crit)\b.{0,40}:\s*$"
+_WROTE = r"(?i)^\s*(?:\S.*)?\b(?:wrote|writes|schrieb|escribi\x{f3}|a \x{e9}crit)\b.*:\s*$"
+_BEGINS = r"(?i)^\s*(?:on|am|le|el)\b"
 
 
 def _lines(text: Column) -> Column:
@@ -39,8 +43,12 @@ def _lines(text: Column) -> Column:
     return F.transform(F.split(text, r"\r\n|\r|\n"), line)
 
 
+def _normal(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
+
+
 def _passages(lines: Column) -> Column:
-    """Array of (level, words): maximal runs of non-blank lines of one level, in text order."""
+    """Array of (level, words, lines): maximal runs of non-blank lines of one level, in text order."""
     def marked(x: Column, k: Column) -> Column:
         before = F.when(k > 0, F.element_at(lines, k))  # 1-based: the line above
         empty = F.trim(x["content"]) == ""
@@ -54,27 +62,40 @@ def _passages(lines: Column) -> Column:
     runs = F.filter(F.split(joined, r"\n?\r(?=\d+\r)"), lambda x: x != "")
 
     def named(x: Column) -> Column:
-        words = F.trim(F.regexp_replace(F.lower(F.regexp_replace(x, r"^\d+\r", "")), r"\s+", " "))
-        return F.struct(F.regexp_extract(x, r"^(\d+)\r", 1).cast("int").alias("level"), words.alias("words"))
+        lines = F.transform(F.split(F.regexp_replace(x, r"^\d+\r", ""), "\n"), _normal)
+        words = F.trim(F.array_join(F.filter(lines, lambda line: line != ""), " "))
+        return F.struct(F.regexp_extract(x, r"^(\d+)\r", 1).cast("int").alias("level"), words.alias("words"), lines.alias("lines"))
 
     return F.transform(runs, named)
 
 
 def _own_text(lines: Column) -> Column:
-    """The text without quoted lines and without the line that introduces a quote."""
+    """The text without quoted lines and without the lines that introduce a quote."""
+    def at(k: Column) -> Column:
+        return F.when(k < F.size(lines), F.element_at(lines, k + 1))
+
+    def deeper(x: Column, than: Column) -> Column:
+        return F.coalesce(x["level"] > than, F.lit(False))
+
+    def introduces(x: Column, k: Column) -> Column:
+        below, next_but_one = at(k + 1), at(k + 2)
+        blank = F.coalesce(F.trim(below["content"]) == "", F.lit(False))
+        return x["content"].rlike(_WROTE) & (deeper(below, x["level"]) | (blank & deeper(next_but_one, x["level"])))
+
     def kept(x: Column, k: Column) -> Column:
-        below = F.when(k + 1 < F.size(lines), F.element_at(lines, k + 2))
-        introduces = x["content"].rlike(_WROTE) & (F.coalesce(below["level"], F.lit(0)) > x["level"])
-        return F.when((x["level"] == 0) & ~introduces, x["content"])
+        below = at(k + 1)
+        wraps = x["content"].rlike(_BEGINS) & F.coalesce((below["level"] == x["level"]) & introduces(below, k + 1), F.lit(False))
+        return F.when((x["level"] == 0) & ~introduces(x, k) & ~wraps, x["content"])
 
     return F.regexp_replace(F.concat_ws("\n", F.filter(F.transform(lines, kept), lambda x: x.isNotNull())), r"^\s+|\s+$", "")
 
 
 def passages(messages: DataFrame, text_col: str = "text") -> DataFrame:
-    """The messages with ``own_text`` and ``passages`` (level, words, key)."""
+    """The messages with ``own_text`` and ``passages`` (level, words, key, lines)."""
     lines = F.col("__lines")
     keyed = F.transform(_passages(lines), lambda p: F.struct(
-        p["level"].alias("level"), p["words"].alias("words"), F.sha2(p["words"].cast("binary"), 256).alias("key")))
+        p["level"].alias("level"), p["words"].alias("words"), F.sha2(p["words"].cast("binary"), 256).alias("key"),
+        p["lines"].alias("lines")))
     return (
         messages.withColumn("__lines", _lines(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
         .withColumn("own_text", _own_text(lines)).withColumn("passages", keyed).drop("__lines")
@@ -102,6 +123,20 @@ def reply_paths(replies: DataFrame) -> DataFrame:
     return paths.select("conv", "turn", "path")
 
 
+def _by_lines(open_quotes: DataFrame, flat: DataFrame) -> DataFrame:
+    """The quoted passages without an original as a whole, with the one that their longest known line comes from."""
+    def keyed(rows: DataFrame, lines: str, *columns: str) -> DataFrame:
+        return rows.select(*columns, F.explode(lines).alias("line")).where("line <> ''").withColumn(
+            "line_key", F.sha2(F.col("line").cast("binary"), 256))
+
+    wanted = keyed(open_quotes, "lines", "conv", "turn", "nth")
+    own = keyed(flat.where("p.level = 0"), "p.lines", "conv", "turn").groupBy("conv", "line_key").agg(F.min("turn").alias("from"))
+    found = wanted.join(own, ["conv", "line_key"]).where(F.col("from") < F.col("turn")).groupBy("conv", "turn", "nth").agg(
+        F.max_by("from", F.struct(F.length("line").alias("size"), (-F.col("from")).alias("early"))).alias("line_original"))
+    return open_quotes.drop("lines", "original").join(found, ["conv", "turn", "nth"], "left").withColumnRenamed(
+        "line_original", "original")
+
+
 def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                     text_col: str = "text") -> DataFrame:
     """Per message: conv, turn, role, own_text, quote_levels (deepest), n_quotes, n_linked (quoted passages and those with
@@ -114,9 +149,11 @@ def link_quotations(messages: DataFrame, conv_col: str = "conv_id", turn_col: st
     originals = staged(
         flat.where("p.level = 0 and p.words <> ''").groupBy("conv", F.col("p.key").alias("key"))
         .agg(F.min("turn").alias("original")), "originals")
-    quoted = flat.where("p.level > 0").select("conv", "turn", F.col("p.key").alias("key"), F.col("p.level").alias("level"), "nth")
-    linked = quoted.join(originals, ["conv", "key"], "left").withColumn(
-        "original", F.when(F.col("original") < F.col("turn"), F.col("original")))
+    quoted = flat.where("p.level > 0").select(
+        "conv", "turn", F.col("p.key").alias("key"), F.col("p.level").alias("level"), "nth", F.col("p.lines").alias("lines"))
+    whole = staged(quoted.join(originals, ["conv", "key"], "left").withColumn(
+        "original", F.when(F.col("original") < F.col("turn"), F.col("original"))), "quoted")
+    linked = whole.where("original is not null").drop("lines").unionByName(_by_lines(whole.where("original is null"), flat))
     first = F.min(F.when(F.col("original").isNotNull(), F.struct("level", "nth", "original")))
     replies = staged(
         linked.groupBy("conv", "turn").agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -260,6 +261,83 @@ def test_quotes_are_linked_and_cut(spark):
     assert quotation.link_quotations(messages.where("false")).count() == 0
 
 
+def brute_links(rows):
+    """(own text's words, parent, linked passages) per message, line by line."""
+    def level(line):
+        marks = re.match(r"[ \t]*((?:>[ \t]?)+)", line)
+        return (marks.group(1).count(">"), line[marks.end():]) if marks else (0, line)
+
+    def passages(text):
+        runs, last = [], None
+        for lev, content in map(level, re.split(r"\r\n|\r|\n", text or "")):
+            if not content.strip(" "):
+                last = None
+                continue
+            if lev != last:
+                runs.append((lev, []))
+            runs[-1][1].append(" ".join(content.lower().split()))
+            last = lev
+        return runs
+
+    parsed = {k: passages(t) for *k, t in ((c, n, t) for c, n, t in rows) for k in [tuple(k)]}
+    out = {}
+    for (conv, turn), runs in parsed.items():
+        before = sorted(n for c, n in parsed if c == conv and n < turn)
+        found = []
+        for nth, (lev, lines) in enumerate(runs):
+            if not lev:
+                continue
+            own = [(n, ls) for n in before for v, ls in parsed[conv, n] if not v]
+            first = next((n for n, ls in own if " ".join(ls) == " ".join(lines)), None)
+            if first is None:
+                hits = [(-len(x), n) for x in lines for n, ls in own if x in ls]
+                first = min(hits)[1] if hits else None
+            found.append((lev, nth, first))
+        linked = [f for f in found if f[2] is not None]
+        out[conv, turn] = (min(linked)[2] if linked else None, len(found), len(linked))
+    return out
+
+
+def test_links_equal_brute_force(spark):
+    rng = random.Random(12)
+    lines = ["alpha beta", "Gamma  delta epsilon", "zeta", "eta theta iota", "kappa", "lambda mu nu xi"]
+    rows, said = [], {}
+    for conv in range(6):
+        for turn in range(7):
+            parts = []
+            for _ in range(rng.randint(0, 2)):
+                source = said.get((conv, rng.randrange(turn)), []) if turn else []
+                quote = rng.sample(source, rng.randint(1, len(source))) if source else rng.sample(lines, 1)
+                parts += [rng.choice(["> ", ">", ">> "]) + x for x in quote] + rng.choice([[], [""]])
+            own = rng.sample(lines, rng.randint(1, 3))
+            said[conv, turn] = own
+            rows.append((conv, turn, "\n".join(parts + own)))
+    df = spark.createDataFrame([(c, n, "u", t) for c, n, t in rows], "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.turn): (r.parent_turn, r.n_quotes, r.n_linked) for r in quotation.link_quotations(df).collect()}
+    assert found == brute_links(rows) and sum(x[0] is not None for x in found.values()) > 10
+
+
+def test_introductions_of_any_shape_are_cut(spark):
+    long = "On Monday " + "x" * 80 + " wrote to all of us, as " + "y" * 80 + " may have seen:"
+    rows = [(1, 0, "one\ntwo words"), (1, 1, "On Mon, Bob\nwrote:\n> two words\nyes"), (1, 2, "Bob wrote:\n\n> one\nno"),
+            (1, 3, f"{long}\n> never\nok"), (1, 4, "He wrote:\nnothing quoted"), (1, 5, "On time\n> one two words\nfine")]
+    df = spark.createDataFrame([(c, n, "u", t) for c, n, t in rows], "conv_id long, turn long, role string, text string")
+    found = {r.turn: (r.own_text, r.parent_turn) for r in quotation.link_quotations(df).collect()}
+    assert found == {0: ("one\ntwo words", None), 1: ("yes", 0), 2: ("no", 0), 3: ("ok", None),
+                     4: ("He wrote:\nnothing quoted", None), 5: ("On time\nfine", 0)}
+
+
+def test_null_ids_and_clashing_names_in_near_duplicates(spark):
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(1, text), (2, text), (None, text), (3, "other words here")], "doc_id long, text string")
+    for name in ("__kept_id", "__rows", "id", "node"):
+        docs = docs.withColumn(name, F.lit("x"))
+    found = sorted((tuple(r) for r in minhash.near_duplicates(docs, 2, 80).collect()), key=repr)
+    assert found == sorted([(1, 6, 1, True), (2, 6, 1, False), (None, 6, None, True), (3, 2, 3, True)], key=repr)
+    kept = minhash.without_near_duplicates(docs, 2, 80)
+    assert kept.columns == docs.columns and sorted(map(str, (r.doc_id for r in kept.collect()))) == ["1", "3", "None"]
+
+
 def test_long_reply_chains_have_whole_paths(spark):
     rows = [(1, k, "u", f"> message {k - 1}\nmessage {k}" if k else "message 0") for k in range(40)]
     found = quotation.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()

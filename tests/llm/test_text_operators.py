@@ -257,13 +257,31 @@ def test_small_languages_keep_their_rows_words_and_grams(spark):
     say = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(8))
     rows = [("en", say("abcdefgh")) for _ in range(400)] + [("fi", "xu yv xu yv"), ("se", "qo wp qo")]
     docs = spark.createDataFrame([(k, t, x) for k, (x, t) in enumerate(rows)], "doc_id long, text string, lang string")
-    model = language_id.train(docs, train_docs=40, n_words=60, n_grams=120)
+    model = language_id.train(docs, train_docs=40)
     assert model.languages == ["en", "fi", "se"]
-    assert len(model.words[0]) == 24 and sum(len(h) for h, _ in model.grams.values()) > 40
+    assert len(model.words.hashes) > 200 and {"fi", "se"} <= {model.languages[k] for k in model.words.langs}
     found = language_id.predict(docs_of(spark, ["xu yv", "qo wp", rows[0][1]]), model).orderBy("doc_id").collect()
     assert [r.lang_pred for r in found] == ["fi", "se", "en"]
 
 
+def test_a_hundred_languages_keep_every_count(spark):
+    rng = random.Random(11)
+    letters = [chr(0x3b1 + k) for k in range(20)] + list("abcdefghij")
+    alphabets = {f"l{k:03}": rng.sample(letters, 6) for k in range(100)}
+    say = lambda x, n: " ".join("".join(rng.choice(alphabets[x]) for _ in range(rng.randint(2, 7))) for _ in range(n))
+    rows = [(x, say(x, 12)) for x in alphabets for _ in range(3)]
+    docs = spark.createDataFrame([(k, t, x) for k, (x, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    words, grams = brute_model(rows)
+    # One entry per word or n-gram and language that has it: nothing is cut, and memory is linear in these.
+    assert len(model.words.langs) == len(words) and sum(len(t.langs) for t in model.grams.values()) == len(grams)
+    texts = [say(x, 6) for x in sorted(alphabets)[::25]] + [rows[7][1], rows[200][1]]
+    found = language_id.predict(docs_of(spark, texts), model).orderBy("doc_id").collect()
+    for r, text in zip(found, texts, strict=True):
+        label, score = brute_predict(rows, text, model.languages)
+        assert r.lang_pred == label and abs(r.score - score) < 1e-9
+
+
 def test_the_pipeline_keeps_short_clean_texts_of_any_share(spark):
     import corpus_pipeline
     rows = [(k, f"{x} {x}x menu", f"l{x}") for k, x in enumerate("abcdefgh") for _ in range(6)]
@@ -338,3 +356,21 @@ def test_encode_decode_and_digests(spark, ranks):
         assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     with pytest.raises(ValueError):
         byte_bpe.ByteBPE(ranks).decode(np.array([60_000]))
+
+
+# Pages that are not well formed
+
+def test_quotes_in_attributes_open_a_value_only_behind_an_equals_sign():
+    body = "<p title='it's'>First paragraph here, long enough.</p><p class=x don't>Second paragraph here, too.</p><a title=Bob's>Third.</a>"
+    text = html_extraction.extract(f"<html><body><article>{body}</article></body></html>")
+    assert text == "First paragraph here, long enough. Second paragraph here, too. Third."
+    assert html_extraction.extract("<body><p data-x='a > b' title=\"c > d\">Kept text of the page.</p></body>") == "Kept text of the page."
+
+
+def test_depth_costs_no_more_than_length():
+    import time
+    began = time.perf_counter()
+    for opened, closed in (("<div>", "</div>"), ("<b>", "")):
+        page = "<body>" + opened * 20_000 + "Some words of text." + closed * 20_000 + "</body>"
+        assert html_extraction.extract(page) == "Some words of text."
+    assert time.perf_counter() - began < 10
