@@ -68,7 +68,7 @@ def ticking() -> jobs.Clock:
 _STORES: dict[tuple[str, str, int], jobs.Store] = {}
 
 
-def store_after_loads(spark: SparkSession, sf: str, step_days: int = 1000) -> jobs.Store:
+def store_after_loads(spark: SparkSession, sf: str, step_days: int = 2000) -> jobs.Store:
     """Three runs of the daily job: one from the beginning, one that catches up with late process rows and changed master
     data, one that finds nothing to do. Checks of one session look at the same store."""
     key = spark.sparkContext.applicationId, sf, step_days
