@@ -81,12 +81,8 @@ def labels(spark, sf):
 
 
 def rolling_frame(spark, sf):
-    """Backlog total per region from daily counts: each day counts for the seven days that follow."""
-    per_day = cells(spark, sf).groupBy("region", "snapshot_date").agg(F.sum("total_task").alias("opened"))
-    exploded = per_day.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(6))))
-    return exploded.groupBy("region", F.date_add("snapshot_date", F.col("_k")).alias("snapshot_date")).agg(
-        F.sum("opened").alias("acc_total")
-    )
+    """Backlog total per region from daily counts."""
+    return cohort.rolling_total(cells(spark, sf), ["region"], "snapshot_date", "total_task", "acc_total")
 
 
 def served(spark, sf):

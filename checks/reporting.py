@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from cohortmill.operators import rollups, summary
 from cohortmill.operators.filters import filter_dims, status_on_day, touching_month
-from cohortmill.plans import reports
+from cohortmill.plans import daily, reports, rollup_store
+from cohortmill.session import scratch_path
 from cohortmill.sources import export
 from checks import adapter as a
 from checks.base import Check
@@ -65,6 +66,56 @@ def report(spark, sf, **dims):
     return reports.periodic_report(whole, reports.anchor_date(whole, ANCHOR_AS_OF), **dims)
 
 
+def stored_rollups(spark, sf):
+    """A stored summary with its rollups; half of the months are renewed once more, which must change nothing."""
+    path = f"{scratch_path(spark, 'rollups')}/summary"
+    daily.write_summary(whole_summary(spark, sf), path)
+    stored, root = daily.read_summary(spark, path), rollup_store.rollup_path(path)
+    rollup_store.store_rollups(stored, root)
+    pairs = [tuple(row) for row in stored.select(*rollup_store.PERIOD).distinct().collect()]
+    rollup_store.refresh_rollups(stored, root, [pair for pair in pairs if int(pair[1]) % 2])
+    return stored, root
+
+
+def lattice_rows(spark, sf):
+    _, root = stored_rollups(spark, sf)
+    return rollup_store.read_rollups(spark, root).select("rollup", *summary.SUMMARY_COLUMNS)
+
+
+def served_measures(spark, sf):
+    """Two reports from the rollups that cover them; without the levels of any rollup, from the summary."""
+    stored, root = stored_rollups(spark, sf)
+    last = reports.anchor_date(rollup_store.serve(stored, root), ANCHOR_AS_OF).first()["anchor"]
+    parts = []
+    for name, by, dims in (("whole", [], {}), ("regions", ["region"], {"vx_type": "V1"}), ("lines", ["line"], {"vx_type": "V3"})):
+        by = ["granularity", "period_name", *by]
+        rows = reports.periodic_report(rollup_store.serve(stored, root, by, **dims), last, **dims)
+        level = F.col(by[2]) if by[2:] else F.lit("")
+        parts.append(reports.periodic_measures(rows, by).select(
+            F.lit(name).alias("report"), "granularity", "period_name", level.alias("level"), *reports.QTY,
+            "period_sort_order", "acc_rate", "done_rate"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _served(name: str, level: str, where: str) -> str:
+    return f"""SELECT '{name}' AS report, *, CASE WHEN granularity = 'Day' THEN {_capped('acc_qty', 'acc_total_qty')}
+           ELSE {_floor('(todo_qty + doing_qty)', 'total_qty')} END AS acc_rate, {_capped('done_qty', 'total_qty')} AS done_rate
+    FROM (SELECT granularity, period_name, {level} AS level, {_SUMS}, max(sort_order) AS period_sort_order
+          FROM report WHERE {where} GROUP BY 1, 2, 3)"""
+
+
+def _lattice_sql() -> str:
+    """Each rollup as a query of its own."""
+    sums = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in summary.QUANTITIES)
+    parts = []
+    for name, kept in rollup_store.LATTICE.items():
+        levels = ", ".join(d if d in kept else f"CAST(NULL AS VARCHAR) AS {d}" for d in DIMS.split(", "))
+        groups = ", ".join(["period_type", "period_key", "sort_order", "period_name", *kept])
+        parts.append(f"SELECT '{name}' AS rollup, period_type, period_key, max(snapshot_date) AS snapshot_date, sort_order, "
+                     f"period_name, {levels}, {sums} FROM summary GROUP BY {groups}")
+    return " UNION ALL ".join(parts)
+
+
 def anchors_per_region(spark, sf):
     """One anchor per selection: a wide one, one with a date range, an empty one."""
     whole = whole_summary(spark, sf)
@@ -193,6 +244,10 @@ CHECKS = [
                     ELSE {_floor('(todo_qty + doing_qty)', 'total_qty')} END AS acc_rate
         FROM (SELECT granularity, period_name, {_SUMS}, max(sort_order) AS period_sort_order
               FROM report GROUP BY 1, 2)""")),
+    Check("rollup_lattice", lattice_rows, ctes.sql(_lattice_sql())),
+    Check("rollup_served_measures", served_measures, ctes.sql(" UNION ALL ".join([
+        _served("whole", "''", "true"), _served("regions", "region", "vx_type = 'V1'"),
+        _served("lines", "line", "vx_type = 'V3'")]))),
     Check("periodic_pivot", lambda s, d: reports.periodic_pivot(report(s, d)), ctes.sql("SELECT * FROM pivoted_report")),
     Check("pivot_measures", lambda s, d: reports.pivot_measures(reports.periodic_pivot(report(s, d))).withColumn(
         "task_pct", F.round("task_pct", 6)), ctes.sql("""

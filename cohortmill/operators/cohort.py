@@ -8,7 +8,9 @@ bounded by days x level combinations, not by tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortmill import DIMENSIONS
@@ -83,6 +85,25 @@ def acc_rolling(cells: DataFrame, days: int = BACKLOG_DAYS) -> DataFrame:
     )
 
 
+def rolling_total(counts: DataFrame, by: Sequence[str], day: str, count: str, name: str, days: int = BACKLOG_DAYS) -> DataFrame:
+    """Sum of daily counts over the last ``days`` days, on every day that has a count in them, per ``by``.
+
+    Counts are added up per day first, so a hot group has as many rows as its calendar has days. Days without a count
+    are filled in only as far as the frame still reaches a count; the frame itself is a range over day numbers, so each row
+    is read once instead of once per day it counts for. Rows without a day are left out; a NULL count counts as zero.
+    """
+    dated = counts.where(F.col(day).isNotNull())
+    per_day = dated.groupBy(*by, F.col(day).alias("_day")).agg(F.coalesce(F.sum(count), F.lit(0)).alias("_count"))
+    in_order = Window.partitionBy(*by).orderBy("_day")
+    until = F.date_add("_day", days - 1)
+    last = F.least(until, F.date_sub(F.lead("_day").over(in_order), 1))
+    filled = per_day.withColumn("_last", last).select(
+        *by, "_day", "_count", F.explode(F.sequence("_day", "_last")).alias("_filled"))
+    own = F.when(F.col("_filled") == F.col("_day"), F.col("_count")).otherwise(F.lit(0))
+    frame = Window.partitionBy(*by).orderBy(F.unix_date("_filled")).rangeBetween(1 - days, Window.currentRow)
+    return filled.select(*by, F.col("_filled").alias(day), F.sum(own).over(frame).alias(name))
+
+
 def completion(milestones: DataFrame, backlog: DataFrame) -> DataFrame:
     """Milestone counters joined with the backlog of the same date and levels; total = todo + doing + done."""
     labels = ("calendar_year", "iso_year", "iso_week", "iso_month")

@@ -25,16 +25,19 @@ def touching_window(df: DataFrame, lo, hi, cols: Sequence[str] = TASK_TIMES) ->
     return df.where(reduce(or_, [within(c, lo, hi) for c in cols]))
 
 
-def filter_dims(df: DataFrame, **wanted: str | Sequence[str] | None) -> DataFrame:
-    """Apply only the supplied dimension filters; None, '' and 'ALL' mean no filter."""
+def filters_of(**wanted: str | Sequence[str] | None) -> dict[str, list[str]]:
+    """The dimension filters that filter anything, as lists of values; None, '' and 'ALL' mean no filter."""
     unknown = set(wanted) - set(DIMENSIONS)
     if unknown:
         raise ValueError(f"not a dimension: {sorted(unknown)}")
-    for name in DIMENSIONS:
-        value = wanted.get(name)
-        if value is None or value in ("", "ALL"):
-            continue
-        values = [value] if isinstance(value, str) else list(value)
+    given = {name: wanted.get(name) for name in DIMENSIONS}
+    return {name: [value] if isinstance(value, str) else list(value) for name, value in given.items()
+            if value is not None and value not in ("", "ALL")}
+
+
+def filter_dims(df: DataFrame, **wanted: str | Sequence[str] | None) -> DataFrame:
+    """Apply only the supplied dimension filters; None, '' and 'ALL' mean no filter."""
+    for name, values in filters_of(**wanted).items():
         df = df.where(F.col(name).isin(values))
     return df
 

@@ -22,6 +22,7 @@ from cohortmill.operators.filters import touching_window
 from cohortmill.operators.summary import task_summary
 from cohortmill.operators.variables import pivot_variables
 from cohortmill.operators.versions import FLAG_REASON, latest_by_key
+from cohortmill.plans import rollup_store
 from cohortmill.plans.runs import affected_periods
 from cohortmill.sources.ingest import in_window
 from cohortmill.sources.tables import append_rows, overwrite_periods, path_exists, remove_partitions, stages
@@ -350,7 +351,8 @@ def merge_tasks(bronze: Bronze, only: DataFrame, fact_path: str, summary_path: s
 def refresh_open(spark: SparkSession, fact_path: str, summary_path: str, cutoff: str | dt.date, as_of: DateLike) -> int:
     """Recompute the summary partitions of all runs that have not finished, once each; returns the number of runs.
 
-    A partition that no longer has any row is emptied, not left with its old numbers. What is open is a short list: per run
+    A partition that no longer has any row is emptied, not left with its old numbers. Stored rollups are renewed for the
+    same partitions before the runs count as finished. What is open is a short list: per run
     three partitions for each calendar month it reached.
     """
     found = open_partitions(spark, summary_path)
@@ -368,6 +370,8 @@ def refresh_open(spark: SparkSession, fact_path: str, summary_path: str, cutoff:
         emptied = [partition for partition in wanted if partition not in filled]
         if emptied:
             remove_partitions(spark.createDataFrame(emptied, shape), summary_path, SUMMARY_PARTITIONS)
+        if path_exists(spark, summary_path):
+            rollup_store.refresh_rollups(read_summary(spark, summary_path), rollup_store.rollup_path(summary_path), wanted)
         finished = spark.createDataFrame([(run, None, None) for run in runs], "run string, " + shape)
         append_rows(finished.coalesce(1), journal_path(summary_path))
     return len(runs)
