@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill import DIMENSIONS
 from cohortmill.functions.dates import calendar_labels, period_key, period_name, period_start, period_end
 from cohortmill.operators import cohort, rollups, summary
+from cohortmill.operators import task_sets as set_operators
 from cohortmill.operators.facts import add_statuses
 from cohortmill.operators.filters import filter_dims
 from cohortmill.operators.versions import merge_states, set_states, state_counts
-from cohortmill.plans import reports
+from cohortmill.plans import reports, task_sets
+from cohortmill.session import scratch_path
 from checks import adapter as a
 from checks.base import Check
 from checks.oracle import DIMS, SUMMARY_COLS, ctes, month_key, month_name, week_key, week_name, week_start
@@ -58,6 +61,35 @@ def set_cardinalities(spark, sf):
     return state_counts(merged, ["month", "region"], list(states))
 
 
+def stored_sets(spark, sf):
+    """Daily sets stored in two runs: the dictionary grows, the months of the second run are added."""
+    root = scratch_path(spark, "task-sets")
+    ids, sets = f"{root}/ids", f"{root}/sets"
+    tasks = fact(spark, sf)
+    early = F.col("task_start_date") < a.CUTOFF
+    for part in (tasks.where(early), tasks.where(~early)):
+        task_sets.extend_dictionary(part, ids)
+        task_sets.write_sets(part, task_sets.read_dictionary(spark, ids), sets)
+    return task_sets.read_dictionary(spark, ids), task_sets.read_sets(spark, sets)
+
+
+def dictionary_facts(spark, sf):
+    """What makes the numbers dense: as many as tasks, from 0 to one less, each once."""
+    ids, _ = stored_sets(spark, sf)
+    per_id = ids.groupBy("id").agg(F.count(F.lit(1)).alias("tasks"))
+    return per_id.agg(F.sum("tasks").alias("tasks"), F.min("id").alias("first_id"), F.max("id").alias("last_id"),
+                      F.max("tasks").alias("most_per_id"))
+
+
+def backlog_from_sets(spark, sf):
+    """Week and month backlog totals from merged daily sets."""
+    _, opened = stored_sets(spark, sf)
+    parts = [set_operators.backlog_totals(opened, grain).select(
+        F.lit(grain).alias("period_type"), period_key(grain, F.col("period_start")).alias("period_key"), *DIMENSIONS,
+        "acc_total_qty") for grain in ("Week", "Month")]
+    return parts[0].unionByName(parts[1])
+
+
 def regimes(spark, sf):
     return whole_summary(spark, sf).select(*summary.SUMMARY_COLUMNS)
 
@@ -132,6 +164,12 @@ CHECKS = [
                count(DISTINCT CASE WHEN status_monthly = 'DONE' THEN task_id END) AS done,
                count(DISTINCT CASE WHEN status_monthly <> 'TODO' THEN task_id END) AS doing_or_done
         FROM counted GROUP BY 1, 2""")),
+    Check("task_id_dictionary", dictionary_facts, ctes.sql("""
+        SELECT count(DISTINCT task_id) AS tasks, CAST(0 AS BIGINT) AS first_id, count(DISTINCT task_id) - 1 AS last_id,
+               CAST(1 AS BIGINT) AS most_per_id FROM fact""")),
+    Check("bitmap_backlog_by_period", backlog_from_sets, ctes.sql(f"""
+        SELECT period_type, period_key, {DIMS}, acc_total_qty FROM week_rows
+        UNION ALL SELECT period_type, period_key, {DIMS}, acc_total_qty FROM month_rows""")),
     Check("period_range_expansion", widened_periods, ctes.sql(f"""
         SELECT DISTINCT task_start_date AS day, {week_start('task_start_date')} AS week_from,
                {week_start('task_start_date')} + 6 AS week_to,

@@ -138,15 +138,13 @@ def summary_side(spark, sf):
 
 
 def differences(spark, sf):
-    """Details against summary, both regimes; only days without openings could differ, and they hold zeros."""
+    """Details against summary, both regimes: rows with all four differences, of days that differ in any."""
     detail = _detail(spark, sf)
     old = recon.detail_day_counts(detail, cohort=False).where(F.col("day") < a.CUTOFF)
     new = recon.detail_day_counts(detail, cohort=True).where(F.col("day") >= a.CUTOFF)
     rebuilt = old.unionByName(new).withColumn("period_key", F.col("day").cast("string"))
     summarised = recon.summary_counts(whole_summary(spark, sf), "Day")
-    diffs = recon.proof_differences(rebuilt, summarised, ["period_key", "vx_type"])
-    return diffs.agg(F.count_if(F.col("total_diff") != 0).alias("differing_totals"),
-                     F.count_if(F.col("done_diff") != 0).alias("differing_done"))
+    return recon.proof_differences(rebuilt, summarised, ["period_key", "vx_type"])
 
 
 def conservation(spark, sf):
@@ -263,12 +261,20 @@ CHECKS = [
         SELECT period_key, vx_type, CAST(sum(total_qty) AS BIGINT) AS total, CAST(sum(todo_qty) AS BIGINT) AS todo,
                CAST(sum(doing_qty) AS BIGINT) AS doing, CAST(sum(done_qty) AS BIGINT) AS done
         FROM summary WHERE period_type = 'Day' GROUP BY 1, 2""")),
-    Check("detail_summary_differences", differences, ctes.sql("""
-        SELECT CAST(0 AS BIGINT) AS differing_totals, count(*) AS differing_done FROM (
-          SELECT e.vx_type, e.snapshot_date,
-                 count(CASE WHEN e.snapshot_date >= e.task_end_date THEN 1 END)
-                 - count(CASE WHEN e.snapshot_date = e.task_end_date THEN 1 END) AS diff
-          FROM event_rows e WHERE e.snapshot_date < DATE '1999-01-01' GROUP BY 1, 2) WHERE diff <> 0""")),
+    Check("detail_summary_differences", differences, ctes.sql(f"""
+        SELECT * FROM (
+          SELECT period_key, vx_type, CAST(sum(total) AS BIGINT) AS total_diff, CAST(sum(todo) AS BIGINT) AS todo_diff,
+                 CAST(sum(doing) AS BIGINT) AS doing_diff, CAST(sum(done) AS BIGINT) AS done_diff
+          FROM (
+            SELECT CAST(day AS VARCHAR) AS period_key, vx_type, total, todo, doing, done FROM ({_EVENTS}) AS events_side
+            UNION ALL
+            SELECT CAST(task_start_date AS VARCHAR), vx_type, count(*), count(CASE WHEN status_daily = 'TODO' THEN 1 END),
+                   count(CASE WHEN status_daily = 'DOING' THEN 1 END), count(CASE WHEN status_daily = 'DONE' THEN 1 END)
+            FROM counted WHERE task_start_date >= DATE '{a.CUTOFF}' GROUP BY 1, 2
+            UNION ALL
+            SELECT period_key, vx_type, -total_qty, -todo_qty, -doing_qty, -done_qty FROM summary WHERE period_type = 'Day')
+          GROUP BY 1, 2)
+        WHERE total_diff <> 0 OR todo_diff <> 0 OR doing_diff <> 0 OR done_diff <> 0""")),
     Check("conservation_violations", conservation, ctes.sql(f"""
         SELECT count(*) AS violations FROM summary WHERE (period_type <> 'Day' OR snapshot_date >= DATE '{a.CUTOFF}')
         AND todo_qty + doing_qty + done_qty <> total_qty""")),

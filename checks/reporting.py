@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortmill.operators import rollups, summary
@@ -72,8 +73,8 @@ def stored_rollups(spark, sf):
     daily.write_summary(whole_summary(spark, sf), path)
     stored, root = daily.read_summary(spark, path), rollup_store.rollup_path(path)
     rollup_store.store_rollups(stored, root)
-    pairs = [tuple(row) for row in stored.select(*rollup_store.PERIOD).distinct().collect()]
-    rollup_store.refresh_rollups(stored, root, [pair for pair in pairs if int(pair[1]) % 2])
+    months = daily.calendar_months(stored.select("period_month"))
+    rollup_store.refresh_rollups(stored, root, months[::2])
     return stored, root
 
 
@@ -210,10 +211,11 @@ def months_for(spark, sf):
 
 
 def drills(spark, sf):
-    """Every status of one day, stacked."""
+    """Every status of one day, stacked, each row with its place in the drill's order (one global sort, then its numbers)."""
     tasks = labelled(spark, sf)
     parts = [
-        reports.audit_drill(tasks, DRILL_DAY, status).select(F.lit(status).alias("status"), "task_id")
+        reports.audit_drill(tasks, DRILL_DAY, status).select(F.lit(status).alias("status"), "task_id").withColumn(
+            "place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
         for status in ("todo", "doing", "done", "all")
     ]
     out = parts[0]
@@ -266,8 +268,10 @@ CHECKS = [
                round(avg(processing_time_min), 4) AS avg_processing_time_min
         FROM silver WHERE is_excluded = 0 GROUP BY 1, 2""")),
     Check("audit_drill_by_status", drills, ctes.sql(f"""
-        SELECT lower(status_daily) AS status, task_id FROM counted WHERE task_start_date = DATE '{DRILL_DAY}'
-        UNION ALL SELECT 'all', task_id FROM counted WHERE task_start_date = DATE '{DRILL_DAY}'""")),
+        SELECT status, task_id, CAST(row_number() OVER (PARTITION BY status
+               ORDER BY task_end_time DESC NULLS LAST, task_start_time DESC NULLS LAST, task_id) AS INT) AS place
+        FROM (SELECT lower(status_daily) AS status, * FROM counted WHERE task_start_date = DATE '{DRILL_DAY}'
+              UNION ALL SELECT 'all', * FROM counted WHERE task_start_date = DATE '{DRILL_DAY}')""")),
     Check("status_on_day", lambda s, d: status_on_day(fact(s, d), F.col("task_start_date"), "todo").select("task_id"),
           ctes.sql("SELECT task_id FROM labelled WHERE status_daily = 'TODO'")),
     Check("monthly_report", monthly, ctes.sql("""
@@ -330,11 +334,10 @@ CHECKS = [
     Check("monthly_detail_export", lambda s, d: rounded(export.monthly_detail(silver_fact(s, d), a.CUTOFF)), ctes.sql("""
         SELECT * REPLACE (round(duration_min, 6) AS duration_min, round(processing_time_min, 6) AS processing_time_min)
         FROM silver_files""")),
-    Check("month_detail_export", lambda s, d: export.month_detail(
-        silver_fact(s, d), "1998-06", a.CUTOFF, region="").select("task_id", "status_weekly", "status_monthly",
-                                                                   "in_month_cohort", "file_month"), ctes.sql("""
-        SELECT task_id, status_weekly, status_monthly, in_month_cohort, file_month FROM silver_files
-        WHERE file_month = '1998-06'""")),
+    Check("month_detail_export", lambda s, d: rounded(export.month_detail(
+        silver_fact(s, d), "1998-06", a.CUTOFF, region="")), ctes.sql("""
+        SELECT * REPLACE (round(duration_min, 6) AS duration_min, round(processing_time_min, 6) AS processing_time_min)
+        FROM silver_files WHERE file_month = '1998-06'""")),
     Check("month_export_preview", lambda s, d: export.export_preview(export.month_detail(
         silver_fact(s, d), "1998-06", a.CUTOFF)), ctes.sql("""
         SELECT vx_type, count(*) AS total_task, count(CASE WHEN status_monthly = 'TODO' THEN 1 END) AS todo,

@@ -352,7 +352,7 @@ def refresh_open(spark: SparkSession, fact_path: str, summary_path: str, cutoff:
     """Recompute the summary partitions of all runs that have not finished, once each; returns the number of runs.
 
     A partition that no longer has any row is emptied, not left with its old numbers. Stored rollups are renewed for the
-    same partitions before the runs count as finished. What is open is a short list: per run
+    same months before the runs count as finished. What is open is a short list: per run
     three partitions for each calendar month it reached.
     """
     found = open_partitions(spark, summary_path)
@@ -371,7 +371,8 @@ def refresh_open(spark: SparkSession, fact_path: str, summary_path: str, cutoff:
         if emptied:
             remove_partitions(spark.createDataFrame(emptied, shape), summary_path, SUMMARY_PARTITIONS)
         if path_exists(spark, summary_path):
-            rollup_store.refresh_rollups(read_summary(spark, summary_path), rollup_store.rollup_path(summary_path), wanted)
+            rollup_store.refresh_rollups(read_summary(spark, summary_path), rollup_store.rollup_path(summary_path),
+                                         [month for _, month in wanted])
         finished = spark.createDataFrame([(run, None, None) for run in runs], "run string, " + shape)
         append_rows(finished.coalesce(1), journal_path(summary_path))
     return len(runs)

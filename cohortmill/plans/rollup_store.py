@@ -1,7 +1,7 @@
 """Stored rollups of the summary: sums over fewer levels, kept per period, and chosen by what a request needs.
 
-All rollups of a lattice come from one aggregation and lie in one table, in folders of rollup, grain and month. A change of
-the summary renews the folders of its own partitions only. Counts of the summary add up over levels, so a report read from
+All rollups of a lattice come from one aggregation and lie in one table, in folders of rollup and month (all grains of a month
+share one: they are small). A change of the summary renews the folders of its own months only. Counts of the summary add up over levels, so a report read from
 a rollup equals the one from the summary as long as no level it filters or groups by was rolled away; a measure that
 takes the newest row per level combination first (``monthly_report``) needs all levels, hence the summary itself.
 """
@@ -30,12 +30,11 @@ LATTICE: Lattice = {
     "by_vx_plant": ("vx_type", "region", "plant"),
     "by_vx_factory": ("vx_type", "region", "plant", "factory"),
 }
-PERIOD = ("period_type", "period_month")
-FOLDERS = ("rollup", *PERIOD)
-_KEYS = (*PERIOD, "period_key", "sort_order", "period_name")
+FOLDERS = ("rollup", "period_month")
+_KEYS = ("period_month", "period_type", "period_key", "sort_order", "period_name")
 _COUNTS = tuple(c for c in SUMMARY_COLUMNS if c.endswith("_qty"))
 LATTICE_DDL = "rollup string, levels array<string>"
-SIZES_DDL = "sequence bigint, rollup string, period_type string, period_month string, row_count bigint"
+SIZES_DDL = "sequence bigint, rollup string, period_month string, row_count bigint"
 
 
 def rollup_path(summary_path: str) -> str:
@@ -104,26 +103,24 @@ def stored_lattice(spark: SparkSession, root: str) -> Lattice:
     return {row["rollup"]: tuple(row["levels"]) for row in read_snapshot(spark, lattice_path(root)).collect()}
 
 
-def refresh_rollups(summary: DataFrame, root: str, partitions: Iterable[tuple[str, str]]) -> None:
-    """Renew the stored rollups of (period_type, period_month) pairs from the summary's partitions, three per calendar month.
+def refresh_rollups(summary: DataFrame, root: str, months: Iterable[str]) -> None:
+    """Renew the stored rollups of calendar months ('yyyyMM') from the summary's folders of these months.
 
     Folders that no longer have any row are emptied. Repeating a call changes nothing, nor does one where none are stored.
     """
-    spark, wanted = summary.sparkSession, sorted(set(partitions))
+    spark, wanted = summary.sparkSession, sorted(set(months))
     lattice = stored_lattice(spark, root)
     if not wanted or not lattice:
         return
-    shape = ", ".join(f"{c} string" for c in PERIOD)
-    # The months as literals prune folders when the scan is planned.
-    months = sorted({month for _, month in wanted})
-    rows = summary.where(F.col("period_month").isin(months)).join(spark.createDataFrame(wanted, shape), [*PERIOD], "left_semi")
+    # Literals prune folders when the scan is planned.
+    rows = summary.where(F.col("period_month").isin(wanted))
     with stages(spark) as stage:
         renewed = stage(rollup_rows(rows, lattice))
         overwrite_periods(renewed, root, FOLDERS)
         counts = {tuple(row[c] for c in FOLDERS): row["row_count"] for row in _folder_counts(renewed).collect()}
-    emptied = [(rollup, *pair) for rollup in lattice for pair in wanted if (rollup, *pair) not in counts]
+    emptied = [(rollup, month) for rollup in lattice for month in wanted if (rollup, month) not in counts]
     if emptied:
-        remove_partitions(spark.createDataFrame(emptied, f"rollup string, {shape}"), root, FOLDERS)
+        remove_partitions(spark.createDataFrame(emptied, ", ".join(f"{c} string" for c in FOLDERS)), root, FOLDERS)
     log = sizes_path(root)
     following = (spark.read.schema(SIZES_DDL).parquet(log).agg(F.max("sequence")).first()[0] or 0) + 1
     sizes = [(following, *folder, rows) for folder, rows in [*counts.items(), *((folder, 0) for folder in emptied)]]

@@ -80,7 +80,7 @@ def test_wrong_lattices_and_missing_ones(spark, stored, tmp_path):
     with pytest.raises(ValueError, match="same levels"):
         rollup_store.rollup_rows(whole, {"x": ("plant", "line"), "y": ("line", "plant")})
     nowhere = str(tmp_path / "none")
-    rollup_store.refresh_rollups(whole, nowhere, [("Day", "202601")])
+    rollup_store.refresh_rollups(whole, nowhere, ["202601"])
     assert rollup_store.serve(whole, nowhere) is whole
     rollup_store.store_rollups(whole.limit(0), nowhere)
     assert rollup_store.serve(whole.limit(0), nowhere).isEmpty()
@@ -91,7 +91,7 @@ def test_a_lattice_is_replaced_as_a_whole(spark, stored):
     whole = daily.read_summary(spark, paths[1])
     rollup_store.store_rollups(whole, root, {"lines": ("line",)})
     assert [r[0] for r in rollup_store.read_rollups(spark, root).select("rollup").distinct().collect()] == ["lines"]
-    rollup_store.refresh_rollups(whole, root, [("Day", "202601")])
+    rollup_store.refresh_rollups(whole, root, ["202601"])
     assert set(rollup_store.stored_lattice(spark, root)) == {"lines"} == set(rollup_store.rollup_sizes(spark, root))
 
 
