@@ -42,6 +42,11 @@ TEMPLATES = {
         This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
         liable for any damages arising from the use of this software. Permission is granted to anyone to use this software
         for any purpose, including commercial applications, and to alter it and redistribute it freely""",
+    "boost": """
+        Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute,
+        and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the
+        Software is furnished to do so, all subject to the following""",
     "unlicense": """
         This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
         compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
@@ -57,15 +62,11 @@ TEMPLATES = {
         option) any later version""",
     "mit-notice": "released under the [[terms of the]] MIT License",
     "apache-notice": "Licensed under the [[terms of the]] Apache License [[, Version <<2>>]]",
-    "gpl-notice-line": "licensed under the [[terms of the]] GNU [[Lesser]] [[Affero]] General Public License [[, version <<2>>]]",
-    "cc-by": "licensed under [[a]] [[the]] CC BY 4.0",
-    "cc-by-nc": "licensed under [[a]] [[the]] CC BY-NC <<2>>",
-    "cc-by-sa": "licensed under [[a]] [[the]] CC BY-SA <<2>>",
     "cc0": "licensed under [[a]] [[the]] CC0 <<2>>",
 }
 
 # Labels of several templates of one licence family.
-LABELS = {"mit-notice": "mit", "apache-notice": "apache", "gpl-notice": "gpl", "gpl-notice-line": "gpl"}
+LABELS = {"mit-notice": "mit", "apache-notice": "apache", "gpl-notice": "gpl"}
 
 # Notices: what they name. They begin at "under", so any verb (released, licensed, distributed, available ...) or none may stand before.
 TERMS = "under [[the terms of]] [[the terms and conditions of]] [[the conditions of]] [[the]] [[a]] [[an]]"
@@ -80,6 +81,10 @@ NOTICES = {
     "mpl": ["Mozilla Public License", "MPL"],
     "epl": ["Eclipse Public License", "EPL"],
     "cc0": ["[[Creative Commons]] CC0", "Creative Commons Zero"],
+    "boost": ["Boost Software License", "Boost License"],
+    "bsd": ["[[New]] [[Modified]] [[Revised]] [[Simplified]] [[FreeBSD]] BSD [[style]] License"],
+    "bsd-2-clause": ["2-Clause BSD", "two-clause BSD", "BSD 2-Clause", "BSD two-clause"],
+    "bsd-3-clause": ["3-Clause BSD", "three-clause BSD", "BSD 3-Clause", "BSD three-clause"],
 }
 
 # Creative Commons: the parts of the name, short and spelled out; a version or the word "License" ends it, so that no name is
@@ -107,6 +112,30 @@ HEADERS = {
     "apache": ["Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements"],
 }
 
+# The headings by which the long licence texts begin.
+_GPL_HEADING = "General Public License Version <<5>> Copyright <<5>> Free Software Foundation"
+HEADINGS = {
+    "apache": ["Apache License Version 2.0, January 2004 [[http://www.apache.org/licenses/]] [[https://www.apache.org/licenses/]] "
+               "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"],
+    "gpl": [f"GNU {_GPL_HEADING}"],
+    "lgpl": [f"GNU Lesser {_GPL_HEADING}", f"GNU Library {_GPL_HEADING}"],
+    "agpl": [f"GNU Affero {_GPL_HEADING}"],
+    "mpl": ["Mozilla Public License Version <<2>> 1. Definitions"],
+    "epl": ["THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE"],
+}
+
+# Licence identifiers in file headers, by label; versions and endings such as "or-later" need not follow.
+IDENTIFIERS = {
+    "mit": "MIT", "apache": "Apache", "gpl": "GPL", "lgpl": "LGPL", "agpl": "AGPL", "mpl": "MPL", "epl": "EPL", "isc": "ISC",
+    "zlib": "Zlib", "unlicense": "Unlicense", "boost": "BSL-1.0", "cc0": "CC0", "bsd-2-clause": "BSD-2-Clause",
+    "bsd-3-clause": "BSD-3-Clause", "cc-by-sa": "CC-BY-SA", "cc-by-nd": "CC-BY-ND",
+    "cc-by-nc-sa": "CC-BY-NC-SA", "cc-by-nc-nd": "CC-BY-NC-ND",
+    # Names that longer ones begin with need the end of their version.
+    "cc-by": "CC-BY-[[1]] [[2]] [[3]] [[4]] 0", "cc-by-nc": "CC-BY-NC-[[1]] [[2]] [[3]] [[4]] 0",
+}
+# An identifier stands first, or behind an operator of the expression.
+SPDX = ("SPDX-License-Identifier: {}", "SPDX-License-Identifier: <<6>> OR {}", "SPDX-License-Identifier: <<6>> AND {}")
+
 for _label, _names in NOTICES.items():
     for _n, _name in enumerate(_names):
         TEMPLATES[f"{_label}/notice/{_n}"] = f"{TERMS} {_name}"
@@ -116,6 +145,15 @@ for _label, _texts in HEADERS.items():
         TEMPLATES[f"{_label}/header/{_n}"] = _text
         LABELS[f"{_label}/header/{_n}"] = _label
 
+for _label, _texts in HEADINGS.items():
+    for _n, _text in enumerate(_texts):
+        TEMPLATES[f"{_label}/heading/{_n}"] = _text
+        LABELS[f"{_label}/heading/{_n}"] = _label
+for _label, _name in IDENTIFIERS.items():
+    for _n, _form in enumerate(SPDX):
+        TEMPLATES[f"{_label}/spdx/{_n}"] = _form.format(_name)
+        LABELS[f"{_label}/spdx/{_n}"] = _label
+
 # Phrases and their labels, from the contract.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 

@@ -181,6 +181,16 @@ def test_every_template_accepts_itself_and_no_changed_word():
      "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", {"agpl"}),
     ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", {"mpl"}),
     ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0", {"epl"}),
+    ("licensed under CC BY-NC-SA 4.0", {"cc-by-nc-sa"}), ("licensed under CC BY-NC 4.0", {"cc-by-nc"}), ("licensed under CC BY 4.0", {"cc-by"}),
+    ("licensed under the GNU Lesser General Public License, version 3", {"lgpl"}), ("licensed under the GNU General Public License, version 3", {"gpl"}),
+    ("SPDX-License-Identifier: MIT", {"mit"}), ("SPDX-License-Identifier: (GPL-2.0-or-later OR Apache-2.0)", {"gpl", "apache"}),
+    ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", {"cc-by-nc-sa"}), ("SPDX-License-Identifier: CC-BY-4.0", {"cc-by"}),
+    ("Distributed under the Boost Software License, Version 1.0.", {"boost"}), ("released under a BSD-style license", {"bsd"}),
+    ("available under the 3-Clause BSD License", {"bsd-3-clause"}), ("under the terms of the BSD 2-Clause licence", {"bsd-2-clause"}),
+    ("Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION", {"apache"}),
+    ("GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.", {"lgpl"}),
+    ("GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc.", {"gpl"}),
+    ("Mozilla Public License Version 2.0 ====== 1. Definitions", {"mpl"}), ("An SPDX license identifier of MIT", set()),
     ("under the table, Creative Commons Attribution", set()), ("a Mozilla of the public", set()),
 ])
 def test_notices_and_headers_of_the_families(text, labels):
