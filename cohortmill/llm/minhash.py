@@ -248,8 +248,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         "nodes",
     )
 
-    # Buckets of at least two nodes, each with its hub.
-    rows_of = nodes.where("keys is not null").select("id", "n", F.explode("keys").alias("bucket")).distinct()
+    # Buckets of at least two nodes, each with its hub. Only an id on rows of its own kind can meet a bucket twice, so only
+    # the rows of such ids are made distinct.
+    keyed = nodes.where("keys is not null").select("id", "n", F.array_distinct("keys").alias("keys"))
+    several = staged(keyed.groupBy("id").agg(F.count("*").alias("n_rows")).where("n_rows > 1").select("id"), "several")
+    in_bucket = ["id", "n", F.explode("keys").alias("bucket")]
+    rows_of = keyed.join(several, "id", "left_anti").select(*in_bucket).union(
+        keyed.join(several, "id", "left_semi").select(*in_bucket).distinct())
     hub = F.min(F.struct("id", "n"))
     hubs = staged(
         rows_of.groupBy("bucket").agg(hub.alias("hub"), F.max("id").alias("last")).where("last <> hub.id")
@@ -262,9 +267,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         .select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct(),
         "stars",
     )
+    # A table of its own, so that Spark knows its size before it decides whether texts must be shuffled.
+    wanted = staged(members.select("id").distinct(), "wanted")
     texts = staged(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-        .join(members.select("id").distinct(), "id", "left_semi"),
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted, "id", "left_semi"),
         "texts",
     )
 
@@ -297,17 +303,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                             text_col: str = "text") -> DataFrame:
-    """One document of each group, with all columns: that of the smallest id. Of rows that repeat an id one stays; rows
-    with a null id stay."""
+    """One document of each group, with all columns: that of the smallest id. Of rows that repeat an id one stays, if the
+    id stays in any of its texts; rows with a null id stay.
+
+    Most documents stay, so only the ids that lose rows meet the documents."""
     # Names that no column of the documents has.
     longest = max(map(len, docs.columns))
-    own_id, rows = "i" * (longest + 1), "r" * (longest + 1)
-    kept = staged(
-        near_duplicates(docs, size, percent, id_col, text_col).where("kept").where(F.col(id_col).isNotNull())
-        .groupBy(F.col(id_col).alias(own_id)).agg(F.count("*").alias(rows)),
-        "kept",
+    own_id, rows, stays = "i" * (longest + 1), "r" * (longest + 1), "s" * (longest + 1)
+    losing = staged(
+        near_duplicates(docs, size, percent, id_col, text_col).where(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias(own_id)).agg(F.bool_or("kept").alias(stays), F.count("*").alias(rows))
+        .where(~F.col(stays) | (F.col(rows) > 1)).select(own_id, stays),
+        "losing",
     )
     same = F.col(id_col) == F.col(own_id)
-    once = docs.join(kept.where(F.col(rows) == 1), same, "left_semi")
-    again = docs.join(kept.where(F.col(rows) > 1), same, "left_semi").dropDuplicates([id_col])
-    return once.union(again).union(docs.where(F.col(id_col).isNull()))
+    repeated = staged(losing.where(F.col(stays)).select(own_id), "repeated")
+    again = docs.join(repeated, same, "left_semi").dropDuplicates([id_col])
+    return docs.join(losing.select(own_id), same, "left_anti").union(again)

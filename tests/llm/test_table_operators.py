@@ -93,6 +93,17 @@ def test_repeated_rows_and_empty_tables(spark):
     assert [(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).orderBy("doc_id").collect()] == [(1, 1)] * 3 + [(2, 1)]
     assert [r.doc_id for r in minhash.without_near_duplicates(docs).collect()] == [1]
     assert minhash.near_duplicates(docs.where("false")).count() == 0
+    assert minhash.without_near_duplicates(docs.where("false")).count() == 0
+
+
+def test_an_id_on_different_texts_stays_once(spark):
+    """Id 5 has a text of its own, one of id 3 and one that shares buckets with its first; id 4 has copies only."""
+    own = "p q r s t u v w x y z aa bb cc dd ee ff gg hh ii jj kk ll mm nn oo"
+    rows = [(3, "a b c d e f"), (5, "a b c d e f"), (5, own), (5, own + " pp"), (4, "a b c d e f"), (4, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in minhash.without_near_duplicates(docs).collect()) == [3, 5]
+    assert sorted((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()) == [
+        (3, 3), (4, 3), (4, 3), (5, 3), (5, 5), (5, 5)]
 
 
 def test_densified_bins_agree_as_often_as_the_sets_are_similar():
