@@ -17,6 +17,8 @@ from cohortmill.operators.cohort import BACKLOG_DAYS, CELL_KEYS
 from cohortmill.operators.versions import merge_states, set_states, state_counts
 
 OPENED = "opened"
+# Sets that one task sorts, of 4 KB each, where hashing deals them evenly.
+SETS_PER_TASK = 16_384
 
 
 def unnumbered(dictionary: DataFrame | None, tasks: DataFrame) -> DataFrame:
@@ -60,19 +62,22 @@ def opened_sets(fact: DataFrame, dictionary: DataFrame) -> DataFrame:
 def backlog_sets(opened: DataFrame, grain: str, days: int = BACKLOG_DAYS) -> DataFrame:
     """Per period and levels, the union of the rolling backlogs of its days that have an opening: bitmaps by ``id_bucket``.
 
-    A daily set joins every period that holds an opening day of the same levels on its own day or up to ``days`` - 1 days
+    A daily set goes to every period that holds an opening day of the same levels on its own day or up to ``days`` - 1 days
     later. That is its own period, and the following one if the first opening there comes early enough: which is known from
     one day per period and levels, so sets are sent at most twice and never once per day.
+
+    A set takes 4 KB unpacked, however few bytes it has in a file or shuffle, so Spark's partition sizes say nothing about a
+    task's memory. The sets are therefore dealt by their number (``opened`` is a stored table), shuffled once and sorted once.
     """
     keys = ["period_start", *DIMENSIONS]
-    start = period_start(grain, F.col("snapshot_date"))
-    firsts = opened.groupBy(start.alias("period_start"), *DIMENSIONS).agg(F.min("snapshot_date").alias("first_day"))
-    reached = period_start(grain, F.date_add("snapshot_date", days - 1))
-    sent = opened.withColumn("period_start", F.explode(F.array_distinct(F.array(start, reached))))
-    near = sent.join(firsts.withColumnsRenamed({c: f"_{c}" for c in keys}),
-                     [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
     day = F.col("snapshot_date")
-    inside = (period_start(grain, day) == F.col("period_start")) | F.col("first_day").between(day, F.date_add(day, days - 1))
+    start, reached = period_start(grain, day), period_start(grain, F.date_add(day, days - 1))
+    sent = opened.withColumn("period_start", F.explode(F.array_distinct(F.array(start, reached))))
+    parts = 1 + 2 * opened.count() // SETS_PER_TASK
+    group = Window.partitionBy(*keys).orderBy("id_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = start == F.col("period_start")
+    near = sent.repartition(parts, *keys).withColumn("first_day", F.min(F.when(own, day)).over(group))
+    inside = own | F.col("first_day").between(day, F.date_add(day, days - 1))
     return merge_states(near.where(inside), keys, [OPENED])
 
 

@@ -58,12 +58,14 @@ def set_states(
     """Persistable distinct sets: one bitmap per key, id bucket and named state.
 
     A bucket covers 32,768 consecutive ids and takes 4 KB, so a group of any size stays spread over
-    rows. Ids must be dense non-negative integers; do not feed 64-bit hashes.
+    rows. Ids must be dense non-negative integers; do not feed 64-bit hashes. Ids travel, not half-filled
+    bitmaps: a task sorts narrow rows and builds one bitmap after the other.
     """
-    position = F.bitmap_bit_position(id_col)
+    named = df.select(*keys, F.bitmap_bucket_number(id_col).alias("id_bucket"), F.bitmap_bit_position(id_col).alias("_bit"),
+                      *[cond.alias(f"_in_{name}") for name, cond in states.items()])
     return (
-        df.groupBy(*keys, F.bitmap_bucket_number(id_col).alias("id_bucket"))
-        .agg(*[F.bitmap_construct_agg(F.when(cond, position)).alias(name) for name, cond in states.items()])
+        named.repartition(*keys, "id_bucket").groupBy(*keys, "id_bucket")
+        .agg(*[F.bitmap_construct_agg(F.when(F.col(f"_in_{name}"), F.col("_bit"))).alias(name) for name in states])
     )
 
 
