@@ -18,7 +18,7 @@ from cohortmill.functions.dates import DateLike, year_month
 from cohortmill.operators.cohort import BACKLOG_DAYS
 from cohortmill.operators.dimensions import build_five_level
 from cohortmill.operators.facts import TASK_KEYS, build_task_fact
-from cohortmill.operators.filters import touching_window
+from cohortmill.operators.filters import TASK_DATES, touching_window
 from cohortmill.operators.summary import task_summary
 from cohortmill.operators.variables import pivot_variables
 from cohortmill.operators.versions import FLAG_REASON, latest_by_key
@@ -188,7 +188,7 @@ def in_months(fact: DataFrame, months: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Merge:
-    """What a change set does to the fact: both versions of the tasks, the new rows of the months, and these months."""
+    """What a change set does to the fact: dates of both versions of the tasks, the new rows of the months, and these months."""
 
     versions: DataFrame
     rows: DataFrame
@@ -200,22 +200,33 @@ def merge_fact(path: str, new: DataFrame, version_cols: Sequence[str], stage: Ca
     """Decide, per task, between the stored and the changed version; the newer one wins, the change on a tie.
 
     ``new`` has one row per task, staged, with its month. Months are those the changed tasks are in now and those they may
-    be stored in: ``homes`` if given, else found by reading the task key of all months. Nothing is written to the fact
-    table; ``stage`` holds the rows until they are.
+    be stored in: ``homes`` if given, else found by reading the task key of all months. Who wins is decided on keys, versions
+    and dates, so whole rows move once, and stored ones that are replaced not at all. Nothing is written to the fact table;
+    ``stage`` holds the rows until they are.
     """
     stored = read_fact(new.sparkSession, path)
-    keys = new.select("task_id").distinct()
     if homes is None:
-        found = stored.select("task_id", FACT_PARTITION).join(keys, "task_id", "left_semi")
+        found = stored.select("task_id", FACT_PARTITION).join(new.select("task_id"), "task_id", "left_semi")
         months = calendar_months(new.select(FACT_PARTITION).union(found.select(FACT_PARTITION)))
     else:
         months = sorted({*calendar_months(new.select(FACT_PARTITION)), *homes})
     touched = in_months(stored, months)
-    old = touched.join(keys, "task_id", "left_semi")
-    versions = stage(old.withColumn("_changed", F.lit(0)).unionByName(new.withColumn("_changed", F.lit(1)), True))
-    winners = latest_by_key(versions, ["task_id"], [*version_cols, "_changed"]).drop("_changed")
-    kept = touched.join(keys, "task_id", "left_anti")
-    return Merge(versions.drop("_changed"), stage(kept.unionByName(winners, True)), months)
+    known = [c for c in version_cols if c in stored.columns]
+    narrow = touched.select("task_id", *known, *TASK_DATES).withColumns(
+        {c: F.lit(None).cast(new.schema[c].dataType) for c in version_cols if c not in known})
+    offered = new.select("task_id", *[F.col(c).alias(f"_new_{c}") for c in version_cols])
+    stays = F.lit(False)
+    for c in reversed(version_cols):
+        held, comes = F.col(c), F.col(f"_new_{c}")
+        stays = (held.isNotNull() & (comes.isNull() | (held > comes))) | (held.eqNullSafe(comes) & stays)
+    old = stage(narrow.join(offered, "task_id").select("task_id", *TASK_DATES, stays.alias("_stays")))
+    versions = old.select(*TASK_DATES).unionByName(new.select(*TASK_DATES))
+    winners, kept = new, touched.join(new.select("task_id"), "task_id", "left_anti")
+    beaten = old.where("_stays").select("task_id")
+    if not beaten.isEmpty():
+        winners = stage(new.join(beaten, "task_id", "left_anti"))
+        kept = kept.unionByName(latest_by_key(touched.join(beaten, "task_id", "left_semi"), ["task_id"], known))
+    return Merge(versions, stage(kept).unionByName(winners, True), months)
 
 
 def write_merge(merge: Merge, path: str) -> None:
