@@ -17,6 +17,9 @@ totals, in the order it asked. A frequent word or passage is one entry per chunk
 collected or broadcast, and what is shuffled grows in proportion to the corpus. The number of buckets follows the number
 of tokens, so a bucket keeps its size.
 
+**Memory of a task.** It holds one chunk or one bucket at a time. Chunks and answers are wide rows, so Arrow batches are
+bounded in bytes (``BATCH``), parquet pages by their size after every row, and estimates are rows of ``SLICE`` tokens.
+
 **Learning.** The deleted rows are chunks of their own. Their estimates are written once; each round of
 expectation-maximisation is a pass over them that returns two sums per order and bucket (at most 65 buckets an order).
 
@@ -32,6 +35,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import starmap
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +43,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cohortmill.llm.batches import NOT_SPACE, mix, row_batches, runs, word_chunks
-from cohortmill.llm.staging import prepare, staged
+from cohortmill.llm.staging import PACKED, WIDE, prepare, staged
 
 ORDER = 2
-CHUNK = 1 << 20
-BUCKET = 1 << 21
+CHUNK = 1 << 19
+SLICE = 1 << 16
+BATCH = "4m"
+BUCKET = 1 << 22
 ROUNDS = 20
 GAIN = 1e-5
 SCORED, KEPT, DELETED = range(3)
@@ -121,16 +127,17 @@ def buckets(counts: np.ndarray) -> np.ndarray:
 def estimates(tokens: Tokens, found: list[np.ndarray], which: list[np.ndarray], totals: Totals, part: int) -> tuple[
         np.ndarray, np.ndarray]:
     """(bucket of the context, maximum-likelihood estimate) per order and token."""
-    bucket, estimate = [], []
-    above = np.full(len(tokens.hashes), totals.tokens[part])
-    for counts, own in zip(found, which, strict=True):
+    shape = len(found), len(tokens.hashes)
+    bucket, estimate = np.zeros(shape, np.int8), np.zeros(shape)
+    above = np.full(shape[1], totals.tokens[part])
+    for k, (counts, own) in enumerate(zip(found, which, strict=True)):
         times = counts[own]
-        bucket.append(buckets(above))
-        estimate.append(np.divide(times, above, out=np.zeros(len(times)), where=above > 0))
+        bucket[k] = buckets(above)
+        np.divide(times, above, out=estimate[k], where=above > 0)
         # The context of the next order ends on the token before.
         above = np.concatenate([times[:1], times[:-1]])
         above[tokens.begins] = totals.texts[part]
-    return np.stack(bucket), np.stack(estimate)
+    return bucket, estimate
 
 
 def mixed(bucket: np.ndarray, estimate: np.ndarray, weights: np.ndarray, floor: float) -> np.ndarray:
@@ -266,13 +273,16 @@ def _with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
 def _answered(batches: Iterator[pa.RecordBatch], order: int, column: str) -> Iterator[
         tuple[pa.Array, np.ndarray, Tokens, list[np.ndarray], list[np.ndarray]]]:
     """(ids, parts, tokens, totals of the distinct n-grams, n-gram of each token) of each chunk of a partition."""
-    for _, run in runs(batches, ["chunk"]):
+    def answered(run: pa.Table) -> tuple[pa.Array, np.ndarray, Tokens, list[np.ndarray], list[np.ndarray]]:
         kinds = run.column("kind").to_numpy()
         row = {c: run.column(c)[0].as_py() for c in ("parts", "counts", "words", "tokens")}
         tokens, parts = _decoded(row)
         packed = run.column(column).to_pylist()
         found = [np.concatenate([unpack(packed[at]) for at in np.flatnonzero(kinds == k + 1)]) for k in range(order)]
-        yield run.column("ids")[0].values, parts, tokens, found, [which for _, which in tokens.grams(order)]
+        return run.column("ids")[0].values, parts, tokens, found, [which for _, which in tokens.grams(order)]
+
+    # Nothing of a chunk is held while the next one is decoded.
+    return (answered(run) for _, run in runs(batches, ["chunk"]))
 
 
 def learned(chunks: DataFrame, answers: DataFrame, totals: Totals, order: int) -> Weights:
@@ -282,13 +292,14 @@ def learned(chunks: DataFrame, answers: DataFrame, totals: Totals, order: int) -
     table[:, 0] = 0
 
     def estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((np.ascontiguousarray(b.astype(np.int8)).tobytes(), e.tobytes())
+        # A row holds some tokens of a chunk, so every round reads rows of about 1 MB.
+        rows = ((b[:, low:low + SLICE].tobytes(), e[:, low:low + SLICE].tobytes())
                 for _, _, tokens, found, which in _answered(batches, order, "kept")
-                for b, e in [estimates(tokens, found, which, totals, 0)])
+                for b, e in [estimates(tokens, found, which, totals, 0)] for low in range(0, b.shape[1], SLICE))
         yield from row_batches(rows, ["bucket", "estimate"], [pa.binary(), pa.binary()], 2)
 
     rows = staged(_with_answers(chunks.where("deleted"), answers.where("deleted")).mapInArrow(
-        estimated, "bucket binary, estimate binary"), "estimates")
+        estimated, "bucket binary, estimate binary"), "estimates", WIDE)
 
     def one_round(weights: np.ndarray) -> tuple[np.ndarray, float]:
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,14 +345,14 @@ def score(docs: DataFrame, part: Column, order: int = ORDER, id_col: str = "doc_
     ``part`` says what a row is for: ``SCORED`` only, ``KEPT`` (counted) or ``DELETED`` (weights are learned on it, then it
     is counted); null counts as KEPT. ``base_score`` is the add-0.1 unigram score, ``score`` that of the mixture (log10).
     """
-    prepare(docs.sparkSession)
+    prepare(docs.sparkSession, size=BATCH)
     named = docs.select(F.col(id_col).alias("id"), F.coalesce(part, F.lit(KEPT)).cast("int").alias("part"),
                         F.col(text_col).cast("string").alias("text"))
     id_type = named.schema["id"].dataType
-    chunks = staged(_encoded(named, id_type), "chunks")
+    chunks = staged(_encoded(named, id_type), "chunks", PACKED)
     tokens = chunks.agg(F.sum("n")).first()[0] or 0
     bits = max(5, math.ceil(math.log2(max(tokens * order / BUCKET, 1))))
-    answers = staged(_answers(chunks, order, bits), "answers")
+    answers = staged(_answers(chunks, order, bits), "answers", PACKED)
 
     per_part = {r["part"]: r for r in named.groupBy("part").agg(F.count("*").alias("texts")).collect()}
     texts = [per_part[p]["texts"] if p in per_part else 0 for p in (KEPT, DELETED)]
@@ -351,17 +362,20 @@ def score(docs: DataFrame, part: Column, order: int = ORDER, id_col: str = "doc_
     weights = learned(chunks, answers, totals, order)
     floor, n, v, table = 1 / (totals.types[1] + 1), totals.tokens[1], totals.types[1], weights.table
 
+    def scored_chunk(ids: pa.Array, parts: np.ndarray, own: Tokens, found: list[np.ndarray], which: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, estimate = estimates(own, found, which, totals, 1)
+        logs = np.concatenate([np.log10(mixed(bucket[:, low:low + SLICE], estimate[:, low:low + SLICE], table, floor)[-1])
+                               for low in range(0, bucket.shape[1], SLICE)])
+        times = found[0][which[0]]
+        base = np.log10((times + 0.1) / (n + 0.1 * (v + 1)))
+        at = own.first[:-1]
+        return pa.RecordBatch.from_arrays([
+            ids, pa.array(parts.astype(np.int32)), pa.array(np.diff(own.first)),
+            *[pa.array(np.add.reduceat(x, at)) for x in ((times > 0).astype(np.int64), base, logs)],
+        ], shape.names)
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, parts, own, found, which in _answered(batches, order, "every"):
-            bucket, estimate = estimates(own, found, which, totals, 1)
-            logs = np.log10(mixed(bucket, estimate, table, floor)[-1])
-            times = found[0][which[0]]
-            base = np.log10((times + 0.1) / (n + 0.1 * (v + 1)))
-            at = own.first[:-1]
-            yield pa.RecordBatch.from_arrays([
-                ids, pa.array(parts.astype(np.int32)), pa.array(np.diff(own.first)), pa.array(np.add.reduceat((times > 0).astype(np.int64), at)),
-                pa.array(np.add.reduceat(base, at)), pa.array(np.add.reduceat(logs, at)),
-            ], shape.names)
+        return starmap(scored_chunk, _answered(batches, order, "every"))
 
     shape = T.StructType([T.StructField(id_col, id_type), T.StructField("part", T.IntegerType())] + [
         T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known")] + [

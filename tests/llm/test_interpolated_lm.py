@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,22 @@ def test_packed_integers_come_back():
     assert (lm.unpack_sorted(lm.pack_sorted(keys)) == keys).all()
 
 
+def test_rows_and_batches_a_task_holds_are_bounded(spark, monkeypatch):
+    tables, staged = {}, lm.staged
+    monkeypatch.setattr(lm, "staged", lambda df, name, *options: tables.setdefault(name, staged(df, name, *options)))
+    df = spark.createDataFrame([(k, "the cat sat " * 40_000) for k in range(6)], DDL).repartition(1)
+    lm.score(df, F.when(F.col("doc_id") < 4, lm.KEPT).otherwise(lm.DELETED))
+    longest, total = tables["estimates"].agg(F.max(F.length("bucket")), F.sum(F.length("bucket"))).first()
+    assert longest <= 1 << 17 and total == lm.ORDER * 2 * 120_001
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    wide = spark.range(0, 40, 1, 1).withColumn("x", F.expr("repeat('x', 1000000)"))
+    assert wide.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 8_000_000
+
+
 def test_nothing_to_learn_from_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], DDL)
     out, totals, _ = lm.score(df, F.lit(lm.SCORED))
