@@ -115,7 +115,9 @@ def build_task_fact(
     """
     log = tasks.where(F.col("ID_") != "")
     if only is not None:
-        log = log.join(only, list(TASK_KEYS), "left_semi")
+        # Not a semi join: Spark would push it into every part of a log that is a union and sort both sides there once more.
+        # The newest version per key takes one row, so keys named twice would do no harm.
+        log = log.join(only, list(TASK_KEYS))
         processes = only.select("PROC_INST_ID_").distinct()
         procinst = procinst.join(processes.withColumnRenamed("PROC_INST_ID_", "ID_"), "ID_", "left_semi")
     # Versions loaded together are told apart by the source's own update time and revision, where it has them.
